@@ -30,7 +30,10 @@ C = o.CLEAN_CTE
 
 
 def features(spark, sf):
-    return coh.feature_matrix(clean_lines(spark, sf), raw(spark, sf))
+    """The customer feature table written by the feature stage."""
+    from .queries_core import staged
+
+    return staged(spark, sf, "customer_features", lambda: coh.feature_matrix(clean_lines(spark, sf), raw(spark, sf)))
 
 
 def segments(spark, sf):

@@ -20,6 +20,7 @@ def get_spark(cores: int | str | None = None, shuffle_partitions: int | None = N
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or 8))
         .config("spark.sql.adaptive.enabled", "true")
