@@ -181,3 +181,59 @@ def adjusted_rand(df: DataFrame, a: str, b: str) -> DataFrame:
         .otherwise((F.col("index") - expected) / (max_index - expected))
         .alias("ari")
     )
+
+
+def multiclass_report(df: DataFrame, y: str, yhat: str, digits: int = 6) -> DataFrame:
+    """Per-class precision / recall / F1 / support for any number of
+    classes, from one (actual, predicted) count table; plus accuracy."""
+    cm = df.groupBy(F.col(y).cast("string").alias("a"), F.col(yhat).cast("string").alias("p")).agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    actual = cm.groupBy(F.col("a").alias("label")).agg(F.sum("n").alias("support"))
+    predicted = cm.groupBy(F.col("p").alias("label")).agg(F.sum("n").alias("predicted"))
+    hits = cm.filter(F.col("a") == F.col("p")).select(F.col("a").alias("label"), F.col("n").alias("tp"))
+    per = (
+        actual.join(predicted, "label", "full")
+        .join(hits, "label", "left")
+        .na.fill(0, ["support", "predicted", "tp"])
+    )
+    p = F.coalesce(F.try_divide(F.col("tp").cast("double"), F.col("predicted").cast("double")), F.lit(0.0))
+    r = F.coalesce(F.try_divide(F.col("tp").cast("double"), F.col("support").cast("double")), F.lit(0.0))
+    per = per.select("label", p.alias("precision"), r.alias("recall"), "support", "tp")
+    per = per.withColumn(
+        "f1", F.when(F.col("precision") + F.col("recall") > 0,
+                     2 * F.col("precision") * F.col("recall") / (F.col("precision") + F.col("recall"))).otherwise(0.0)
+    )
+    acc = per.agg(
+        F.lit("accuracy").alias("label"), F.lit(None).cast("double").alias("precision"),
+        F.lit(None).cast("double").alias("recall"),
+        (F.sum("tp") / F.sum("support")).alias("f1"), F.sum("support").alias("support"),
+    )
+    out = per.select("label", "precision", "recall", "f1", "support").unionByName(acc)
+    return out.select(
+        "label", rnd("precision", digits).alias("precision"), rnd("recall", digits).alias("recall"),
+        rnd("f1", digits).alias("f1"), F.col("support").cast("bigint"),
+    )
+
+
+def adjusted_rand_pairs(df: DataFrame, cols: list[str]) -> DataFrame:
+    """ARI for every pair of labelling columns in one pass: each row is
+    unpivoted into one (pair, a, b) row per column pair (a fixed multiple of
+    the rows), then contingency counts are grouped by pair."""
+    pairs = [(i, j) for i in range(len(cols)) for j in range(i + 1, len(cols))]
+    body = ", ".join(f"{i}, {j}, `{cols[i]}`, `{cols[j]}`" for i, j in pairs)
+    long = df.selectExpr(f"stack({len(pairs)}, {body}) AS (i, j, a, b)")
+    cont = long.groupBy("i", "j", "a", "b").agg(F.count(F.lit(1)).alias("n"))
+    comb2 = lambda x: (x * (x - 1) / 2)
+    idx = cont.groupBy("i", "j").agg(F.sum(comb2(F.col("n"))).alias("index"), F.sum("n").alias("n"))
+    sa = cont.groupBy("i", "j", "a").agg(F.sum("n").alias("m")).groupBy("i", "j").agg(
+        F.sum(comb2(F.col("m"))).alias("sum_a"))
+    sb = cont.groupBy("i", "j", "b").agg(F.sum("n").alias("m")).groupBy("i", "j").agg(
+        F.sum(comb2(F.col("m"))).alias("sum_b"))
+    one = idx.join(sa, ["i", "j"]).join(sb, ["i", "j"])
+    expected = F.col("sum_a") * F.col("sum_b") / comb2(F.col("n"))
+    max_index = (F.col("sum_a") + F.col("sum_b")) / 2
+    return one.select(
+        "i", "j",
+        F.when(max_index == expected, F.lit(1.0)).otherwise((F.col("index") - expected) / (max_index - expected)).alias("ari"),
+    )

@@ -217,28 +217,24 @@ def choose_k(scores: DataFrame) -> DataFrame:
 
 # H11 ------------------------------------------------------------------------
 def stability(df: DataFrame, cols: list[str], k: int = 4, n_seeds: int = 10, seed: int = 42,
-              threshold: float = 0.90) -> DataFrame:
-    """Mean pairwise ARI of K-Means labelings over ``n_seeds`` seeds; stable
-    when above ``threshold``."""
+              threshold: float = 0.90, max_iter: int = 300) -> DataFrame:
+    """Mean pairwise adjusted Rand index of K-Means labelings over
+    ``n_seeds`` seeds; stable when above ``threshold``.  All pairs are
+    scored in one grouped pass (``adjusted_rand_pairs``)."""
     from pyspark.ml.clustering import KMeans
 
-    from .metrics import adjusted_rand
+    from .metrics import adjusted_rand_pairs
 
-    base = vectorise(df.select(CUST, *cols), cols).cache()
+    base = vectorise(df.select(*cols), cols).select("features").cache()
     try:
         labelled = base
+        names = []
         for i in range(n_seeds):
-            m = KMeans(k=k, seed=seed + i, maxIter=300, featuresCol="features", predictionCol=f"s{i}").fit(base)
+            m = KMeans(k=k, seed=seed + i, maxIter=max_iter, featuresCol="features", predictionCol=f"s{i}").fit(base)
             labelled = m.transform(labelled)
-        labelled = labelled.drop("features").cache()
-        aris = []
-        for i in range(n_seeds):
-            for j in range(i + 1, n_seeds):
-                aris.append(adjusted_rand(labelled, f"s{i}", f"s{j}").select(F.lit(i).alias("i"), F.lit(j).alias("j"), "ari"))
-        out = aris[0]
-        for a in aris[1:]:
-            out = out.unionByName(a)
-        return out.agg(F.avg("ari").alias("mean_ari"), F.count(F.lit(1)).alias("pairs")).withColumn(
+            names.append(f"s{i}")
+        aris = adjusted_rand_pairs(labelled.select(*names), names)
+        return aris.agg(F.avg("ari").alias("mean_ari"), F.count(F.lit(1)).alias("pairs")).withColumn(
             "stable", F.col("mean_ari") > threshold
         )
     finally:

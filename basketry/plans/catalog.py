@@ -29,3 +29,4 @@ def load_all() -> None:
     """Import the modules that register queries."""
     from . import queries_core  # noqa: F401
     from . import queries_analytics  # noqa: F401
+    from . import queries_models  # noqa: F401
