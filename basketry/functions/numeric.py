@@ -70,3 +70,32 @@ def month_text(col: ColumnOrName) -> Column:
 
 def as_double(col: ColumnOrName) -> Column:
     return _c(col).cast("double")
+
+
+# Mode with ties to the smallest value, as an algebraic max over one bigint.
+# Values must lie in [0, MODE_SLOTS); counts below 2**57 keep the key exact.
+MODE_SLOTS = 64
+
+
+def mode_key(count: ColumnOrName, value: ColumnOrName) -> Column:
+    """Pack (count, value) so that max() picks the highest count and, among
+    equal counts, the smallest value.  A bigint keeps the aggregate in
+    Spark's fixed-width hash aggregation (a struct buffer would force a
+    sort-based aggregate)."""
+    return _c(count).cast("bigint") * MODE_SLOTS + (MODE_SLOTS - 1 - _c(value).cast("bigint"))
+
+
+def mode_value(key: ColumnOrName) -> Column:
+    return (F.lit(MODE_SLOTS - 1) - (_c(key) % MODE_SLOTS)).cast("int")
+
+
+def month_index(col: ColumnOrName) -> Column:
+    """Calendar month as an integer (year * 12 + month - 1): orders like the
+    month and aggregates with fixed-width (hash-aggregate) buffers."""
+    return (F.year(_c(col)) * 12 + F.month(_c(col)) - 1).cast("int")
+
+
+def month_index_text(col: ColumnOrName) -> Column:
+    """``yyyy-MM`` text of a month index."""
+    c = _c(col)
+    return F.date_format(F.make_date(F.floor(c / 12).cast("int"), (c % 12 + 1).cast("int"), F.lit(1)), "yyyy-MM")

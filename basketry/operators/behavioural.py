@@ -23,7 +23,7 @@ from ..config import (
     COL_REVENUE,
     COL_STOCK_CODE,
 )
-from ..functions.numeric import days_between, rnd, starts_with_prefix, weekday0
+from ..functions.numeric import days_between, mode_key, mode_value, rnd, starts_with_prefix, weekday0
 
 CUST = COL_CUSTOMER_ID
 
@@ -57,24 +57,24 @@ def temporal(df: DataFrame) -> DataFrame:
     (mode of the hour, smallest on ties).
 
     Lines are first counted per (customer, weekday, hour) — at most 168 rows
-    per customer — then reduced per customer with ``max(struct(count,
-    -value))`` for both modes."""
+    per customer — then reduced per customer with ``max`` of a packed
+    (count, value) key for both modes."""
     slot = df.select(
         CUST, weekday0(COL_INVOICE_DATE).alias("wd"), F.hour(COL_INVOICE_DATE).alias("hr")
     ).groupBy(CUST, "wd", "hr").agg(F.count(F.lit(1)).alias("n"))
     by_wd = slot.groupBy(CUST, "wd").agg(F.sum("n").alias("n"))
     by_hr = slot.groupBy(CUST, "hr").agg(F.sum("n").alias("n"))
     wd = by_wd.groupBy(CUST).agg(
-        F.max(F.struct(F.col("n"), (-F.col("wd")).alias("neg"))).alias("best"),
+        F.max(mode_key("n", "wd")).alias("best"),
         F.sum(F.when(F.col("wd") >= 5, F.col("n")).otherwise(0)).alias("weekend"),
         F.sum("n").alias("lines"),
     ).select(
         CUST,
-        (-F.col("best.neg")).cast("int").alias("PreferredDayOfWeek"),
+        mode_value("best").alias("PreferredDayOfWeek"),
         rnd(F.col("weekend") / F.col("lines"), 4).alias("WeekendRatio"),
     )
-    hr = by_hr.groupBy(CUST).agg(F.max(F.struct(F.col("n"), (-F.col("hr")).alias("neg"))).alias("best")).select(
-        CUST, (-F.col("best.neg")).cast("int").alias("PreferredHour")
+    hr = by_hr.groupBy(CUST).agg(F.max(mode_key("n", "hr")).alias("best")).select(
+        CUST, mode_value("best").alias("PreferredHour")
     )
     return wd.join(hr, CUST, "inner")
 

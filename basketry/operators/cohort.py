@@ -22,11 +22,13 @@ def cohort(df: DataFrame) -> DataFrame:
     (distinct purchase months), DaysSinceFirstPurchase (whole days between
     first and last line).  Months are pre-aggregated per (customer, month)
     so the distinct count is a plain count after a partial aggregate."""
-    per_month = df.groupBy(CUST, month_text(COL_INVOICE_DATE).alias("m")).agg(
+    from ..functions.numeric import month_index, month_index_text
+
+    per_month = df.groupBy(CUST, month_index(COL_INVOICE_DATE).alias("m")).agg(
         F.min(COL_INVOICE_DATE).alias("t0"), F.max(COL_INVOICE_DATE).alias("t1")
     )
     return per_month.groupBy(CUST).agg(
-        F.min("m").alias("CohortMonth"),
+        month_index_text(F.min("m")).alias("CohortMonth"),
         F.count(F.lit(1)).alias("ActiveMonths"),
         F.min("t0").alias("first_ts"),
         F.max("t1").alias("last_ts"),
@@ -100,12 +102,12 @@ def line_level_features(clean: DataFrame, snapshot=None) -> DataFrame:
     third of all lines is still spread over many reducers.  Level 2 reduces
     those rows per customer with conditional algebraic aggregates."""
     from .rfm import _snapshot_frame
-    from ..functions.numeric import rnd, weekday0
+    from ..functions.numeric import mode_key, mode_value, month_index, month_index_text, rnd, weekday0
 
     d = clean.select(
         CUST, COL_INVOICE, COL_STOCK_CODE, COL_QUANTITY, COL_INVOICE_DATE, COL_REVENUE,
         weekday0(COL_INVOICE_DATE).alias("wd"), F.hour(COL_INVOICE_DATE).alias("hr"),
-        month_text(COL_INVOICE_DATE).alias("m"),
+        month_index(COL_INVOICE_DATE).alias("m"),
     )
     lvl1 = d.groupingSets(list(_SETS.values()), *_GROUP_COLS).agg(
         F.grouping_id().alias("gid"),
@@ -123,10 +125,10 @@ def line_level_features(clean: DataFrame, snapshot=None) -> DataFrame:
         F.min(F.when(g["inv"], F.col("t0"))).alias("first_ts"),
         F.avg(F.when(g["inv"], F.col("total"))).alias("aov"),
         F.stddev_samp(F.when(g["inv"], F.col("total").cast("double"))).alias("spend_std"),
-        F.max(F.when(g["wd"], F.struct(F.col("n"), (-F.col("wd")).alias("neg")))).alias("wd_best"),
+        F.max(F.when(g["wd"], mode_key("n", "wd"))).alias("wd_best"),
         F.sum(F.when(g["wd"] & (F.col("wd") >= 5), F.col("n")).otherwise(0)).alias("weekend"),
         F.sum(F.when(g["wd"], F.col("n"))).alias("lines"),
-        F.max(F.when(g["hr"], F.struct(F.col("n"), (-F.col("hr")).alias("neg")))).alias("hr_best"),
+        F.max(F.when(g["hr"], mode_key("n", "hr"))).alias("hr_best"),
         F.count_if(g["sku"]).alias("unique_skus"),
         F.sum(F.when(g["sku"], F.col("q"))).alias("total_items"),
         F.count_if(g["m"]).alias("active_months"),
@@ -147,13 +149,13 @@ def line_level_features(clean: DataFrame, snapshot=None) -> DataFrame:
         rnd(F.log1p(rev), 4).alias("Log_Monetary"),
         rnd("aov", 2).alias("AOV"),
         rnd("spend_std", 2).alias("SpendStd"),
-        (-F.col("wd_best.neg")).cast("int").alias("PreferredDayOfWeek"),
+        mode_value("wd_best").alias("PreferredDayOfWeek"),
         rnd(F.col("weekend") / F.col("lines"), 4).alias("WeekendRatio"),
-        (-F.col("hr_best.neg")).cast("int").alias("PreferredHour"),
+        mode_value("hr_best").alias("PreferredHour"),
         F.col("unique_skus").cast("bigint").alias("UniqueSKUs"),
         F.col("total_items").cast("bigint").alias("TotalItems"),
         rnd((F.col("lines") - F.col("unique_skus")) / F.col("lines"), 4).alias("RepeatSKURatio"),
-        F.col("cohort_month").alias("CohortMonth"),
+        month_index_text("cohort_month").alias("CohortMonth"),
         F.col("active_months").cast("bigint").alias("ActiveMonths"),
         days_between("first_ts", "last_ts").cast("bigint").alias("DaysSinceFirstPurchase"),
     )

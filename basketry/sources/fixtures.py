@@ -67,7 +67,9 @@ def raw_order_lines(spark: SparkSession, sf_dir: str, with_part_status: bool = F
     li_cols = ["l_orderkey", "l_partkey", "l_quantity", "l_returnflag"]
     if with_part_status:
         li_cols.append("l_linestatus")
-    li = table(spark, sf_dir, "lineitem").select(*li_cols)
+    from .io import ensure_parallelism
+
+    li = ensure_parallelism(table(spark, sf_dir, "lineitem").select(*li_cols))
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice")
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")

@@ -160,13 +160,25 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+def ensure_parallelism(df: DataFrame, minimum: int | None = None) -> DataFrame:
+    """Round-robin repartition ONLY when the input yields fewer partitions
+    than the cluster's default parallelism (e.g. a single-row-group file).
+    Large inputs already split into many tasks and are returned unchanged,
+    so no shuffle is added at scale."""
+    spark = df.sparkSession
+    target = minimum or spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Cut lineage by writing ``df`` as parquet under the checkpoint folder
     and reading it back (survives executor loss, unlike local checkpoints)."""
     spark = df.sparkSession
     base = checkpoint_dir(spark)
     path = os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
-    df.write.mode("overwrite").parquet(path)
+    ensure_parallelism(df).write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 
