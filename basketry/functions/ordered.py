@@ -88,3 +88,35 @@ def hash_bucket(hex_col: str | Column, digits: int = 3) -> Column:
     its first ``digits`` hex characters (16**digits buckets)."""
     c = F.col(hex_col) if isinstance(hex_col, str) else hex_col
     return F.conv(F.substring(c, 1, digits), 16, 10).cast("int")
+
+
+def exact_quantiles(df: DataFrame, col: str, probs: dict[str, float], by: list[str] | None = None,
+                    n_buckets: int = 256) -> DataFrame:
+    """Exact, linearly interpolated quantiles (the definition of Spark's
+    ``percentile``, pandas' and DuckDB's ``quantile_cont``) without holding
+    a value->count map for a whole group in one task.
+
+    Values are counted per distinct value, ranked with ``prefix_sums``
+    (bucketed, so a large group is spread over many tasks), and the values at
+    ranks floor(h) and ceil(h), h = (n - 1) * p, are picked by a filtered
+    aggregate.  Output: ``by`` columns + one column per name in ``probs``."""
+    by = list(by or [])
+    v = df.select(*by, F.col(col).cast("double").alias("__v")).filter(F.col("__v").isNotNull())
+    g = v.groupBy(*by, "__v").agg(F.count(F.lit(1)).alias("__c"))
+    ranked = prefix_sums(g, ["__v"], ["__c"], partition_cols=by, n_buckets=n_buckets)
+    tot = g.groupBy(*by).agg(F.sum("__c").alias("__n"))
+    j = ranked.join(tot, by, "inner") if by else ranked.crossJoin(F.broadcast(tot))
+    start, stop = F.col("__c_before"), F.col("__c_before") + F.col("__c")
+    aggs = [F.max("__n").alias("__n")]
+    for name, p in probs.items():
+        h = (F.col("__n") - 1) * F.lit(float(p))
+        for tag, r in (("lo", F.floor(h)), ("hi", F.ceil(h))):
+            aggs.append(F.max(F.when((start <= r) & (r < stop), F.col("__v"))).alias(f"{name}__{tag}"))
+    res = j.groupBy(*by).agg(*aggs)
+    out = [F.col(c) for c in by]
+    for name, p in probs.items():
+        h = (F.col("__n") - 1) * F.lit(float(p))
+        lo, hi = F.floor(h), F.ceil(h)
+        vlo, vhi = F.col(f"{name}__lo"), F.col(f"{name}__hi")
+        out.append(F.when(lo == hi, vlo).otherwise((hi - h) * vlo + (h - lo) * vhi).alias(name))
+    return res.select(*out)

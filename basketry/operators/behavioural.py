@@ -169,21 +169,32 @@ def fill_defaults(df: DataFrame) -> DataFrame:
     return df.na.fill({k: v for k, v in FILL_DEFAULTS.items() if k in df.columns})
 
 
+BEHAVIOURAL_COLUMNS = [
+    CUST, "AOV", "SpendStd", "PreferredDayOfWeek", "WeekendRatio", "PreferredHour", "UniqueSKUs",
+    "TotalItems", "RepeatSKURatio", "AvgGap", "StdGap", "ReturnRate",
+]
+
+
 def behavioural(df: DataFrame, raw: DataFrame | None = None, level: str = "line") -> DataFrame:
-    """Left-join AOV/SpendStd, temporal, product, gap and return-rate
-    groups on the customer key, then fill the expected NULLs with 0.  All
-    inputs are one-row-per-customer aggregates hash-partitioned on the key,
-    so the joins are shuffle-free merges of co-partitioned sides (AQE keeps
-    the partitioning when it coalesces)."""
-    invoices = invoice_totals(df)
-    aov = invoices.groupBy(CUST).agg(
-        rnd(F.avg("total"), 2).alias("AOV"),
-        rnd(F.stddev_samp(F.col("total").cast("double")), 2).alias("SpendStd"),
-    )
+    """AOV/SpendStd, temporal, product, gap and return-rate groups per
+    customer, NULLs filled with 0.  Line-level groups come from the fused
+    grouping-sets pass (``cohort.line_level_features``); gaps and returns
+    are left-joined on the customer key (one-row-per-customer sides)."""
+    from .cohort import line_level_features
+
+    base = line_level_features(df)
+    out = base.join(purchase_gaps(df), CUST, "left").join(return_rate(raw, df, level), CUST, "left")
+    return fill_defaults(out).select(*BEHAVIOURAL_COLUMNS)
+
+
+def behavioural_joined(df: DataFrame, raw: DataFrame | None = None, level: str = "line") -> DataFrame:
+    """Reference-shaped plan: the five groups computed separately and
+    left-joined (kept to check the fused plan against)."""
     out = (
-        aov.join(temporal(df), CUST, "left")
+        order_value(df)
+        .join(temporal(df), CUST, "left")
         .join(product_diversity(df), CUST, "left")
-        .join(purchase_gaps(df, invoices), CUST, "left")
+        .join(purchase_gaps(df), CUST, "left")
         .join(return_rate(raw, df, level), CUST, "left")
     )
-    return fill_defaults(out)
+    return fill_defaults(out).select(*BEHAVIOURAL_COLUMNS)

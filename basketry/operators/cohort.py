@@ -165,11 +165,11 @@ def feature_matrix_joined(clean: DataFrame, raw: DataFrame | None = None, snapsh
                           return_level: str = "line") -> DataFrame:
     """Reference-shaped plan: each feature group computed on its own and
     left-joined (kept to check the fused plan against)."""
-    from .behavioural import behavioural
+    from .behavioural import behavioural_joined
     from .rfm import rfm
 
     r = rfm(clean, snapshot)
-    b = behavioural(clean, raw, return_level)
+    b = behavioural_joined(clean, raw, return_level)
     c = cohort(clean)
     return r.join(b, CUST, "left").join(c, CUST, "left").select(*FEATURE_COLUMNS)
 

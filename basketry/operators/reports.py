@@ -150,7 +150,10 @@ def sample_n(df: DataFrame, n: int = 2000, seed: int = 42, key: str = CUST) -> D
 
 # L13 ------------------------------------------------------------------------
 def median_of(df: DataFrame, col: str = "Monetary") -> DataFrame:
-    return df.agg(F.median(F.col(col).cast("double")).alias(f"median_{col}"))
+    """Exact median without a single-task value map (``exact_quantiles``)."""
+    from ..functions.ordered import exact_quantiles
+
+    return exact_quantiles(df, col, {f"median_{col}": 0.5})
 
 
 # L14 ------------------------------------------------------------------------

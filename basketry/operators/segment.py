@@ -132,13 +132,14 @@ def revenue_concentration(df: DataFrame, by: str = "SegmentLabel") -> DataFrame:
 def box_stats(df: DataFrame, by: str, col: str, digits: int = 6) -> DataFrame:
     """Box-plot statistics per group: exact quartiles (linear), IQR,
     whiskers at the furthest values within 1.5 IQR of the box, outlier
-    count.  Quartiles are one grouped aggregate joined back to the rows
-    (one row per group on the small side); quartiles are reported to
+    count.  Quartiles are exact and distributed (``exact_quantiles``), joined
+    back to the rows (one row per group on the small side); reported to
     ``digits`` decimals (house rule), whiskers are data values."""
+    from ..functions.ordered import exact_quantiles
+
     v = F.col(col).cast("double")
-    q = df.groupBy(by).agg(
-        F.percentile(v, 0.25).alias("q1"), F.percentile(v, 0.5).alias("median"), F.percentile(v, 0.75).alias("q3"),
-        F.count(v).alias("n"),
+    q = exact_quantiles(df, col, {"q1": 0.25, "median": 0.5, "q3": 0.75}, by=[by]).join(
+        df.groupBy(by).agg(F.count(v).alias("n")), by, "inner"
     ).withColumn("iqr", F.col("q3") - F.col("q1"))
     lo_f = F.col("q1") - 1.5 * F.col("iqr")
     hi_f = F.col("q3") + 1.5 * F.col("iqr")
