@@ -14,6 +14,7 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -36,7 +37,14 @@ def append_new(batch: DataFrame, target: str, keys: list[str] | None = None,
     new = batch.dropDuplicates(keys)
     if _exists(spark, target):
         stored = spark.read.parquet(target).select(*keys)
-        new = new.join(stored, keys, "left_anti")
+        # NULL-safe key equality (a NULL key part must match a stored NULL);
+        # Spark still plans <=> keys as an equi-join.
+        l, r = new.alias("__new"), stored.alias("__old")
+        cond = None
+        for k in keys:
+            c = F.col(f"__new.`{k}`").eqNullSafe(F.col(f"__old.`{k}`"))
+            cond = c if cond is None else cond & c
+        new = l.join(r, cond, "left_anti").select(*[F.col(f"__new.`{k}`").alias(k) for k in batch.columns])
     return save_table(new, name=None, mode="append", path=target, partition_by=partition_by)
 
 

@@ -85,12 +85,13 @@ def test_incremental_append_idempotent(spark):
     from basketry.streaming.incremental import append_new
 
     target = os.path.join(tempfile.mkdtemp(prefix="incr-"), "t")
-    a = spark.createDataFrame([(1, "x"), (2, "y"), (2, "y")], "k int, v string")
-    b = spark.createDataFrame([(2, "y"), (3, "z")], "k int, v string")
-    assert append_new(a, target) == 2
+    a = spark.createDataFrame([(1, "x"), (2, "y"), (2, "y"), (4, None)], "k int, v string")
+    b = spark.createDataFrame([(2, "y"), (3, "z"), (4, None)], "k int, v string")
+    assert append_new(a, target) == 3
     assert append_new(b, target) == 1
     assert append_new(b, target) == 0
-    assert sorted(tuple(r) for r in spark.read.parquet(target).collect()) == [(1, "x"), (2, "y"), (3, "z")]
+    got = sorted((tuple(r) for r in spark.read.parquet(target).collect()), key=str)
+    assert got == sorted([(1, "x"), (2, "y"), (3, "z"), (4, None)], key=str)
 
 
 def test_streaming_foreach_batch(spark):
