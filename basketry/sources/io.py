@@ -152,6 +152,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (no machine-local fallback on a cluster)")
         import tempfile
 
         d = tempfile.mkdtemp(prefix="basketry-ckpt-")

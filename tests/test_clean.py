@@ -122,3 +122,22 @@ def test_clean_audit_counts(spark):
     assert audit["remove_cancellations"] == (4, 1, 3)
     assert audit["keep_positive"] == (3, 1, 2)
     assert audit["dedup_rows"] == (2, 1, 1)
+
+
+def test_read_transactions_skips_failing_part(spark, tmp_path):
+    from basketry.sources import io as sio
+
+    good = tmp_path / "good"
+    spark.createDataFrame([("1", "A", "x", 2, "2020-01-01 10:00:00", Decimal("1.00"), "7", "UK")],
+                          sio.RAW_SCHEMA).write.option("header", "true").csv(str(good))
+    df = sio.read_transactions(spark, {"Sheet1": str(good), "Broken": str(tmp_path / "missing")}, fmt="csv")
+    rows = df.collect()
+    assert len(rows) == 1 and rows[0]._source_sheet == "Sheet1" and rows[0].Quantity == 2
+    with pytest.raises(RuntimeError):
+        sio.read_transactions(spark, {"Broken": str(tmp_path / "missing")}, fmt="csv")
+
+
+def test_validate_raw_missing_column(spark):
+    df = spark.createDataFrame([("1",)], "InvoiceNo string")
+    with pytest.raises(q.ValidationError, match="Missing required columns"):
+        q.validate_raw(df)
