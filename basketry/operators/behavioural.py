@@ -1,7 +1,7 @@
 """Behavioural features.
 
 Skew handling: every per-customer statistic is an algebraic aggregate
-(sum / count / max of a struct / stddev) computed from a pre-aggregated
+(sum / count / max of a packed bigint / stddev) computed from a pre-aggregated
 input, so Spark's map-side partial aggregation collapses a hot customer on
 every task before the shuffle.  The only order-dependent feature, the gap
 between consecutive invoices, is computed with windows partitioned by

@@ -40,8 +40,14 @@ def parse_dates(df: DataFrame, col: str) -> DataFrame:
 
 # B3 -------------------------------------------------------------------------
 def drop_null(df: DataFrame, col: str | list[str]) -> DataFrame:
+    """Drop rows with a NULL in any listed column.  Written as IsNotNull
+    filters (pushed to the scan); ``na.drop`` compiles to AtLeastNNonNulls,
+    which is not pushed down."""
     cols = [col] if isinstance(col, str) else list(col)
-    return df.na.drop(subset=cols)
+    cond = None
+    for c in cols:
+        cond = F.col(c).isNotNull() if cond is None else cond & F.col(c).isNotNull()
+    return df.filter(cond)
 
 
 # B4 -------------------------------------------------------------------------
@@ -59,15 +65,19 @@ def normalise_id(df: DataFrame, col: str) -> DataFrame:
 def remove_cancellations(df: DataFrame, col: str, prefix: str = "C") -> DataFrame:
     """Drop lines whose invoice starts with the cancellation prefix; a NULL
     invoice is kept."""
-    return df.filter(~starts_with_prefix(col, prefix))
+    # Same rows as NOT coalesce(startswith, false), written so the scan can
+    # take it as a pushed filter (IsNull OR NOT StringStartsWith).
+    c = F.col(col).cast("string")
+    return df.filter(c.isNull() | ~c.startswith(prefix))
 
 
 # B6 -------------------------------------------------------------------------
 def keep_positive(df: DataFrame, cols: list[str]) -> DataFrame:
     """Keep rows where every listed column is > 0 (NULL fails)."""
-    cond = F.lit(True)
+    cond = None
     for c in cols:
-        cond = cond & F.coalesce(F.col(c) > 0, F.lit(False))
+        # a NULL comparison drops the row, as false would; kept pushable
+        cond = (F.col(c) > 0) if cond is None else cond & (F.col(c) > 0)
     return df.filter(cond)
 
 

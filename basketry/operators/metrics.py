@@ -91,8 +91,8 @@ def roc_curve(df: DataFrame, y: str, p: str) -> DataFrame:
 # J11 ------------------------------------------------------------------------
 def best_f1_threshold(df: DataFrame, y: str, p: str) -> DataFrame:
     """Threshold maximising F1 = 2PR/(P+R+1e-9) over the PR curve; on ties
-    the lowest threshold wins.  Predictions with it use ``score >
-    threshold`` (the reference's rule), reported as ``f1_strict``."""
+    the lowest threshold wins.  The reference then predicts with
+    ``score > threshold``; callers apply that rule to the returned value.""" 
     curve = pr_curve(df, y, p).withColumn(
         "f1", F.lit(2.0) * F.col("precision") * F.col("recall") / (F.col("precision") + F.col("recall") + F.lit(1e-9))
     )

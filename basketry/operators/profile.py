@@ -160,7 +160,8 @@ def valid_lines(raw: DataFrame, prefix: str = CANCELLATION_PREFIX) -> DataFrame:
     Revenue = Quantity x UnitPrice."""
     from .clean import revenue_expr
 
-    return raw.filter(~starts_with_prefix(COL_INVOICE, prefix) & F.col(COL_CUSTOMER_ID).isNotNull()).withColumn(
+    inv = F.col(COL_INVOICE)
+    return raw.filter((inv.isNull() | ~inv.startswith(prefix)) & F.col(COL_CUSTOMER_ID).isNotNull()).withColumn(
         COL_REVENUE, revenue_expr(COL_QUANTITY, COL_PRICE)
     )
 
