@@ -140,17 +140,21 @@ def risk_tier(col: str | Column, include_lowest: bool = True) -> Column:
     )
 
 
-def score_churn(model, df: DataFrame, prob_digits: int = 4) -> DataFrame:
+def score_churn(model, df: DataFrame, prob_digits: int = 4, tier_from_rounded: bool = True) -> DataFrame:
     """Probability of class 1 (4 dp), predicted class (model's decision at
-    0.5) and risk tier from the rounded probability."""
+    0.5) and risk tier.  The batch job bins the ROUNDED probability; the
+    request path bins the raw one and rounds afterwards
+    (``tier_from_rounded=False``)."""
     from pyspark.ml.functions import vector_to_array
 
-    scored = model.transform(df)
+    scored = model.transform(df).withColumn("__p", vector_to_array("probability")[1])
+    tier = risk_tier(rnd("__p", prob_digits)) if tier_from_rounded else risk_tier("__p")
     return scored.select(
         CUST,
-        rnd(vector_to_array("probability")[1], prob_digits).alias("ChurnProb"),
+        rnd("__p", prob_digits).alias("ChurnProb"),
         F.col("prediction").cast("int").alias("Churned"),
-    ).withColumn("ChurnRisk", risk_tier("ChurnProb"))
+        tier.alias("ChurnRisk"),
+    )
 
 
 # J15 ------------------------------------------------------------------------

@@ -224,7 +224,7 @@ def l18_score_churn_requests(spark, sf):
     good, _ = q.validate_requests(reqs, "churn")
     inv = {k: v for k, v in REQ_MAP.items()}
     x = good.select(F.col("customer_id").alias("CustomerID"), *[F.col(k).cast("double").alias(v) for k, v in inv.items() if v in used])
-    return ch.score_churn(model, x).select(
+    return ch.score_churn(model, x, tier_from_rounded=False).select(
         F.col("CustomerID").alias("customer_id"), F.col("ChurnProb").alias("churn_prob"),
         F.col("Churned").alias("churned"), F.col("ChurnRisk").alias("churn_risk"),
     )

@@ -120,3 +120,44 @@ def test_single_customer_single_line(spark):
 def test_empty_input(spark):
     df = frame(spark, [])
     assert coh.feature_matrix(df, None).count() == 0
+
+
+def test_constant_column_scales_to_zero(spark):
+    from basketry.operators import segment as sg
+
+    df = spark.createDataFrame([("a", 5.0, 1.0), ("b", 5.0, 3.0)], "CustomerID string, k double, v double")
+    z = {r.CustomerID: r for r in sg.scale_features(df, ["k", "v"]).collect()}
+    assert z["a"].k_scaled == 0.0 and z["b"].k_scaled == 0.0
+    assert z["a"].v_scaled == -1.0 and z["b"].v_scaled == 1.0  # population std
+
+
+def test_missing_profile_all_null_column(spark):
+    from basketry.operators import profile as pf
+
+    df = spark.createDataFrame([(1, None), (2, None), (None, None)], "a int, b string")
+    rows = {r.column_name: (r.missing, r.pct) for r in pf.missing_profile(df).collect()}
+    assert rows == {"b": (3, 100.0), "a": (1, 33.33)}
+
+
+def test_single_row_stratum_split(spark):
+    from basketry.operators import churn as ch
+
+    df = spark.createDataFrame([("1", 1), ("2", 0), ("3", 0), ("4", 0), ("5", 0)], "CustomerID string, y int")
+    s = {r.CustomerID: r.split for r in ch.stratified_split(df, "y", 0.2, 42).collect()}
+    assert s["1"] == "train"  # round_half_up(1 * 0.2) = 0 test rows for that class
+    assert sum(1 for v in s.values() if v == "test") == 1
+
+
+def test_exact_quantiles_match_percentile(spark):
+    import random
+
+    from basketry.functions.ordered import exact_quantiles
+
+    rnd = random.Random(11)
+    rows = [(i % 3, float(rnd.randint(0, 50))) for i in range(400)]
+    df = spark.createDataFrame(rows, "g int, v double")
+    mine = {r.g: (r.q1, r.med, r.q9) for r in exact_quantiles(df, "v", {"q1": 0.1, "med": 0.5, "q9": 0.9}, by=["g"]).collect()}
+    ref = {r.g: (r.a, r.b, r.c) for r in df.groupBy("g").agg(
+        F.percentile("v", 0.1).alias("a"), F.percentile("v", 0.5).alias("b"), F.percentile("v", 0.9).alias("c")).collect()}
+    for g in ref:
+        assert mine[g] == pytest.approx(ref[g], abs=1e-12)
