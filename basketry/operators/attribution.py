@@ -141,14 +141,21 @@ def shap_values(model, df: DataFrame, features: list[str], key: str = "CustomerI
     """Per-row Shapley values of the model margin: (key, phi_<feature>...)."""
     spark = df.sparkSession
     leaves, weights = leaf_table(model, spark)
-    bc = spark.sparkContext.broadcast((leaves, weights))
+    # The leaf table is bounded by trees x 2^depth entries; broadcast it
+    # (Connect sessions ship it inside the function closure instead).
+    try:
+        bc = spark.sparkContext.broadcast((leaves, weights))
+        get = lambda: bc.value
+    except Exception:  # noqa: BLE001
+        payload = (leaves, weights)
+        get = lambda: payload
     nf = len(features)
     schema = f"{key} string, " + ", ".join(f"`phi_{c}` double" for c in features)
 
     def run(batches):
         import pandas as pd
 
-        lv, wt = bc.value
+        lv, wt = get()
         for pdf in batches:
             x = pdf[features].to_numpy(dtype=float)
             phi = shap_batch(x, lv, wt, nf)

@@ -41,7 +41,9 @@ def staged(spark, sf, name, build):
     query starts from its stage's input instead of re-running the chain."""
     import os
 
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf), name)
+    from ..session import app_id
+
+    key = (app_id(spark), os.path.abspath(sf), name)
     if key not in _STAGED:
         _STAGED[key] = sio.materialise(build(), name)
     return _STAGED[key]

@@ -20,6 +20,7 @@ from ..operators import metrics as mt
 from ..operators import segment as sg
 from ..sources import io as sio
 from ..sources import standins as si
+from ..session import app_id
 from .catalog import register
 from .queries_analytics import features, segments
 from .queries_core import CFG, clean_lines, raw
@@ -30,7 +31,7 @@ _FITS: dict = {}
 
 
 def _cached(spark, sf, name, build):
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf), name)
+    key = (app_id(spark), os.path.abspath(sf), name)
     if key not in _FITS:
         _FITS[key] = build()
     return _FITS[key]

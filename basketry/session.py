@@ -34,3 +34,18 @@ def get_spark(cores: int | str | None = None, shuffle_partitions: int | None = N
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+def app_id(spark: SparkSession) -> str:
+    """Application id (works for classic and Connect sessions)."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001 - Connect sessions have no SparkContext
+        return spark.conf.get("spark.app.id", None) or str(id(spark))
+
+
+def default_parallelism(spark: SparkSession) -> int:
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001
+        return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))

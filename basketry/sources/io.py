@@ -149,16 +149,22 @@ def checkpoint_dir(spark: SparkSession) -> str:
     ``spark.checkpoint.dir``; a scratch folder is set only when the session
     has none (local tests)."""
     d = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: configuration only
+        sc = None
+    if not d and sc is not None:
+        d = sc.getCheckpointDir()
     if not d:
-        d = spark.sparkContext.getCheckpointDir()
-    if not d:
-        if not spark.sparkContext.master.startswith("local"):
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+        if not master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder (no machine-local fallback on a cluster)")
         import tempfile
 
         d = tempfile.mkdtemp(prefix="basketry-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+    if sc is not None:
+        sc.setCheckpointDir(d)
     return d
 
 
@@ -167,9 +173,15 @@ def ensure_parallelism(df: DataFrame, minimum: int | None = None) -> DataFrame:
     than the cluster's default parallelism (e.g. a single-row-group file).
     Large inputs already split into many tasks and are returned unchanged,
     so no shuffle is added at scale."""
+    from ..session import default_parallelism
+
     spark = df.sparkSession
-    target = minimum or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
+    target = minimum or default_parallelism(spark)
+    try:
+        n = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (Spark Connect): leave as is
+        return df
+    if n < target:
         return df.repartition(target)
     return df
 

@@ -18,10 +18,15 @@ from pyspark.sql import functions as F
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(conf).exists(p)
+    """True when ``path`` holds a readable parquet table (schema resolution
+    only — no rows are read)."""
+    from pyspark.errors import AnalysisException
+
+    try:
+        spark.read.parquet(path).schema
+        return True
+    except AnalysisException:
+        return False
 
 
 def append_new(batch: DataFrame, target: str, keys: list[str] | None = None,
