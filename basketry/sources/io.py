@@ -172,7 +172,8 @@ def ensure_parallelism(df: DataFrame, minimum: int | None = None) -> DataFrame:
     """Round-robin repartition ONLY when the input yields fewer partitions
     than the cluster's default parallelism (e.g. a single-row-group file).
     Large inputs already split into many tasks and are returned unchanged,
-    so no shuffle is added at scale."""
+    so no shuffle is added at scale.  Meant for SCANS: on a plan with
+    exchanges, reading the partition count makes AQE execute the plan."""
     from ..session import default_parallelism
 
     spark = df.sparkSession
@@ -192,8 +193,10 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     base = checkpoint_dir(spark)
     path = os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
-    ensure_parallelism(df).write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    df.write.mode("overwrite").parquet(path)
+    # The partition check runs on the re-read SCAN (cheap), never on the
+    # plan being written (that would execute it twice under AQE).
+    return ensure_parallelism(spark.read.parquet(path))
 
 
 __all__ = [
