@@ -134,11 +134,10 @@ def line_level_features(clean: DataFrame, snapshot=None) -> DataFrame:
         F.count_if(g["m"]).alias("active_months"),
         F.min(F.when(g["m"], F.col("m"))).alias("cohort_month"),
     )
-    snap = (
-        per.agg((F.max("last_ts") + F.expr("INTERVAL 1 DAY")).alias("snapshot"))
-        if snapshot is None
-        else _snapshot_frame(clean, snapshot)
-    )
+    # The snapshot comes from its own one-column global max over the lines
+    # (a pruned scan + partial aggregate).  Deriving it from ``per`` would
+    # make Spark run the whole grouping-sets pipeline a second time.
+    snap = _snapshot_frame(clean, snapshot)
     rev = F.col("revenue").cast("double")
     return per.crossJoin(F.broadcast(snap)).select(
         CUST,

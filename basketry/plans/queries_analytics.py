@@ -37,16 +37,21 @@ def features(spark, sf):
 
 
 def segments(spark, sf):
-    return si.standin_segments(features(spark, sf))
+    """The segment-results table (stand-in segments), written once."""
+    from .queries_core import staged
+
+    return staged(spark, sf, "segment_results", lambda: si.standin_segments(features(spark, sf)))
 
 
 def churn(spark, sf):
-    return si.standin_churn(features(spark, sf))
+    """The churn-predictions table (stand-in scores), written once."""
+    from .queries_core import staged
+
+    return staged(spark, sf, "churn_predictions", lambda: si.standin_churn(features(spark, sf)))
 
 
 def master(spark, sf):
-    f = features(spark, sf)
-    return rp.master_view(si.standin_segments(f), si.standin_churn(f))
+    return rp.master_view(segments(spark, sf), churn(spark, sf))
 
 
 # --- SQL twins of the stand-ins ------------------------------------------------
@@ -904,8 +909,7 @@ FROM segments s LEFT JOIN churn c ON c.CustomerID = s.CustomerID WHERE s.Custome
     ),
 )
 def l14_customer_profile(spark, sf):
-    f = features(spark, sf)
-    return rp.customer_profile(si.standin_segments(f), si.standin_churn(f), request_ids(spark, sf))
+    return rp.customer_profile(segments(spark, sf), churn(spark, sf), request_ids(spark, sf))
 
 
 @register(
