@@ -121,3 +121,18 @@ def test_jobs_end_to_end(spark):
     assert sum(v for k, v in seg.items() if k.startswith("segment_") and k.endswith("_count")) == 150
     churn = jobs.run_churn(spark, out, ChurnConfig(n_estimators=5))
     assert churn["scored"] == 150 and 0.0 <= churn["test_roc_auc"] <= 1.0
+
+    # saved models round-trip: reloading and re-scoring gives the stored table
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.clustering import KMeansModel
+
+    from basketry.operators import churn as ch
+
+    model = PipelineModel.load(os.path.join(out, "models/churn"))
+    stored = spark.read.parquet(os.path.join(out, jobs.PREDICTIONS))
+    seg = spark.read.parquet(os.path.join(out, jobs.SEGMENTS))
+    sel, _ = ch.select_features(ch.churn_label(seg), list(ChurnConfig().feature_columns), keep=("CustomerID",))
+    again = ch.score_churn(model, sel)
+    assert sorted(again.collect()) == sorted(stored.drop("split").collect())
+    km = KMeansModel.load(os.path.join(out, "models/kmeans"))
+    assert len(km.clusterCenters()) == 4
