@@ -175,7 +175,8 @@ BEHAVIOURAL_COLUMNS = [
 ]
 
 
-def behavioural(df: DataFrame, raw: DataFrame | None = None, level: str = "line") -> DataFrame:
+def behavioural(df: DataFrame, raw: DataFrame | None = None, level: str = "line",
+                invoices: DataFrame | None = None) -> DataFrame:
     """AOV/SpendStd, temporal, product, gap and return-rate groups per
     customer, NULLs filled with 0.  Line-level groups come from the fused
     grouping-sets pass (``cohort.line_level_features``); gaps and returns
@@ -183,7 +184,7 @@ def behavioural(df: DataFrame, raw: DataFrame | None = None, level: str = "line"
     from .cohort import line_level_features
 
     base = line_level_features(df)
-    out = base.join(purchase_gaps(df), CUST, "left").join(return_rate(raw, df, level), CUST, "left")
+    out = base.join(purchase_gaps(df, invoices), CUST, "left").join(return_rate(raw, df, level), CUST, "left")
     return fill_defaults(out).select(*BEHAVIOURAL_COLUMNS)
 
 

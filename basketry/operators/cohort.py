@@ -51,18 +51,23 @@ def with_cohort(df: DataFrame) -> DataFrame:
 
 # G1 -------------------------------------------------------------------------
 def feature_matrix(clean: DataFrame, raw: DataFrame | None = None, snapshot=None,
-                   return_level: str = "line") -> DataFrame:
+                   return_level: str = "line", invoices: DataFrame | None = None) -> DataFrame:
     """RFM ⟕ behavioural ⟕ cohort on the customer key (RFM is the base).
 
     Physical plan (fused, see ``line_level_features``): every line-level
     statistic comes from ONE grouping-sets aggregate over the lines (one
     scan, one Expand, partial aggregation, one shuffle) reduced per customer
     by a second aggregate; only the order-dependent gaps and the raw-table
-    return rate are separate branches."""
+    return rate are separate branches.
+
+    ``invoices`` (optional): a materialised ``behavioural.invoice_totals``
+    table.  The gap computation reads invoice times twice (in-day window and
+    per-day boundaries); from a written invoice table that is two cheap
+    scans instead of two line-volume aggregations."""
     from .behavioural import fill_defaults, purchase_gaps, return_rate
 
     base = line_level_features(clean, snapshot)
-    gaps = purchase_gaps(clean)
+    gaps = purchase_gaps(clean, invoices)
     returns = return_rate(raw, clean, return_level)
     out = base.join(gaps, CUST, "left").join(returns, CUST, "left")
     return fill_defaults(out).select(*FEATURE_COLUMNS)

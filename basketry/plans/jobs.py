@@ -32,8 +32,9 @@ from ..sources import io as sio
 
 log = logging.getLogger("basketry.jobs")
 
-RAW, CLEAN, FEATURES, SEGMENTS, PREDICTIONS, RUNS = (
-    "raw_transactions", "cleaned_transactions", "customer_features", "segment_results", "churn_predictions", "runs",
+RAW, CLEAN, INVOICES, FEATURES, SEGMENTS, PREDICTIONS, RUNS = (
+    "raw_transactions", "cleaned_transactions", "invoices", "customer_features", "segment_results",
+    "churn_predictions", "runs",
 )
 
 
@@ -65,7 +66,11 @@ def run_features(spark: SparkSession, out: str) -> dict:
     t0 = time.time()
     clean = sio.prepare_clean(spark.read.parquet(_p(out, CLEAN)).drop("invoice_month"))
     raw = spark.read.parquet(_p(out, RAW))
-    feats = coh.feature_matrix(clean, raw)
+    from ..operators.behavioural import invoice_totals
+
+    _write(invoice_totals(clean), _p(out, INVOICES))
+    invoices = spark.read.parquet(_p(out, INVOICES))
+    feats = coh.feature_matrix(clean, raw, invoices=invoices)
     n = _write(feats, _p(out, FEATURES))
     q.validate_features(spark.read.parquet(_p(out, FEATURES)))
     return {"customers": n, "seconds": round(time.time() - t0, 2)}

@@ -33,7 +33,12 @@ def features(spark, sf):
     """The customer feature table written by the feature stage."""
     from .queries_core import staged
 
-    return staged(spark, sf, "customer_features", lambda: coh.feature_matrix(clean_lines(spark, sf), raw(spark, sf)))
+    from .queries_core import invoices
+
+    return staged(
+        spark, sf, "customer_features",
+        lambda: coh.feature_matrix(clean_lines(spark, sf), raw(spark, sf), invoices=invoices(spark, sf)),
+    )
 
 
 def segments(spark, sf):

@@ -59,6 +59,12 @@ def clean_lines(spark, sf):
     return staged(spark, sf, "cleaned_transactions", lambda: cl.clean(raw(spark, sf), CFG, validate=False))
 
 
+def invoices(spark, sf):
+    """Invoice-level table (customer, invoice, total, first time, lines)
+    written by the feature stage for the gap computation."""
+    return staged(spark, sf, "invoices", lambda: beh.invoice_totals(clean_lines(spark, sf)))
+
+
 LINE_COLS_SQL = (
     "InvoiceNo, StockCode, Description, Quantity, InvoiceDate, CAST(UnitPrice AS DOUBLE) AS UnitPrice, "
     "CustomerID, Country"
@@ -368,7 +374,7 @@ def e10_return_rate_fallback(spark, sf):
 
 @register("e11_behavioural", o.with_ctes(FEAT, "SELECT * FROM f_behavioural"))
 def e11_behavioural(spark, sf):
-    return beh.behavioural(clean_lines(spark, sf), raw(spark, sf))
+    return beh.behavioural(clean_lines(spark, sf), raw(spark, sf), invoices=invoices(spark, sf))
 
 
 @register(
@@ -447,4 +453,4 @@ def f5_validate_cohort(spark, sf):
 # --- G: feature matrix ---------------------------------------------------------
 @register("g1_feature_matrix", o.with_ctes(FEAT, "SELECT * FROM features"))
 def g1_feature_matrix(spark, sf):
-    return coh.feature_matrix(clean_lines(spark, sf), raw(spark, sf))
+    return coh.feature_matrix(clean_lines(spark, sf), raw(spark, sf), invoices=invoices(spark, sf))
