@@ -256,7 +256,7 @@ def a4_save_verify(spark, sf):
 
 @register("a6_ensure_database")
 def a6_ensure_database(spark, sf):
-    sio.ensure_database(spark, "retail")
+    sio.ensure_database(spark, "retail", os.path.join(sio.checkpoint_dir(spark), "warehouse", "retail.db"))
     return spark.sql("SHOW DATABASES").filter(F.col("namespace") == "retail")
 
 

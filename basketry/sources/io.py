@@ -115,8 +115,11 @@ def verify_count(spark: SparkSession, name: str | None, expected: int, path: str
 
 
 # A6 -------------------------------------------------------------------------
-def ensure_database(spark: SparkSession, name: str) -> None:
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`")
+def ensure_database(spark: SparkSession, name: str, location: str | None = None) -> None:
+    """Create the namespace if missing (optionally at an explicit shared
+    location instead of the session's default warehouse)."""
+    loc = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}`{loc}")
 
 
 # A7 -------------------------------------------------------------------------
