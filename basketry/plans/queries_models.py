@@ -232,7 +232,13 @@ def l18_score_churn_requests(spark, sf):
 
 
 # --- A: writers and checks ------------------------------------------------------------------
-@register("a3_validate_raw")
+@register(
+    "a3_validate_raw",
+    __import__("basketry.plans.oracle", fromlist=["x"]).with_ctes(
+        __import__("basketry.plans.oracle", fromlist=["x"]).RAW_CTE,
+        "SELECT count(*) AS rows, true AS required_columns_present FROM raw",
+    ),
+)
 def a3_validate_raw(spark, sf):
     from ..operators import quality as q
 
@@ -241,7 +247,14 @@ def a3_validate_raw(spark, sf):
     return r.agg(F.count(F.lit(1)).alias("rows")).withColumn("required_columns_present", F.lit(True))
 
 
-@register("a4_save_verify")
+@register(
+    "a4_save_verify",
+    __import__("basketry.plans.oracle", fromlist=["x"]).with_ctes(
+        __import__("basketry.plans.oracle", fromlist=["x"]).CLEAN_CTE,
+        "SELECT strftime(InvoiceDate, '%Y-%m') AS invoice_month, count(*) AS rows, "
+        "(SELECT count(*) FROM clean) AS verified_total FROM clean GROUP BY 1",
+    ),
+)
 def a4_save_verify(spark, sf):
     """Write the cleaned lines partitioned by invoice month, verify the
     stored count equals the observed written count (A4, A5, A9, A10)."""
@@ -249,9 +262,9 @@ def a4_save_verify(spark, sf):
     written = sio.save_table(sio.with_month_partition(clean_lines(spark, sf)), None, "overwrite", path, ["invoice_month"])
     stored = sio.verify_count(spark, None, written, path)
     back = spark.read.parquet(path)
-    return back.groupBy("invoice_month").agg(F.count(F.lit(1)).alias("rows")).withColumn(
-        "verified_total", F.lit(stored)
-    )
+    return back.groupBy(F.col("invoice_month").cast("string").alias("invoice_month")).agg(
+        F.count(F.lit(1)).alias("rows")
+    ).withColumn("verified_total", F.lit(stored).cast("bigint"))
 
 
 @register("a6_ensure_database")
