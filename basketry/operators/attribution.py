@@ -177,3 +177,52 @@ def mean_abs_shap(model, df: DataFrame, features: list[str], key: str = "Custome
     long = one.selectExpr(f"stack({len(features)}, {body}) AS (feature, mean_abs_shap)")
     out = long.orderBy(F.desc("mean_abs_shap"), "feature")
     return out.limit(top) if top else out
+
+
+def tree_outputs(x: np.ndarray, leaves, n_trees: int) -> np.ndarray:
+    """Raw output of every tree for a batch of rows (rows x trees): each
+    row reaches exactly one leaf per tree."""
+    out = np.zeros((x.shape[0], n_trees))
+    for t, value, path in leaves:
+        ok = np.ones(x.shape[0], dtype=bool)
+        for f, kind, param, go_left, _ in path:
+            col = x[:, f]
+            left = col <= param if kind == "num" else np.isin(col, param)
+            ok &= left if go_left else ~left
+        out[ok, t] += value
+    return out
+
+
+def prefix_margins(model, df: DataFrame, features: list[str], label: str) -> DataFrame:
+    """``(k, margin, label)`` for every row and every ensemble size k =
+    1..trees: the model margin using only its first k trees.  Rows x trees
+    output, computed per Arrow batch from the bounded leaf table."""
+    spark = df.sparkSession
+    leaves, weights = leaf_table(model, spark)
+    n_trees = len(weights)
+    w = np.asarray(weights)
+    try:
+        bc = spark.sparkContext.broadcast((leaves, w))
+        get = lambda: bc.value
+    except Exception:  # noqa: BLE001
+        payload = (leaves, w)
+        get = lambda: payload
+
+    def run(batches):
+        import pandas as pd
+
+        lv, wt = get()
+        ks = np.arange(1, n_trees + 1, dtype=np.int32)
+        for pdf in batches:
+            x = pdf[features].to_numpy(dtype=float)
+            cum = np.cumsum(tree_outputs(x, lv, n_trees) * wt, axis=1)
+            n = x.shape[0]
+            yield pd.DataFrame({
+                "k": np.tile(ks, n),
+                "margin": cum.reshape(-1),
+                "label": np.repeat(pdf[label].to_numpy(dtype=np.int32), n_trees),
+            })
+
+    return df.select(*[F.col(c).cast("double") for c in features], F.col(label).cast("int").alias(label)).mapInPandas(
+        run, "k int, margin double, label int"
+    )

@@ -15,16 +15,19 @@ from ..functions.numeric import rnd
 from ..functions.ordered import prefix_sums
 
 
-def score_counts(df: DataFrame, y: str, p: str) -> DataFrame:
-    """``(score, pos, neg, tp, fp, P, N)`` per distinct score where tp/fp
-    count rows with score >= this score (threshold semantics of a
-    precision-recall curve)."""
-    g = df.groupBy(F.col(p).cast("double").alias("score")).agg(
+def score_counts(df: DataFrame, y: str, p: str, by: list[str] | None = None) -> DataFrame:
+    """``(by..., score, pos, neg, tp, fp, P, N)`` per distinct score where
+    tp/fp count rows with score >= this score (threshold semantics of a
+    precision-recall curve); ``by`` evaluates several score sets at once."""
+    by = list(by or [])
+    g = df.groupBy(*by, F.col(p).cast("double").alias("score")).agg(
         F.count_if(F.col(y) == 1).alias("pos"), F.count_if(F.col(y) != 1).alias("neg")
     )
-    totals = g.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    pre = prefix_sums(g, ["score"], ["pos", "neg"], descending=True)
-    return pre.crossJoin(F.broadcast(totals)).select(
+    totals = g.groupBy(*by).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
+    pre = prefix_sums(g, ["score"], ["pos", "neg"], partition_cols=by, descending=True)
+    j = pre.join(totals, by, "inner") if by else pre.crossJoin(F.broadcast(totals))
+    return j.select(
+        *by,
         "score",
         "pos",
         "neg",
@@ -36,19 +39,22 @@ def score_counts(df: DataFrame, y: str, p: str) -> DataFrame:
 
 
 # J8 -------------------------------------------------------------------------
-def roc_auc(df: DataFrame, y: str, p: str) -> DataFrame:
+def roc_auc(df: DataFrame, y: str, p: str, by: list[str] | None = None) -> DataFrame:
     """Exact ROC-AUC with ties counted one half (Mann-Whitney form):
     sum over scores of pos * (negatives strictly below + neg/2) / (P*N),
-    accumulated in integers (doubled) and divided once."""
-    s = score_counts(df, y, p)
+    accumulated in integers (doubled) and divided once.  With ``by``, one
+    AUC per group (e.g. per ensemble size)."""
+    by = list(by or [])
+    s = score_counts(df, y, p, by)
     # negatives strictly below = N - fp  (fp counts negatives >= score)
     num2 = F.sum(
         F.col("pos").cast("decimal(38,0)") * (2 * (F.col("N") - F.col("fp")) + F.col("neg")).cast("decimal(38,0)")
     )
-    return s.agg(num2.alias("num2"), F.first("P").alias("P"), F.first("N").alias("N")).select(
+    return s.groupBy(*by).agg(num2.alias("num2"), F.first("P").alias("P"), F.first("N").alias("N")).select(
+        *by,
         F.try_divide(
             F.col("num2").cast("double"), (F.lit(2.0) * F.col("P").cast("double") * F.col("N").cast("double"))
-        ).alias("roc_auc")
+        ).alias("roc_auc"),
     )
 
 

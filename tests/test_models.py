@@ -136,3 +136,32 @@ def test_jobs_end_to_end(spark):
     assert sorted(again.collect()) == sorted(stored.drop("split").collect())
     km = KMeansModel.load(os.path.join(out, "models/kmeans"))
     assert len(km.clusterCenters()) == 4
+
+
+def test_best_iteration_patience():
+    from basketry.operators.churn import best_iteration
+
+    aucs = [(1, 0.6), (2, 0.7), (3, 0.69), (4, 0.71), (5, 0.70), (6, 0.70), (7, 0.99)]
+    assert best_iteration(aucs, patience=2) == 4  # stops at 6 before seeing 7
+    assert best_iteration(aucs, patience=5) == 7
+
+
+def test_prefix_margins_and_refit_prefix(spark, blobs):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import GBTClassifier
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.functions import vector_to_array
+
+    df = blobs.withColumn("label", (F.col("a") + F.col("c") > 5).cast("int"))
+    feats = ["a", "b", "c"]
+
+    def fit(n):
+        return Pipeline(stages=[VectorAssembler(inputCols=feats, outputCol="features"),
+                                GBTClassifier(maxIter=n, maxDepth=3, seed=3, subsamplingRate=0.8)]).fit(
+            df.withColumn("label", F.col("label").cast("double")))
+
+    full, short = fit(6), fit(4)
+    pm = at.prefix_margins(full, df, feats, "label").filter(F.col("k") == 4)
+    mine = sorted(r.margin for r in pm.collect())
+    theirs = sorted(r.m for r in short.transform(df).select(vector_to_array("rawPrediction")[1].alias("m")).collect())
+    assert np.allclose(mine, theirs, atol=1e-9)  # prefix of 6 trees == refit with 4
