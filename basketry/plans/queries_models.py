@@ -164,8 +164,12 @@ def j6_fit_churn(spark, sf):
 
 @register("j7_cross_validate")
 def j7_cross_validate(spark, sf):
+    """5-fold CV with the tree count early stopping chose for the main model
+    (the reference's CV model uses the chosen iteration count)."""
     data, used = churn_data(spark, sf)
-    return ch.cross_validate(data.filter(F.col("split") == "train"), used, "churn_label", 5, ChurnConfig(n_estimators=QUERY_TREES))
+    model, _ = churn_model(spark, sf)
+    k = len(model.stages[-1].trees)
+    return ch.cross_validate(data.filter(F.col("split") == "train"), used, "churn_label", 5, ChurnConfig(n_estimators=k))
 
 
 @register("j13_score_churn")
