@@ -162,14 +162,29 @@ def vectorise(df: DataFrame, cols: list[str], out: str = "features") -> DataFram
     return VectorAssembler(inputCols=list(cols), outputCol=out, handleInvalid="keep").transform(df)
 
 
+def ml_layout(df: DataFrame, cols: list[str], key: str = CUST) -> DataFrame:
+    """Vector table laid out by the customer key (range-partitioned into the
+    default parallelism, sorted within partitions) so that seeded
+    initialisations that sample per partition give the same fit whatever
+    the input partitioning was."""
+    from ..session import default_parallelism
+
+    if key in df.columns:
+        base = df.select(key, *cols).repartitionByRange(default_parallelism(df.sparkSession), key).sortWithinPartitions(key)
+    else:
+        base = df.select(*cols)
+    return vectorise(base, cols).select("features")
+
+
 def fit_kmeans(df: DataFrame, cols: list[str], k: int = 4, n_init: int = 10, seed: int = 42,
-               max_iter: int = 300, tol: float = 1e-4):
+               max_iter: int = 300, tol: float = 1e-4, key: str = CUST):
     """Best of ``n_init`` K-Means runs (k-means|| init, seeds seed..seed+n-1)
     by training cost (inertia).  spark.ml has no n_init, so the starts are
-    a driver loop of distributed fits over the cached vector table."""
+    a driver loop of distributed fits over the cached vector table (laid
+    out by ``ml_layout``)."""
     from pyspark.ml.clustering import KMeans
 
-    data = vectorise(df.select(*cols), cols).select("features").cache()
+    data = ml_layout(df, cols, key).cache()
     best = None
     try:
         for i in range(n_init):
@@ -226,7 +241,7 @@ def stability(df: DataFrame, cols: list[str], k: int = 4, n_seeds: int = 10, see
 
     from .metrics import adjusted_rand_pairs
 
-    base = vectorise(df.select(*cols), cols).select("features").cache()
+    base = ml_layout(df, cols).cache()
     try:
         labelled = base
         names = []

@@ -165,3 +165,12 @@ def test_prefix_margins_and_refit_prefix(spark, blobs):
     mine = sorted(r.margin for r in pm.collect())
     theirs = sorted(r.m for r in short.transform(df).select(vector_to_array("rawPrediction")[1].alias("m")).collect())
     assert np.allclose(mine, theirs, atol=1e-9)  # prefix of 6 trees == refit with 4
+
+
+def test_kmeans_fit_independent_of_input_partitioning(blobs):
+    a = sg.fit_kmeans(blobs.repartition(3), ["a", "b"], k=3, n_init=2, seed=9)
+    b = sg.fit_kmeans(blobs.repartition(11), ["a", "b"], k=3, n_init=2, seed=9)
+    assert a[1] == pytest.approx(b[1])
+    ca = sorted(tuple(c) for _, c in sg.model_centres(a[0]))
+    cb = sorted(tuple(c) for _, c in sg.model_centres(b[0]))
+    assert np.allclose(np.array(ca), np.array(cb), atol=1e-9)
