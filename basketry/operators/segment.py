@@ -182,18 +182,24 @@ def fit_kmeans(df: DataFrame, cols: list[str], k: int = 4, n_init: int = 10, see
     by training cost (inertia).  spark.ml has no n_init, so the starts are
     a driver loop of distributed fits over the cached vector table (laid
     out by ``ml_layout``)."""
-    from pyspark.ml.clustering import KMeans
-
     data = ml_layout(df, cols, key).cache()
-    best = None
     try:
-        for i in range(n_init):
-            model = KMeans(k=k, seed=seed + i, maxIter=max_iter, tol=tol, featuresCol="features").fit(data)
-            cost = model.summary.trainingCost
-            if best is None or cost < best[1]:
-                best = (model, cost)
+        return best_of_n(data, k, n_init, seed, max_iter, tol)
     finally:
         data.unpersist()
+
+
+def best_of_n(data: DataFrame, k: int, n_init: int, seed: int, max_iter: int = 300, tol: float = 1e-4):
+    """Lowest-inertia model of ``n_init`` seeded fits on a prepared
+    ``features`` vector table; returns (model, inertia)."""
+    from pyspark.ml.clustering import KMeans
+
+    best = None
+    for i in range(n_init):
+        model = KMeans(k=k, seed=seed + i, maxIter=max_iter, tol=tol, featuresCol="features").fit(data)
+        cost = model.summary.trainingCost
+        if best is None or cost < best[1]:
+            best = (model, cost)
     return best
 
 
@@ -215,15 +221,19 @@ def silhouette(df: DataFrame, cols: list[str], pred: str = "Segment", measure: s
 
 
 def elbow(df: DataFrame, cols: list[str], ks=range(2, 11), seed: int = 42, n_init: int = 1) -> DataFrame:
-    """(k, inertia, silhouette) for each k."""
-    rows = []
-    for k in ks:
-        model, cost = fit_kmeans(df, cols, k=k, n_init=n_init, seed=seed)
-        pred = model.transform(vectorise(df.select(*cols), cols)).withColumnRenamed("prediction", "Segment")
-        from pyspark.ml.evaluation import ClusteringEvaluator
+    """(k, inertia, silhouette) for each k (H9/H10); one cached vector table
+    serves every fit."""
+    from pyspark.ml.evaluation import ClusteringEvaluator
 
-        sil = ClusteringEvaluator(featuresCol="features", predictionCol="Segment").evaluate(pred)
-        rows.append((int(k), float(cost), float(sil)))
+    data = ml_layout(df, cols).cache()
+    rows = []
+    try:
+        for k in ks:
+            model, cost = best_of_n(data, int(k), n_init, seed)
+            sil = ClusteringEvaluator(featuresCol="features", predictionCol="prediction").evaluate(model.transform(data))
+            rows.append((int(k), float(cost), float(sil)))
+    finally:
+        data.unpersist()
     return df.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette double")
 
 
