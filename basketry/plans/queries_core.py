@@ -341,12 +341,14 @@ def e5_product_diversity(spark, sf):
     o.with_ctes(FEAT, "SELECT CustomerID, CAST(GapDays AS BIGINT) AS GapDays FROM f_gap_rows WHERE GapDays IS NOT NULL"),
 )
 def e7_order_gaps(spark, sf):
-    return beh.order_gaps(clean_lines(spark, sf)).select("CustomerID", F.col("GapDays").cast("bigint"))
+    return beh.order_gaps(clean_lines(spark, sf), invoices(spark, sf)).select(
+        "CustomerID", F.col("GapDays").cast("bigint")
+    )
 
 
 @register("e8_purchase_gaps", o.with_ctes(FEAT, "SELECT * FROM f_gaps"))
 def e8_purchase_gaps(spark, sf):
-    return beh.purchase_gaps(clean_lines(spark, sf))
+    return beh.purchase_gaps(clean_lines(spark, sf), invoices(spark, sf))
 
 
 @register("e9_return_rate", o.with_ctes(FEAT, "SELECT * FROM f_returns"))
