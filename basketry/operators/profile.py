@@ -284,3 +284,26 @@ def correlation_matrix(df: DataFrame, cols: list[str], digits: int = 6) -> DataF
     diag = df.sparkSession.createDataFrame([(c, c, 1.0) for c in cols], "feature_a string, feature_b string, corr double")
     out = diag if off is None else off.unionByName(diag)
     return out.select("feature_a", "feature_b", rnd("corr", digits).alias("corr"))
+
+
+def describe_text(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
+    """Summary of text columns ``(column_name, count, unique, top, freq)``:
+    non-null count, distinct values, most frequent value (smallest on ties)
+    and its frequency.  One grouped count per column (partial aggregation
+    collapses a hot value on every task), then a small per-column reduce."""
+    if cols is None:
+        cols = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    out = None
+    for c in cols:
+        vc = df.filter(F.col(c).isNotNull()).groupBy(F.col(c).alias("v")).agg(F.count(F.lit(1)).alias("n"))
+        stats = vc.agg(F.sum("n").alias("count"), F.count(F.lit(1)).alias("unique"), F.max("n").alias("freq"))
+        top = vc.join(F.broadcast(stats.select("freq")), vc.n == F.col("freq")).agg(F.min("v").alias("top"))
+        row = stats.crossJoin(F.broadcast(top)).select(
+            F.lit(c).alias("column_name"),
+            F.col("count").cast("bigint"),
+            F.col("unique").cast("bigint"),
+            "top",
+            F.col("freq").cast("bigint"),
+        )
+        out = row if out is None else out.unionByName(row)
+    return out

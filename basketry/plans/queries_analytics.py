@@ -216,6 +216,25 @@ def c5_describe(spark, sf):
     return pf.describe(raw(spark, sf), ["Quantity", "UnitPrice"])
 
 
+TEXT_COLS = ["InvoiceNo", "StockCode", "Description", "CustomerID", "Country"]
+
+
+def _describe_text_sql(cols):
+    parts = []
+    for c in cols:
+        vc = f"(SELECT {c} AS v, count(*) AS n FROM raw WHERE {c} IS NOT NULL GROUP BY 1)"
+        parts.append(
+            f"SELECT '{c}' AS column_name, CAST(sum(n) AS BIGINT) AS count, CAST(count(*) AS BIGINT) AS \"unique\", "
+            f"(SELECT min(v) FROM {vc} WHERE n = (SELECT max(n) FROM {vc})) AS top, CAST(max(n) AS BIGINT) AS freq FROM {vc}"
+        )
+    return " UNION ALL ".join(parts)
+
+
+@register("c5_describe_text", o.with_ctes(o.RAW_CTE, _describe_text_sql(TEXT_COLS)))
+def c5_describe_text(spark, sf):
+    return pf.describe_text(raw(spark, sf), TEXT_COLS)
+
+
 @register(
     "c6_schema_profile",
     o.with_ctes(
