@@ -21,7 +21,7 @@ import time
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import RFM_FEATURE_COLUMNS, ChurnConfig, ETLConfig, SegmentationConfig
+from ..config import ChurnConfig, ETLConfig, SegmentationConfig
 from ..operators import churn as ch
 from ..operators import clean as cl
 from ..operators import cohort as coh

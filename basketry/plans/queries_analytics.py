@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..config import CHURN_FEATURE_COLUMNS, CHURN_REQUEST_RULES, RFM_FEATURE_COLUMNS, ChurnConfig
+from ..config import CHURN_FEATURE_COLUMNS, CHURN_REQUEST_RULES, RFM_FEATURE_COLUMNS
 from ..functions.numeric import rnd
 from ..operators import churn as ch
 from ..operators import clean as cl
@@ -23,7 +23,7 @@ from ..sources import fixtures as fx
 from ..sources import standins as si
 from . import oracle as o
 from .catalog import register
-from .queries_core import CFG, clean_lines, doubles, raw
+from .queries_core import clean_lines, doubles, raw
 
 FEAT = o.FEATURE_CTE
 C = o.CLEAN_CTE

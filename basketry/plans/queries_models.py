@@ -14,16 +14,15 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..config import CHURN_FEATURE_COLUMNS, RFM_FEATURE_COLUMNS, ChurnConfig, SegmentationConfig
-from ..functions.numeric import rnd
 from ..operators import churn as ch
 from ..operators import metrics as mt
 from ..operators import segment as sg
-from ..sources import io as sio
-from ..sources import standins as si
 from ..session import app_id
+from ..sources import io as sio
+from . import oracle as o
 from .catalog import register
-from .queries_analytics import features, segments
-from .queries_core import CFG, clean_lines, raw
+from .queries_analytics import features
+from .queries_core import clean_lines, raw
 
 QUERY_TREES = 30
 SCALED = [f"{c}_scaled" for c in RFM_FEATURE_COLUMNS]
@@ -238,8 +237,8 @@ def l18_score_churn_requests(spark, sf):
 # --- A: writers and checks ------------------------------------------------------------------
 @register(
     "a3_validate_raw",
-    __import__("basketry.plans.oracle", fromlist=["x"]).with_ctes(
-        __import__("basketry.plans.oracle", fromlist=["x"]).RAW_CTE,
+    o.with_ctes(
+        o.RAW_CTE,
         "SELECT count(*) AS rows, true AS required_columns_present FROM raw",
     ),
 )
@@ -253,8 +252,8 @@ def a3_validate_raw(spark, sf):
 
 @register(
     "a4_save_verify",
-    __import__("basketry.plans.oracle", fromlist=["x"]).with_ctes(
-        __import__("basketry.plans.oracle", fromlist=["x"]).CLEAN_CTE,
+    o.with_ctes(
+        o.CLEAN_CTE,
         "SELECT strftime(InvoiceDate, '%Y-%m') AS invoice_month, count(*) AS rows, "
         "(SELECT count(*) FROM clean) AS verified_total FROM clean GROUP BY 1",
     ),
@@ -279,8 +278,8 @@ def a6_ensure_database(spark, sf):
 
 @register(
     "a4_incremental_append",
-    __import__("basketry.plans.oracle", fromlist=["x"]).with_ctes(
-        __import__("basketry.plans.oracle", fromlist=["x"]).RAW_CTE,
+    o.with_ctes(
+        o.RAW_CTE,
         "SELECT DISTINCT InvoiceNo, StockCode, Description, Quantity, InvoiceDate, CAST(UnitPrice AS DOUBLE) AS UnitPrice, "
         "CustomerID, Country FROM raw",
     ),
