@@ -161,3 +161,11 @@ def test_exact_quantiles_match_percentile(spark):
         F.percentile("v", 0.1).alias("a"), F.percentile("v", 0.5).alias("b"), F.percentile("v", 0.9).alias("c")).collect()}
     for g in ref:
         assert mine[g] == pytest.approx(ref[g], abs=1e-12)
+
+
+def test_describe_text_top_ties_to_smallest(spark):
+    from basketry.operators import profile as pf
+
+    df = spark.createDataFrame([("b",), ("a",), ("b",), ("a",), ("c",), (None,)], "s string")
+    r = pf.describe_text(df, ["s"]).first()
+    assert (r["count"], r["unique"], r["top"], r["freq"]) == (5, 3, "a", 2)
