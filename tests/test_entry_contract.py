@@ -13,7 +13,7 @@ def test_every_oracle_has_a_query():
 
 def test_keys_follow_inventory_ids():
     for name in e.queries():
-        assert re.match(r"^(a|b|c|d|e|f|g|h|j|k|l)\d+_[a-z0-9_]+$|^dq1_[a-z_]+$", name), name
+        assert re.match(r"^(a|b|c|d|e|f|g|h|j|k|l)\d+_[a-z0-9_]+$|^dq1_[a-z_]+$|^op\d+_[a-z0-9_]+$|^pipeline$", name), name
 
 
 def test_oracle_sql_is_single_statement():
