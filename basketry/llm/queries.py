@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fertility, mixing, mixing_sql, secrets, sharding
+from . import fertility, mixing, mixing_sql, secrets, sharding, substrings
 from .common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,25 @@ def register(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return put
 
 
+OP2_SQL = r"""
+WITH w AS (SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS words FROM documents),
+s AS (SELECT doc_id, i, array_to_string(words[i:i + 12], ' ') AS win
+      FROM (SELECT doc_id, words, unnest(range(1, len(words) - 11)) AS i FROM w WHERE len(words) >= 13)),
+o AS (SELECT win, min(doc_id) AS lo FROM s GROUP BY win HAVING count(DISTINCT doc_id) > 1),
+c AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS p FROM s JOIN o USING (win) WHERE lo < doc_id),
+g AS (SELECT doc_id, list(p) AS gone FROM c GROUP BY doc_id),
+k AS (SELECT w.doc_id, words, coalesce(gone, []) AS gone FROM w LEFT JOIN g USING (doc_id))
+SELECT doc_id, len(words)::BIGINT AS n_words, len(gone)::BIGINT AS n_removed,
+       sha256(coalesce(array_to_string(list_filter(words, lambda x, i: NOT list_contains(gone, i)), ' '), '')) AS kept_sha256
+FROM k
+"""
+
+
+@register("op2_super_kmer_substrings", OP2_SQL)
+def op2_super_kmer_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.dedup_substrings(documents(spark, sf_dir))
+
+
 @register("op5_best_fit_sharding")
 def op5_best_fit_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = sharding.with_law(sharding.assign_shards(documents(spark, sf_dir), shards=8))
