@@ -4,7 +4,7 @@ folder, fixed-size bit sets, sorted group streaming and connected components."""
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -15,6 +15,8 @@ from pyspark.sql import types as T
 
 from basketry.sources.io import checkpoint_dir
 
+from .words import slices
+
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -105,6 +107,65 @@ def group_starts(*columns: np.ndarray) -> np.ndarray:
     return np.append(np.flatnonzero(new), n)
 
 
+BLOCK_BITS = 16
+
+
+def slot_counts(df: DataFrame, slots: Callable[[pa.RecordBatch], np.ndarray], bits: int,
+                at_least: tuple[int, ...] = ()) -> np.ndarray:
+    """How often each of 2**bits hashed slots occurs, up to 255; or with
+    ``at_least``, a bit set per threshold of the slots that reach it.
+
+    ``slots`` gives a slice's slots, once per document.  Each task sums its
+    own and sends blocks of about 3 bytes a distinct slot; blocks are merged
+    one at a time, in bounded memory.  The result is 2**bits bytes (or bits per
+    threshold) whatever the input: it may go to the driver and be broadcast."""
+    width = 1 << BLOCK_BITS
+
+    def packed(total: np.ndarray) -> bytes:
+        if at_least:
+            return b"".join(np.packbits(total >= n, bitorder="little").tobytes() for n in at_least)
+        return np.minimum(total, 255).astype(np.uint8).tobytes()
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        slot, times = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        for batch in batches:
+            for part in slices(batch, "text"):
+                more, n = np.unique(slots(part), return_counts=True)
+                both = np.concatenate((slot, more))
+                slot, back = np.unique(both, return_inverse=True)
+                times = np.bincount(back, weights=np.concatenate((times, n)), minlength=len(slot)).astype(np.int64)
+        block = (slot >> np.uint64(BLOCK_BITS)).astype(np.int64)
+        cut = group_starts(block)
+        low, seen = (slot & np.uint64(width - 1)).astype(np.uint16), np.minimum(times, 255).astype(np.uint8)
+        spans = list(zip(cut[:-1], cut[1:], strict=True))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(block[cut[:-1]].astype(np.int32)), pa.array([low[a:b].tobytes() for a, b in spans], pa.binary()),
+             pa.array([seen[a:b].tobytes() for a, b in spans], pa.binary())], ["block", "slot", "times"])
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, total = None, np.zeros(width, np.int64)
+        for batch in batches:
+            for block, slot, times in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                if block != now:
+                    if now is not None:
+                        yield pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([packed(total)])], ["block", "n"])
+                    now, total = block, np.zeros(width, np.int64)
+                total[np.frombuffer(slot, np.uint16)] += np.frombuffer(times, np.uint8)
+        if now is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([packed(total)])], ["block", "n"])
+
+    found = (
+        df.mapInArrow(count, "block int, slot binary, times binary")
+        .repartition("block").sortWithinPartitions("block").mapInArrow(merge, "block int, n binary").toArrow()
+    )
+    each = width // 8 if at_least else width
+    out = np.zeros((max(1, len(at_least)), (1 << bits) * each // width), np.uint8)
+    for block, n in zip(found["block"], found["n"], strict=True):
+        at = block.as_py() * each
+        out[:, at:at + each] = np.frombuffer(n.as_buffer(), np.uint8).reshape(-1, each)
+    return out.view(np.uint64) if at_least else out[0]
+
+
 def connected_components(ws: Workspace, edges: DataFrame, name: str) -> DataFrame:
     """(node, component) with component the smallest node reachable, for
     undirected edges (a, b) of longs.  Alternates large-star and small-star

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fertility, mixing, mixing_sql, secrets, sharding, substrings
+from . import fertility, jaccard, mixing, mixing_sql, secrets, sharding, substrings
 from .common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +45,27 @@ def op2_super_kmer_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.dedup_substrings(documents(spark, sf_dir))
 
 
+OP3_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[^\x20\x09-\x0D]+'), []) AS words FROM documents),
+g AS (SELECT DISTINCT doc_id, CASE WHEN len(words) < 4 THEN array_to_string(words, ' ')
+             ELSE array_to_string(words[i:i + 3], ' ') END AS s
+      FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 2, 2))) AS i FROM w WHERE len(words) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM g a JOIN g b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+l AS (SELECT p.a, p.b FROM p JOIN n x ON x.doc_id = p.a JOIN n y ON y.doc_id = p.b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+r AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a)
+SELECT r.a AS doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, min(r.b) AS component_id
+FROM r LEFT JOIN n ON n.doc_id = r.a GROUP BY r.a
+"""
+
+
+@register("op3_ngram_jaccard", OP3_SQL)
+def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar_documents(documents(spark, sf_dir), jaccard.Similarity(shingle=4, percent=85))
+
+
 @register("op5_best_fit_sharding")
 def op5_best_fit_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = sharding.with_law(sharding.assign_shards(documents(spark, sf_dir), shards=8))
