@@ -10,8 +10,8 @@ starts in a document with a smaller doc_id.
 
 Steps, each a Spark job over whole texts:
 1. Which minimisers occur in two documents or more?  Tasks send compact blocks
-   of hashed slots (about 2 bytes a minimiser), merged into a bit set of fixed
-   size.  It may let a few others through and never holds a shared one back.
+   of hashed slots (about 3 bytes a minimiser), merged into bit sets of fixed
+   size.  They may let a few others through and never hold a shared one back.
 2. Super-k-mers of shared minimisers are packed, combined per slice with their
    least and greatest doc_id, and shuffled to the minimiser's bucket; sorting
    the windows there gives the least doc_id of each, exactly, on the words.
@@ -21,7 +21,7 @@ Steps, each a Spark job over whole texts:
 4. Marks meet their document; only texts that may have marks are shuffled.
 
 Hot passages: a string is sent once per slice and not once per document; a
-minimiser found in many tasks has its windows sent one by one to buckets of
+minimiser found in 255 documents or more has its windows sent one by one to buckets of
 their own hash, so no bucket gathers its neighbourhood.  Runs of more than 62
 windows are cut.  Tables between steps are staged in the shared folder.
 
@@ -41,14 +41,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Workspace, bit_set, has_bit, sorted_groups
+from .common import Workspace, bit_set, has_bit, slot_counts, sorted_groups
 from .words import Words, batch_words, grams, mix64, slices
 
 K = 13
 M = 5
-SLOT_BITS = 26  # 8 MB of slots; more bits let fewer unshared minimisers through
-BLOCK_BITS = 16
-HOT_TASKS = 64  # a minimiser in so many tasks gets its windows sent singly
+SLOT_BITS = 28  # two tables of half as many slots, 64 MB; a minimiser must be shared in both
+HOT = 255  # a minimiser in so many documents gets its windows sent singly
 LONGEST = 62  # windows of a packed string; their marks fit one long
 DOC_BITS = 24
 
@@ -86,82 +85,36 @@ def super_kmers(w: Words, k: int = K, m: int = M) -> tuple[np.ndarray, ...]:
     return doc[at[begin]], at[begin], count, value[begin]
 
 
-def _slot(minimiser: np.ndarray) -> np.ndarray:
-    return mix64(minimiser) >> np.uint64(64 - SLOT_BITS)
+def _slots(minimiser: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A slot of the lower and one of the upper table."""
+    h, half = mix64(minimiser), np.uint64(1 << (SLOT_BITS - 1))
+    return h >> np.uint64(65 - SLOT_BITS), (h & (half - np.uint64(1))) + half
 
 
 def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), F.col("text")).filter("doc_id is not null")
 
 
-def shared_minimisers(docs: DataFrame, k: int = K, m: int = M) -> tuple[np.ndarray, np.ndarray]:
-    """Bit sets over minimiser slots: in two documents or more (and possibly a
-    few others), and in many tasks."""
-    low = np.uint64((1 << BLOCK_BITS) - 1)
+def shared_minimisers(docs: DataFrame, k: int = K, m: int = M) -> np.ndarray:
+    """Bit sets of the minimiser slots found in two documents, and in HOT."""
 
-    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        once, twice = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
-        for batch in batches:
-            for part in slices(batch, "text"):
-                ids = part.column(0).to_numpy()
-                doc, _, _, value = super_kmers(batch_words(part.column(1)), k, m)
-                pair = np.unique(np.rec.fromarrays([_slot(value), ids[doc]], names="s,d"))
-                slot, times = np.unique(pair["s"], return_counts=True)
-                again = np.intersect1d(slot, once, assume_unique=True)
-                twice = np.union1d(twice, np.concatenate((again, slot[times > 1])))
-                once = np.union1d(once, slot)
-        ids_, ones, twos = [], [], []
-        for b in np.unique(once >> np.uint64(BLOCK_BITS)):
-            lo, hi = np.uint64(b) << np.uint64(BLOCK_BITS), (np.uint64(b) + np.uint64(1)) << np.uint64(BLOCK_BITS)
-            for source, out in ((once, ones), (twice, twos)):
-                i, j = np.searchsorted(source, [lo, hi])
-                out.append((source[i:j] & low).astype(np.uint16).tobytes())
-            ids_.append(int(b))
-        yield pa.RecordBatch.from_arrays([pa.array(ids_, pa.int32()), pa.array(ones, pa.binary()), pa.array(twos, pa.binary())],
-                                         ["block", "once", "twice"])
-
-    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, tasks, twice = None, None, None
-
-        def done():
-            many = np.packbits((tasks > 1) | twice, bitorder="little").tobytes()
-            hot = np.packbits(tasks >= HOT_TASKS, bitorder="little").tobytes()
-            return pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([many]), pa.array([hot])],
-                                              ["block", "many", "hot"])
+    def slots(part: pa.RecordBatch) -> np.ndarray:
+        doc, _, _, value = super_kmers(batch_words(part.column(1)), k, m)
+        _, at = np.unique(value ^ mix64(doc.astype(np.uint64)), return_index=True)  # once a document
+        return np.concatenate(_slots(value[at]))
 
-        for batch in batches:
-            for b, one, two in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                if b != now:
-                    if now is not None:
-                        yield done()
-                    now, tasks, twice = b, np.zeros(1 << BLOCK_BITS, np.int32), np.zeros(1 << BLOCK_BITS, bool)
-                tasks[np.frombuffer(one, np.uint16)] += 1
-                twice[np.frombuffer(two, np.uint16)] = True
-        if now is not None:
-            yield done()
-
-    found = (
-        _texts(docs).mapInArrow(blocks, "block int, once binary, twice binary")
-        .repartition("block").sortWithinPartitions("block")
-        .mapInArrow(merge, "block int, many binary, hot binary").toArrow()  # 2**SLOT_BITS / 4 bytes at most
-    )
-    many, hot = (np.zeros(1 << (SLOT_BITS - 3), np.uint8) for _ in range(2))
-    width = 1 << (BLOCK_BITS - 3)
-    for b, x, y in zip(*(found[c].to_pylist() for c in found.column_names), strict=True):
-        many[b * width:(b + 1) * width] = np.frombuffer(x, np.uint8)
-        hot[b * width:(b + 1) * width] = np.frombuffer(y, np.uint8)
-    return many.view(np.uint64), hot.view(np.uint64)
+    return slot_counts(_texts(docs), slots, SLOT_BITS, (2, HOT))
 
 
-def _strings(part: pa.RecordBatch, many: np.ndarray, hot: np.ndarray, k: int, m: int):
+def _strings(part: pa.RecordBatch, sets: np.ndarray, k: int, m: int):
     """Packed strings to send from a slice: words, document index, position in
     the document, windows, bucket and string hash."""
     w = batch_words(part.column(1))
     doc, first, count, value = super_kmers(w, k, m)
-    slot = _slot(value)
-    keep = has_bit(many, slot)
-    doc, first, count, value, slot = doc[keep], first[keep], count[keep], value[keep], slot[keep]
-    single = has_bit(hot, slot)
+    lower, upper = _slots(value)
+    keep = has_bit(sets[0], lower) & has_bit(sets[0], upper)
+    doc, first, count, value = doc[keep], first[keep], count[keep], value[keep]
+    single = has_bit(sets[1], lower[keep]) & has_bit(sets[1], upper[keep])
     if single.any():
         gram = grams(w.hash, k)
         spread = np.where(single, count, 1)
@@ -229,13 +182,12 @@ def dedup_substrings(docs: DataFrame, k: int = K, m: int = M, texts: bool = Fals
     spark = docs.sparkSession
     ws = Workspace(spark, "substrings")
     source = _texts(docs)
-    many, hot = shared_minimisers(docs, k, m)
-    sets = spark.sparkContext.broadcast((many, hot))
+    sets = spark.sparkContext.broadcast(shared_minimisers(docs, k, m))
 
     def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                w, doc, first, count, value, digest = _strings(part, *sets.value, k, m)
+                w, doc, first, count, value, digest = _strings(part, sets.value, k, m)
                 if not len(doc):
                     continue
                 ids = part.column(0).to_numpy()[doc]
@@ -263,7 +215,7 @@ def dedup_substrings(docs: DataFrame, k: int = K, m: int = M, texts: bool = Fals
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                w, doc, first, _, value, digest = _strings(part, *sets.value, k, m)
+                w, doc, first, _, value, digest = _strings(part, sets.value, k, m)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(value.view(np.int64)), pa.array(digest.view(np.int64)), pa.array(part.column(0).to_numpy()[doc]),
                      pa.array((first - w.first[doc]).astype(np.int32))], ["mini", "digest", "doc", "pos"])
