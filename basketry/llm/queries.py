@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fertility, jaccard, mixing, mixing_sql, secrets, sharding, substrings
+from . import fertility, jaccard, mixing, mixing_sql, secrets, sharding, substrings, toxicity
 from .common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -86,3 +86,9 @@ def op9_structural_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_hierarchical_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     chosen = mixing.select_mixture(documents(spark, sf_dir), with_epoch=True)
     return chosen.select("doc_id", F.col("lang"), F.col("source"), "domain", "n_tokens", "epoch")
+
+
+@register("op6_kneser_ney_toxicity")
+def op6_kneser_ney_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return toxicity.score_documents(docs, toxicity.train(docs, documents(spark, sf_dir, "labels")))

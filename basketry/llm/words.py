@@ -37,6 +37,8 @@ _BYTE_LOWER = _BYTE.copy()
 _BYTE_LOWER[65:91] = _BYTE[97:123]
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
+_NOT_ALNUM = _SPACE.copy()  # ASCII marks part words too; other characters stay in them
+_NOT_ALNUM[[b for b in range(128) if not chr(b).isalnum()]] = True
 _powers: dict[int, np.ndarray] = {}
 
 
@@ -80,10 +82,12 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return offsets - offsets[0], raw[offsets[0]:offsets[-1]]
 
 
-def batch_words(column: pa.Array, lower: bool = False) -> Words:
+def batch_words(column: pa.Array, lower: bool = False, plain: bool = False) -> Words:
+    """Words of each text; ``lower`` hashes A-Z as a-z, and ``plain`` drops
+    ASCII punctuation (it then parts words as white space does)."""
     offsets, data = utf8(column)
     n = len(data)
-    solid = ~_SPACE[data]
+    solid = ~(_NOT_ALNUM if plain else _SPACE)[data]
     begin = solid.copy()
     begin[1:] &= ~solid[:-1]
     stop = solid.copy()
