@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fertility, jaccard, mixing, mixing_sql, secrets, sharding, substrings, toxicity
+from . import decontaminate, fertility, jaccard, mixing, mixing_sql, secrets, sharding, substrings, toxicity
 from .common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -92,3 +92,8 @@ def op10_hierarchical_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_kneser_ney_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     return toxicity.score_documents(docs, toxicity.train(docs, documents(spark, sf_dir, "labels")))
+
+
+@register("op8_latent_decontamination")
+def op8_latent_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
