@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, fertility, jaccard, mixing, mixing_sql, secrets, sharding, substrings, toxicity
+from . import decontaminate, fertility, jaccard, lines, mixing, mixing_sql, private, secrets, sharding, substrings, toxicity
 from .common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -97,3 +97,27 @@ def op6_kneser_ney_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op8_latent_decontamination")
 def op8_latent_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
+
+
+OP1_SQL = r"""
+WITH l AS (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents),
+p AS (SELECT doc_id, i, lines[i] AS x, lines[i + 1] AS y
+      FROM (SELECT doc_id, lines, unnest(range(1, len(lines))) AS i FROM l WHERE len(lines) > 1)),
+f AS (SELECT x, y, min({'d': doc_id, 'i': i}) AS first FROM p GROUP BY x, y HAVING count(*) > 1),
+g AS (SELECT DISTINCT doc_id, unnest([i, i + 1]) AS i FROM p JOIN f USING (x, y) WHERE {'d': doc_id, 'i': i} <> first),
+h AS (SELECT doc_id, list(i) AS gone FROM g GROUP BY doc_id)
+SELECT l.doc_id, coalesce(len(lines), 0)::BIGINT AS n_lines, coalesce(len(gone), 0)::BIGINT AS n_removed,
+       md5(coalesce(array_to_string(list_filter(lines, lambda x, i: NOT list_contains(coalesce(gone, []), i)), chr(10)), '')) AS kept_md5
+FROM l LEFT JOIN h USING (doc_id)
+"""
+
+
+@register("op1_suffix_array_lines", OP1_SQL)
+def op1_suffix_array_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = lines.dedup_lines(documents(spark, sf_dir))
+    return out.select("doc_id", "n_lines", "n_removed", F.md5("kept_text").alias("kept_md5"))
+
+
+@register("op4_bootstrapped_private")
+def op4_bootstrapped_private(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return private.find_private(documents(spark, sf_dir))
