@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from basketry.llm import fertility, mixing, sharding
+from basketry.llm import decontaminate, fertility, jaccard, mixing, sharding
 from basketry.llm.common import Workspace, documents
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -22,6 +22,17 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return fertility.keep_documents(docs)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays (five-word
+    shingles, similarity 0.8 or more)."""
+    return jaccard.one_per_group(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    return decontaminate.clean_documents(docs, documents(spark, sf_dir, "benchmark"))
+
+
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token budget of each leaf of the source tree; a document read in
     two epochs gives two rows."""
@@ -35,6 +46,8 @@ def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES: list[tuple[str, Stage]] = [
     ("quality_rules", quality_rules),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontamination),
     ("mixture", mixture),
     ("shards", shards),
 ]
