@@ -11,7 +11,6 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from basketry.sources.io import checkpoint_dir
 
@@ -175,7 +174,8 @@ def connected_components(ws: Workspace, edges: DataFrame, name: str) -> DataFram
     changes no edge."""
     e = ws.stage(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
                  .filter("a < b").distinct(), f"{name}-0")
-    step = 0
+    stat = [F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")]
+    step, seen = 0, e.agg(*stat).first()
     while True:
         both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy(F.col("a").alias("u")).agg(F.least(F.min("b"), F.min("a")).alias("m"))
@@ -187,18 +187,21 @@ def connected_components(ws: Workspace, edges: DataFrame, name: str) -> DataFram
             small.select(F.col("m").alias("a"), "b")).filter("a < b").distinct()
         step += 1
         nxt = ws.stage(nxt, f"{name}-{step}")
-        stat = [F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")]
-        if nxt.agg(*stat).first() == e.agg(*stat).first():
-            break
         ws.drop(f"{name}-{step - 1}")
-        e = nxt
+        e, before, seen = nxt, seen, nxt.agg(*stat).first()
+        if seen == before:
+            break
     return nxt.select(F.col("b").alias("node"), F.col("a").alias("component")).unionByName(
         nxt.select(F.col("a").alias("node"), F.col("a").alias("component"))).distinct()
 
 
-def seeded(seed: int, *cols: Column) -> Column:
-    """A 64-bit hash of the columns that depends on ``seed``."""
-    return F.xxhash64(F.lit(seed), *cols)
+BROADCAST_IDS = 2_000_000  # so many ids (32 MB) are broadcast, more are shuffled
 
 
-LONG, STRING, DOUBLE, BOOLEAN, BINARY = T.LongType(), T.StringType(), T.DoubleType(), T.BooleanType(), T.BinaryType()
+def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose doc_id is not in ``ids`` (one column)."""
+    ws = Workspace(docs.sparkSession, "without")
+    gone = ws.stage(ids.toDF("__gone").filter("__gone is not null").distinct(), "ids")
+    if gone.count() <= BROADCAST_IDS:
+        gone = F.broadcast(gone)
+    return docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")

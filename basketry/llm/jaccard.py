@@ -3,7 +3,7 @@
 A document's set holds the hashes of its distinct word shingles.  Two sets of
 Jaccard similarity t or more share at least one of their first
 n - ceil(t n) + 1 shingles in any common order.  The order used puts rare
-shingles first (counts in hashed slots, over all documents), so most documents
+shingles first (by steps of their counts in hashed slots, over all documents), so most documents
 share no such shingle with any other and only related ones become candidates.
 
 1. Rare-first order: counts of a quarter of the shingles, in slots of fixed
@@ -11,9 +11,10 @@ share no such shingle with any other and only related ones become candidates.
 2. One pass gives each document its set size, a fingerprint of its set, and
    those of its first shingles that can have a partner.  Equal sets collapse
    to one representative (the least doc_id), so copies never meet as pairs.
-3. Sets next to each other by size under a shared shingle are chained when
-   their sizes allow a link.  Any two candidates of a shingle are joined by
-   such a chain, so connected chains enclose all links.
+3. Under a shared shingle, sets in order of size form a run while each size
+   allows a link to the next; each hangs on its run's first.  Two sets whose
+   sizes allow a link are always in one run, so connected runs enclose all
+   links.
 4. Each such group is cut into size bands (ratio t) and these into blocks of
    about 256 sets; only tiles of equal or neighbouring bands are made.  In a
    tile a bitmap per set bounds the overlap from above (bits that differ are
@@ -21,7 +22,7 @@ share no such shingle with any other and only related ones become candidates.
    decided by exact intersection of the sorted arrays.
 5. The links found span each component; connected components finish.
 
-No step emits all pairs of a group: chains are linear, and a tile returns at
+No step emits all pairs of a group: runs are linear, and a tile returns at
 most one link per set.  Shingles are compared as 64-bit hashes.
 
 Defined results: null, empty or blank texts have an empty set and their own
@@ -40,10 +41,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Workspace, bit_set, connected_components, group_starts, has_bit, slot_counts, sorted_groups
+from .common import Workspace, bit_set, connected_components, group_starts, has_bit, slot_counts, sorted_groups, without
 from .words import Words, batch_words, grams, mix64, slices
 
-SLOT_BITS = 26
+SLOT_BITS = 27  # two tables of half as many slots; a shingle has the lesser count
+RARE = (2, 6)  # counts are kept in these steps, a bit each: 32 MB
+PLAN_ROWS = 1_000_000  # a tile plan of so many narrow rows is broadcast, a larger one shuffled
 BLOCK = 256
 NODE_BITS = 24
 
@@ -73,8 +76,9 @@ def _sampled(s: np.ndarray) -> np.ndarray:
     return s < np.uint64(1 << 62)
 
 
-def _slot(s: np.ndarray) -> np.ndarray:
-    return mix64(s) >> np.uint64(64 - SLOT_BITS)
+def _slots(s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    h, half = mix64(s), np.uint64(1 << (SLOT_BITS - 1))
+    return h >> np.uint64(65 - SLOT_BITS), (h & (half - np.uint64(1))) + half
 
 
 def first_shingles(s: np.ndarray, counts: np.ndarray, sim: Similarity) -> np.ndarray:
@@ -82,11 +86,12 @@ def first_shingles(s: np.ndarray, counts: np.ndarray, sim: Similarity) -> np.nda
     then the rest, each by hash), without those that occur once only."""
     if not len(s):
         return s
-    rank = np.full(len(s), 256, dtype=np.int64)
+    rank = np.full(len(s), len(RARE) + 1, dtype=np.int64)
     sampled = _sampled(s)
-    rank[sampled] = counts[_slot(s[sampled]).astype(np.int64)]
+    lower, upper = _slots(s[sampled])
+    rank[sampled] = sum((has_bit(step, lower) & has_bit(step, upper)).astype(np.int64) for step in counts)
     order = np.lexsort((s, rank))[:sim.prefix(len(s))]
-    return s[order][rank[order] != 1]
+    return s[order][rank[order] != 0]
 
 
 def fingerprint(s: np.ndarray) -> int:
@@ -145,9 +150,9 @@ def similar_documents(docs: DataFrame, sim: Similarity | None = None) -> DataFra
     def counted(part: pa.RecordBatch) -> np.ndarray:
         sets = shingle_sets(batch_words(part.column(1), lower=True), k)
         every = np.concatenate([s[_sampled(s)] for s in sets])
-        return _slot(every)
+        return np.concatenate(_slots(every))
 
-    counts = spark.sparkContext.broadcast(slot_counts(source, counted, SLOT_BITS))
+    counts = spark.sparkContext.broadcast(slot_counts(source, counted, SLOT_BITS, RARE))
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -161,15 +166,19 @@ def similar_documents(docs: DataFrame, sim: Similarity | None = None) -> DataFra
                      pa.array([fingerprint(s) for s in sets], pa.int64()), tokens], ["doc", "n", "fp", "tokens"])
 
     members = ws.stage(source.mapInArrow(describe, "doc long, n long, fp long, tokens array<long>"), "members")
-    counts.unpersist()
+    counts.destroy()
     classes = members.filter("n > 0").groupBy("fp").agg(F.min("doc").alias("node"))
     tokens = (
         members.filter("n > 0").join(classes, (F.col("doc") == F.col("node")) & (members["fp"] == classes["fp"]))
         .select("node", "n", F.explode("tokens").alias("token"))
     )
     by_size = Window.partitionBy("token").orderBy("n", "node")
-    chain = tokens.withColumn("a", F.lag("node").over(by_size)).withColumn("m", F.lag("n").over(by_size)).filter(
-        f"a <> node and 100 * m >= {percent} * n").select("a", F.col("node").alias("b"))
+    apart = F.coalesce(100 * F.lag("n").over(by_size) < percent * F.col("n"), F.lit(False)).cast("int")
+    chain = (
+        tokens.withColumn("apart", apart).withColumn("run", F.sum("apart").over(by_size))
+        .withColumn("a", F.first("node").over(Window.partitionBy("token", "run").orderBy("n", "node")))
+        .filter("a <> node").select("a", F.col("node").alias("b"))
+    )
     groups = connected_components(ws, chain, "chains").withColumnRenamed("component", "group")
     wanted = spark.sparkContext.broadcast(bit_set(groups, F.pmod(F.xxhash64("node"), F.lit(1 << NODE_BITS)), NODE_BITS))
 
@@ -179,30 +188,34 @@ def similar_documents(docs: DataFrame, sim: Similarity | None = None) -> DataFra
             for part in slices(part_of, "text"):
                 sets = shingle_sets(batch_words(part.column(1), lower=True), k)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())],
-                    ["node", "n", "shingles"])
+                    [part.column(0), pa.array([s.tobytes() for s in sets], pa.binary())], ["node", "shingles"])
 
-    slot = F.pmod(F.xxhash64("doc_id"), F.lit(1 << NODE_BITS))
-    sets = ws.stage(source.withColumn("slot", slot).mapInArrow(arrays, "node long, n long, shingles binary")
-                    .join(groups, "node")  # the bit set lets a few others through
-                    .withColumn("band", F.floor(F.log("n") / F.log(F.lit(100.0 / percent))).cast("int")), "sets")
-    width = sets.groupBy("group", "band").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("blocks"))
+    # tiles are planned on narrow rows; the arrays move once, to their tiles
+    sized = groups.join(members.select(F.col("doc").alias("node"), "n").distinct(), "node").withColumn(
+        "band", F.floor(F.log("n") / F.log(F.lit(100.0 / percent))).cast("int"))
+    width = sized.groupBy("group", "band").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("blocks"))
     upper = width.select("group", (F.col("band") - 1).alias("band"), F.col("blocks").alias("above"))
     lower = width.select("group", (F.col("band") + 1).alias("band"), F.col("blocks").alias("below"))
     row = lambda near, x, y: F.struct(near.alias("band"), x.alias("x"), y.alias("y"))
     up_to = lambda n: F.sequence(F.lit(0), F.coalesce(n, F.lit(0)) - 1)
     own, band = F.col("block"), F.col("band")
-    tiles = (
-        sets.join(width, ["group", "band"]).join(upper, ["group", "band"], "left").join(lower, ["group", "band"], "left")
+    plan = ws.stage(
+        sized.join(width, ["group", "band"]).join(upper, ["group", "band"], "left").join(lower, ["group", "band"], "left")
         .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-        .withColumn("tile", F.explode(F.concat(
+        .select("node", "group", (band * 100003 + own).alias("part"), F.concat(
             # bands are doubled: even ones hold a band's own tiles, odd ones those with the next band
             F.transform(up_to(F.col("blocks")), lambda x: row(band * 2, F.least(own, x), F.greatest(own, x))),
             F.when(F.col("above") > 0, F.transform(up_to(F.col("above")), lambda x: row(band * 2 + 1, own, x))).otherwise(F.array()),
             F.when(F.col("below") > 0, F.transform(up_to(F.col("below")), lambda x: row(band * 2 - 1, x, own))).otherwise(F.array()),
-        )))
-        .select("group", F.col("tile.band").alias("t"), F.col("tile.x").alias("x"), F.col("tile.y").alias("y"),
-                (F.col("band") * 100003 + own).alias("part"), "node", "shingles")
+        ).alias("tiles")), "plan")
+    if plan.count() <= PLAN_ROWS:
+        plan = F.broadcast(plan)
+    slot = F.pmod(F.xxhash64("doc_id"), F.lit(1 << NODE_BITS))
+    tiles = (
+        source.withColumn("slot", slot).mapInArrow(arrays, "node long, shingles binary")
+        .join(plan, "node")  # exact; the bit set lets a few others through
+        .withColumn("tile", F.explode("tiles"))
+        .select("group", F.col("tile.band").alias("t"), F.col("tile.x").alias("x"), F.col("tile.y").alias("y"), "part", "node", "shingles")
     )
     keys = ["group", "t", "x", "y"]
 
@@ -220,7 +233,7 @@ def similar_documents(docs: DataFrame, sim: Similarity | None = None) -> DataFra
 
     links = tiles.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(compare, "a long, b long")
     labels = ws.stage(connected_components(ws, links, "links"), "labels")
-    ws.drop("sets")
+    wanted.destroy()
     return (
         members.join(classes, "fp", "left").withColumn("node", F.when(F.col("n") > 0, F.col("node")).otherwise(F.col("doc")))
         .join(labels, "node", "left")
@@ -231,5 +244,4 @@ def similar_documents(docs: DataFrame, sim: Similarity | None = None) -> DataFra
 
 def one_per_group(docs: DataFrame, sim: Similarity | None = None) -> DataFrame:
     """The rows of ``docs`` whose doc_id is the least of its component."""
-    gone = similar_documents(docs, sim).filter("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
+    return without(docs, similar_documents(docs, sim).filter("doc_id <> component_id").select("doc_id"))

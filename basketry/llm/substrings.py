@@ -234,6 +234,7 @@ def dedup_substrings(docs: DataFrame, k: int = K, m: int = M, texts: bool = Fals
         .groupBy("doc").agg(F.collect_set(F.struct("pos", "mask")).alias("m"))  # bounded by the document
         .select("doc", F.col("m.pos").alias("pos"), F.col("m.mask").alias("mask")), "marks")
     ws.drop("shared")
+    sets.destroy()  # both passes that read it are staged
     marked = spark.sparkContext.broadcast(
         bit_set(marks, F.pmod(F.xxhash64("doc"), F.lit(1 << DOC_BITS)), DOC_BITS))
     slot = F.pmod(F.xxhash64("doc_id"), F.lit(1 << DOC_BITS))
