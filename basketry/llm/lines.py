@@ -11,8 +11,8 @@ intervals of the array whose longest common prefix is at least that, each a
 repeated run.  The least (doc_id, line) of an interval is the first copy; the
 lines of all later ones go, and overlapping ones make up the maximal runs.
 
-Line IDs are 64-bit hashes of whole lines (between newlines).  Texts move
-once, to meet their marks.  Defined results: a null text has no lines and an
+Line IDs are 64-bit hashes of whole lines (between newlines).  Texts meet
+their marks in place while those are few, and move once where they are many.  Defined results: a null text has no lines and an
 empty one has one; blank lines are lines; a run that overlaps its own earlier
 copy loses its later lines; rows that repeat a doc_id must hold one text, are
 read once and all lose the same lines; rows without doc_id are left out; other
@@ -29,6 +29,7 @@ from basketry.functions.ordered import prefix_sums
 from .common import Workspace
 
 MIN_LINES = 2
+BROADCAST_MARKS = 4_000_000  # so many line numbers (16 MB) are broadcast; with more, texts are shuffled
 
 
 def _joined(suffixes: DataFrame, ahead: int) -> DataFrame:
@@ -80,6 +81,9 @@ def dedup_lines(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
         later.select("doc", F.explode(F.sequence(F.col("i"), F.col("i") + (min_lines - 1))).alias("i"))
         .groupBy("doc").agg(F.collect_set("i").alias("gone")), "gone")  # bounded by the document
     ws.drop(f"suffixes-{max(1, min_lines)}")
+    marks = gone.agg(F.sum(F.size("gone")).alias("n")).first()["n"] or 0
+    if marks <= BROADCAST_MARKS:
+        gone = F.broadcast(gone)
     lines = F.coalesce(F.split("text", "\n", -1), F.array().cast("array<string>"))
     kept = F.when(F.col("gone").isNull(), F.col("lines")).otherwise(
         F.filter("lines", lambda x, i: ~F.array_contains("gone", i)))
