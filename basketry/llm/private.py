@@ -119,7 +119,7 @@ def joined(spans: Column) -> Column:
 def _beside(text: Column, start: Column, end: Column, reach: int) -> tuple[Column, Column]:
     """Lower-cased words before and after a span, or ^ and $."""
     low = F.greatest(start - reach, F.lit(0))
-    left = F.element_at(F.filter(F.split(F.substring(text, low + 1, start - low), SPACE), lambda x: x != ""), -1)
+    left = F.try_element_at(F.filter(F.split(F.substring(text, low + 1, start - low), SPACE), lambda x: x != ""), F.lit(-1))
     right = F.get(F.filter(F.split(F.substring(text, end + 1, F.lit(reach)), SPACE), lambda x: x != ""), F.lit(0))
     return F.lower(F.coalesce(left, F.lit("^"))), F.lower(F.coalesce(right, F.lit("$")))
 
