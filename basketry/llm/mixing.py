@@ -28,7 +28,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD
+from .common import WORD, Workspace
 
 LEVELS = ["domain", "lang", "source"]
 CELL_DIGITS = 3  # 16**3 cells
@@ -120,13 +120,15 @@ def allocate(leaves: DataFrame, mix: Mixture) -> DataFrame:
 
 def leaf_plan(docs: DataFrame, mix: Mixture) -> DataFrame:
     """Per leaf: ``__epochs`` whole epochs and ``__cut``, the largest epoch
-    hash its last prefix takes (null: none)."""
+    hash its last prefix takes (null: none).  Staged, so that later joins know
+    its size and broadcast it only when it is small."""
     cols = [f"__{c}" for c in LEVELS]
-    small = docs.select("doc_id", *node_columns(mix), n_tokens().alias("__n")).filter("__n > 0")
+    ws = Workspace(docs.sparkSession, "mixing")
+    small = ws.stage(docs.select(F.col("doc_id").cast("long"), *node_columns(mix), n_tokens().alias("__n")).filter("__n > 0"), "counts")
     leaves = small.groupBy(*cols).agg(F.sum("__n").alias("__t"))
-    quota = allocate(leaves, mix).select(
+    quota = ws.stage(allocate(leaves, mix).select(
         *cols, F.expr("cast(__take div __t as int)").alias("__epochs"),
-        F.expr("cast(__take % __t as long)").alias("__rest"))
+        F.expr("cast(__take % __t as long)").alias("__rest")), "quota")
     dated = small.join(quota, cols).withColumn("__h", epoch_hash(mix, F.col("__epochs"))).withColumn(
         "__cell", F.substring("__h", 1, CELL_DIGITS))
     cell = dated.groupBy(*cols, "__cell").agg(F.sum("__n").alias("__c"))
@@ -139,7 +141,9 @@ def leaf_plan(docs: DataFrame, mix: Mixture) -> DataFrame:
         .filter(F.col("__o") + F.col("__run") <= F.col("__rest"))
         .groupBy(*cols).agg(F.max("__h").alias("__cut"))
     )
-    return quota.join(taken, cols, "left").select(*cols, "__epochs", "__cut")
+    plan = ws.stage(quota.join(taken, cols, "left").select(*cols, "__epochs", "__cut"), "plan")
+    ws.drop("counts", "quota")
+    return plan
 
 
 def select_mixture(docs: DataFrame, mix: Mixture | None = None, with_epoch: bool = False) -> DataFrame:
