@@ -186,7 +186,7 @@ def dedup_substrings(docs: DataFrame, k: int = K, m: int = M, texts: bool = Fals
 
     def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", 4 << 20):
                 w, doc, first, count, value, digest = _strings(part, sets.value, k, m)
                 if not len(doc):
                     continue

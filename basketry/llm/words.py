@@ -125,7 +125,7 @@ def grams(h: np.ndarray, n: int) -> np.ndarray:
     return mix64(acc)
 
 
-def slices(batch: pa.RecordBatch, column: str, limit: int = 4 << 20):
+def slices(batch: pa.RecordBatch, column: str, limit: int = 1 << 20):
     """Parts of a batch holding at most ``limit`` bytes of ``column`` (one
     longer text stands alone), so that per-word arrays stay small."""
     if batch.num_rows == 0:
