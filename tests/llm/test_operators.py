@@ -3,20 +3,46 @@
 import base64
 import hashlib
 import json
+import os
 import re
+import sys
 import zlib
 from collections import Counter
 
 import pyarrow as pa
 import pytest
-from conftest import SMALL
 from pyspark.sql import functions as F
 
 from basketry.llm import (common, decontaminate, fertility, jaccard, lines, mixing, private, queries, secrets, sharding,
                           substrings, toxicity)
 from basketry.llm.words import batch_words
 
+SMALL = "/root/testdata/sf0.01"
 TINY = "/root/testdata/sf0.001"
+DOC_SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+@pytest.fixture(scope="session")
+def odd_docs(spark):
+    """Nulls in any column, empty and very long texts, ties and repeats, and
+    extra columns whose names clash with working names."""
+    long_text = "word " * 4000 + "x" * 20000
+    rows = [
+        (1, "alpha beta gamma delta epsilon zeta", "en", "src0", 5),
+        (2, None, "en", "src1", None), (3, "", None, "src1", 0), (4, " \n\t ", "de", None, 3),
+        (5, long_text, "en", "src0", len(long_text)), (5, long_text, "en", "src0", len(long_text)),
+        (6, "alpha beta gamma delta epsilon zeta", None, None, 5),
+        (7, "Ünïcödé ß 漢字 😀 mail a.b@c.de", "fr", "src2", 9),
+        (8, "one", "xx", "src3", 3),
+    ]
+    df = spark.createDataFrame(rows, DOC_SCHEMA)
+    return df.select("*", F.lit("q").alias("shard"), F.lit(1).alias("size"), F.lit(2).alias("n"),
+                     F.lit("z").alias("kind"), F.lit(0).alias("fp"), F.lit(0).alias("pos"))
+
+
+@pytest.fixture(scope="session")
+def no_docs(spark):
+    return spark.createDataFrame([], DOC_SCHEMA)
 
 
 def words(text):
@@ -25,10 +51,7 @@ def words(text):
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
 def test_query_equals_sql(spark, name):
-    import os
-    import sys
-
-    sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(__file__))))
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     import oracle_compare as oc
 
     got = oc.compare(spark, oc.duck_conn(TINY), name, queries.QUERIES[name], queries.ORACLE[name], TINY)
