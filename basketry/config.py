@@ -39,6 +39,8 @@ WRITE_BATCH_ROWS = 10_000
 N_CLUSTERS = 4
 RANDOM_STATE = 42
 N_INIT = 10
+# Date texts accepted besides ISO, tried in this order.
+DATE_FORMATS = ("M/d/yyyy H:mm", "M/d/yyyy H:mm:ss", "d-MMM-yyyy H:mm", "M/d/yyyy", "d-MMM-yyyy")
 RFM_FEATURE_COLUMNS = ["Recency", "Log_Frequency", "Log_Monetary"]
 SEGMENT_LABELS = {
     0: "Champions",

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..config import COL_REVENUE, COL_SOURCE_TAG, ETLConfig
+from ..config import COL_REVENUE, COL_SOURCE_TAG, DATE_FORMATS, ETLConfig
 from ..functions.numeric import starts_with_prefix, trim_all
 
 
@@ -24,7 +24,15 @@ def drop_internal(df: DataFrame, columns=(COL_SOURCE_TAG,)) -> DataFrame:
 
 
 # B2 -------------------------------------------------------------------------
-def parse_dates(df: DataFrame, col: str) -> DataFrame:
+def parsed_date(col: str, formats: tuple[str, ...] = DATE_FORMATS):
+    """Text as a zone-less timestamp: ISO forms, else the first of ``formats``
+    that fits, else NULL."""
+    text = F.trim(F.col(col).cast("string"))
+    ways = [F.try_to_timestamp(text, F.lit(f)).cast("timestamp_ntz") for f in formats]
+    return F.coalesce(text.try_cast("timestamp_ntz"), *ways)
+
+
+def parse_dates(df: DataFrame, col: str, formats: tuple[str, ...] = DATE_FORMATS) -> DataFrame:
     """Parse the date column leniently (unparseable text becomes NULL) and
     drop rows whose date is NULL.  Timestamps without a time zone are used
     throughout (the source dates are zone-less wall-clock times)."""
@@ -34,7 +42,7 @@ def parse_dates(df: DataFrame, col: str) -> DataFrame:
     elif isinstance(dtype, (T.TimestampType, T.DateType)):
         parsed = F.col(col).cast("timestamp_ntz")
     else:
-        parsed = F.trim(F.col(col).cast("string")).try_cast("timestamp_ntz")
+        parsed = parsed_date(col, formats)
     return df.withColumn(col, parsed).filter(F.col(col).isNotNull())
 
 

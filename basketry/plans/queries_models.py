@@ -13,7 +13,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from ..config import CHURN_FEATURE_COLUMNS, RFM_FEATURE_COLUMNS, ChurnConfig, SegmentationConfig
+from ..config import CHURN_FEATURE_COLUMNS, CHURN_THRESHOLD_DAYS, RFM_FEATURE_COLUMNS, ChurnConfig, SegmentationConfig
 from ..operators import churn as ch
 from ..operators import metrics as mt
 from ..operators import segment as sg
@@ -90,10 +90,21 @@ def h11_stability(spark, sf):
     return sg.stability(scaled(spark, sf), SCALED, k=4, n_seeds=10, seed=42)
 
 
+def _pca(df, cols):
+    pcs, ev = sg.pca_2d(df, cols)
+    return pcs.withColumn("explained_pc1", F.lit(ev[0])).withColumn("explained_pc2", F.lit(ev[1]))
+
+
 @register("h13_pca_2d")
 def h13_pca_2d(spark, sf):
-    pcs, ev = sg.pca_2d(features(spark, sf), ["Recency", "Frequency", "Monetary"])
-    return pcs.withColumn("explained_pc1", F.lit(ev[0])).withColumn("explained_pc2", F.lit(ev[1]))
+    """On recency and the logs of frequency and monetary."""
+    return _pca(features(spark, sf), RFM_FEATURE_COLUMNS)
+
+
+@register("h13_pca_2d_scaled")
+def h13_pca_2d_scaled(spark, sf):
+    """On the same three columns, standardised."""
+    return _pca(scaled(spark, sf), SCALED)
 
 
 def _seg_classifier(spark, sf):
@@ -205,15 +216,14 @@ def j17_run_record(spark, sf):
 
 @register("j18_model_meta")
 def j18_model_meta(spark, sf):
-    _, used = churn_model(spark, sf)
-    thr = ch.churn_threshold(features(spark, sf)).first()["threshold_days"]
     data, _ = churn_data(spark, sf)
     from pyspark.ml.functions import vector_to_array
 
-    model, _ = churn_model(spark, sf)
+    model, used = churn_model(spark, sf)
     test = model.transform(data.filter(F.col("split") == "test")).withColumn("p", vector_to_array("probability")[1])
     best = mt.best_f1_threshold(test, "churn_label", "p").first()["threshold"]
-    return ch.model_meta(spark, best, used, thr)
+    # the record names the threshold the label of churn_data was made with
+    return ch.model_meta(spark, best, used, CHURN_THRESHOLD_DAYS)
 
 
 @register("l18_score_churn_requests")

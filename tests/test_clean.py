@@ -141,3 +141,14 @@ def test_validate_raw_missing_column(spark):
     df = spark.createDataFrame([("1",)], "InvoiceNo string")
     with pytest.raises(q.ValidationError, match="Missing required columns"):
         q.validate_raw(df)
+
+
+def test_parse_dates_accepts_common_texts(spark):
+    from basketry.operators import clean
+
+    texts = ["2010-12-01 08:26:00", "12/1/2010 8:26", "01-Dec-2010 08:26", "12/1/2010 8:26:05", "12/1/2010", "31/31/2010 1:00",
+             "not a date", "", None, "2010-12-01x"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "k int, d string")
+    got = {r.k: str(r.d) for r in clean.parse_dates(df, "d").collect()}
+    assert got == {0: "2010-12-01 08:26:00", 1: "2010-12-01 08:26:00", 2: "2010-12-01 08:26:00", 3: "2010-12-01 08:26:05",
+                   4: "2010-12-01 00:00:00"}
