@@ -165,34 +165,37 @@ def slot_counts(df: DataFrame, slots: Callable[[pa.RecordBatch], np.ndarray], bi
     return out.view(np.uint64) if at_least else out[0]
 
 
+def _tangled(e: DataFrame) -> bool:
+    """Whether some node hangs under two nodes, or hangs and also holds one;
+    without such a node, edges a < b are stars around the least nodes."""
+    ends = e.select(F.explode(F.array(F.struct(F.col("a").alias("v"), F.lit(0).alias("hangs")),
+                                      F.struct(F.col("b").alias("v"), F.lit(1).alias("hangs")))).alias("x"))
+    seen = ends.groupBy("x.v").agg(F.max("x.hangs").alias("hangs"), F.count(F.lit(1)).alias("n"))
+    return seen.filter("hangs = 1 AND n > 1").agg(F.count(F.lit(1))).first()[0] > 0
+
+
 def connected_components(ws: Workspace, edges: DataFrame, name: str) -> DataFrame:
     """(node, component) with component the smallest node reachable, for
     undirected edges (a, b) of longs.  Alternates large-star and small-star
     passes (Kiveris et al., 2014): every pass hangs nodes under smaller ones,
     rewrites at most as many edges as there were, and a hub's edges are only
-    aggregated by ``min`` and joined, never gathered.  Ends when a pass
-    changes no edge."""
+    aggregated by ``min`` and joined, never gathered.  Ends when the edges
+    are stars, which no further pass would change."""
     e = ws.stage(edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
                  .filter("a < b").distinct(), f"{name}-0")
-    stat = [F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")]
-    step, seen = 0, e.agg(*stat).first()
-    while True:
-        both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy(F.col("a").alias("u")).agg(F.least(F.min("b"), F.min("a")).alias("m"))
-        large = both.filter("b > a").join(low, F.col("a") == F.col("u")).select(
-            F.col("m").alias("a"), "b").filter("a < b").distinct()
+    step = 0
+    while _tangled(e):
+        low = e.select(F.explode(F.array(F.struct(F.col("a").alias("u"), F.col("b").alias("v")),
+                                         F.struct(F.col("b").alias("u"), F.col("a").alias("v")))).alias("x")).groupBy(
+            F.col("x.u").alias("u")).agg(F.least(F.min("x.v"), F.min("x.u")).alias("m"))
+        large = e.join(low, F.col("a") == F.col("u")).select(F.col("m").alias("a"), "b").distinct()
         low2 = large.groupBy(F.col("b").alias("u")).agg(F.min("a").alias("m"))
         small = large.join(low2, F.col("b") == F.col("u"))
-        nxt = small.select(F.col("m").alias("a"), F.col("a").alias("b")).unionByName(
-            small.select(F.col("m").alias("a"), "b")).filter("a < b").distinct()
+        nxt = small.select(F.col("m").alias("a"), F.explode(F.array("a", "b")).alias("b")).filter("a < b").distinct()
         step += 1
-        nxt = ws.stage(nxt, f"{name}-{step}")
+        e = ws.stage(nxt, f"{name}-{step}")
         ws.drop(f"{name}-{step - 1}")
-        e, before, seen = nxt, seen, nxt.agg(*stat).first()
-        if seen == before:
-            break
-    return nxt.select(F.col("b").alias("node"), F.col("a").alias("component")).unionByName(
-        nxt.select(F.col("a").alias("node"), F.col("a").alias("component"))).distinct()
+    return e.select(F.explode(F.array("a", "b")).alias("node"), F.col("a").alias("component")).distinct()
 
 
 BROADCAST_IDS = 2_000_000  # so many ids (32 MB) are broadcast, more are shuffled

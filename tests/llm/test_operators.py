@@ -317,3 +317,17 @@ def test_pipeline(spark):
     out = corpus_pipeline.run(spark, TINY).collect()
     assert Counter(r.doc_id for r in out) == want and {r.shard for r in out} <= set(range(8))
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_rules", "near_duplicates", "decontamination", "mixture", "shards"]
+
+
+def test_components_of_chains_hubs_and_loops(spark):
+    edges = [(i, i + 1) for i in range(40)] + [(199, i) for i in range(150, 170)] + [(301, 300), (300, 301), (400, 400)]
+    ws = common.Workspace(spark, "components")
+    for name, rows in (("some", edges), ("none", []), ("stars", [(1, i) for i in range(2, 9)])):
+        root = {x: x for a, b in rows if a != b for x in (a, b)}
+        for _ in root:
+            for a, b in rows:
+                if a != b:
+                    root[a] = root[b] = min(root[a], root[b])
+        got = common.connected_components(ws, spark.createDataFrame(rows, "a long, b long"), name).collect()
+        assert sorted(map(tuple, got)) == sorted(root.items())
+    ws.close()
