@@ -195,6 +195,7 @@ class ChurnConfig:
     learning_rate: float = CHURN_LEARNING_RATE
     subsample: float = CHURN_SUBSAMPLE
     colsample_bytree: float = CHURN_COLSAMPLE_BYTREE
+    max_bins: int = 32  # split candidates per feature, from a quantile sketch
     threshold_days: int = CHURN_THRESHOLD_DAYS
     feature_columns: tuple = tuple(CHURN_FEATURE_COLUMNS)
     cv_folds: int = 5

@@ -108,56 +108,57 @@ def best_iteration(aucs: list[tuple[int, float]], patience: int) -> int:
 
 
 def fit_churn(train: DataFrame, features: list[str], label: str = "churn_label", cfg: ChurnConfig = ChurnConfig(),
-              validation_fraction: float = 0.1, early_stopping: str = "auc", patience: int = 20):
+              validation_fraction: float = 0.1, early_stopping: str | None = "auc", patience: int = 20,
+              max_validation_rows: int = 200_000):
     """Gradient-boosted trees with the configured depth, learning rate,
     row subsampling and per-node feature fraction; class weight =
     negatives/positives of the training rows.
 
-    Early stopping uses a validation split carved from the TRAINING rows
-    (never the test rows).  ``early_stopping="auc"``: all trees are fitted,
-    the validation AUC of every ensemble prefix is computed exactly in one
-    distributed pass (``attribution.prefix_margins`` + grouped AUC), the
-    size is chosen with ``patience`` rounds without improvement, and the
-    model is refitted with that many trees (per-iteration seeds are fixed,
-    so the refit reproduces the prefix).  ``"loss"`` uses Spark's own
-    validation-loss rule; ``None`` fits every tree on all training rows."""
+    ``early_stopping="auc"`` chooses the tree count on a validation split
+    carved from the TRAINING rows (never the test rows): all trees are fitted
+    on the other rows, the validation AUC of every ensemble prefix is computed
+    exactly in one distributed pass (``attribution.prefix_margins`` + grouped
+    AUC), and the size is chosen with ``patience`` rounds without improvement.
+    The delivered model is then fitted with that many trees on ALL training
+    rows.  The split takes ``validation_fraction`` of the labelled rows, at
+    most ``max_validation_rows``, which bounds the rows x trees table of
+    prefix margins.  ``None`` fits every tree on all training rows.
+
+    The labelled rows are written out once, in key order, so that every fit
+    samples the same rows."""
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.feature import VectorAssembler
 
-    cw = class_weight(train, label).first()["pos_weight"] or 1.0
-    data = with_weights(train, label, cw).withColumn(label, F.col(label).cast("double"))
-    data = stratified_split(data, label, validation_fraction, cfg.random_state + 1, out="__val").withColumn(
-        "__is_val", F.col("__val") == "test"
-    ).drop("__val")
+    from ..sources.io import materialise
 
-    def pipeline(n_trees: int, use_val_col: bool):
-        params = dict(
+    cw = class_weight(train, label).first()
+    n = cw["negatives"] + cw["positives"]
+    fraction = min(validation_fraction, max_validation_rows / max(n, 1))
+    data = with_weights(train, label, cw["pos_weight"] or 1.0)
+    if early_stopping is not None:
+        data = stratified_split(data, label, fraction, cfg.random_state + 1, out="__val")
+    data = data.withColumn(label, F.col(label).cast("double"))
+    data = materialise(data.sort(CUST) if CUST in data.columns else data, "churn_train")
+
+    def fit(rows: DataFrame, n_trees: int):
+        gbt = GBTClassifier(
             labelCol=label, featuresCol="features", weightCol="weight", maxIter=n_trees, maxDepth=cfg.max_depth,
-            stepSize=cfg.learning_rate, subsamplingRate=cfg.subsample,
+            maxBins=cfg.max_bins, stepSize=cfg.learning_rate, subsamplingRate=cfg.subsample,
             featureSubsetStrategy=str(cfg.colsample_bytree), seed=cfg.random_state,
         )
-        if use_val_col:
-            params["validationIndicatorCol"] = "__is_val"
-        return Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol="features"),
-                                GBTClassifier(**params)])
+        return Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol="features"), gbt]).fit(rows)
 
-    if early_stopping == "loss":
-        return pipeline(cfg.n_estimators, True).fit(data)
     if early_stopping is None:
-        return pipeline(cfg.n_estimators, False).fit(data.drop("__is_val"))
-    fit_rows = data.filter(~F.col("__is_val"))
-    full = pipeline(cfg.n_estimators, False).fit(fit_rows)
+        return fit(data, cfg.n_estimators)
     from .attribution import prefix_margins
     from .metrics import roc_auc
 
-    margins = prefix_margins(full, data.filter(F.col("__is_val")), list(features), label)
+    full = fit(data.filter(F.col("__val") == "train"), cfg.n_estimators)
+    margins = prefix_margins(full, data.filter(F.col("__val") == "test"), list(features), label)
     # One row per ensemble size (bounded by the tree count).
     aucs = [(r["k"], r["roc_auc"]) for r in roc_auc(margins, "label", "margin", by=["k"]).collect()]
-    k = best_iteration(aucs, patience)
-    if k >= cfg.n_estimators:
-        return full
-    return pipeline(k, False).fit(fit_rows)
+    return fit(data, best_iteration(aucs, patience))
 
 
 # J13 / J14 ------------------------------------------------------------------
@@ -203,25 +204,30 @@ def risk_distribution(df: DataFrame, col: str = "ChurnRisk") -> DataFrame:
 
 # J7 -------------------------------------------------------------------------
 def cross_validate(df: DataFrame, features: list[str], label: str = "churn_label", k: int = 5,
-                   cfg: ChurnConfig = ChurnConfig()) -> DataFrame:
+                   cfg: ChurnConfig = ChurnConfig(), parallelism: int = 5) -> DataFrame:
     """Stratified k-fold ROC-AUC: (fold, roc_auc) rows plus mean and
     (population) std as extra columns.  Each fold fits ``cfg.n_estimators``
     trees without early stopping (pass the early-stopped size, as the
-    reference's CV model uses the chosen iteration count)."""
-    from .metrics import roc_auc
+    reference's CV model uses the chosen iteration count); ``parallelism``
+    folds are fitted at a time."""
+    from multiprocessing.pool import ThreadPool
+
+    from pyspark import inheritable_thread_target
     from pyspark.ml.functions import vector_to_array
 
-    folded = stratified_folds(df, label, k, cfg.random_state).cache()
-    rows = []
-    try:
-        for f in range(k):
-            model = fit_churn(folded.filter(F.col("fold") != f), features, label, cfg, early_stopping=None)
-            scored = model.transform(folded.filter(F.col("fold") == f)).withColumn(
-                "p", vector_to_array("probability")[1]
-            )
-            rows.append((f, float(roc_auc(scored, label, "p").first()["roc_auc"])))
-    finally:
-        folded.unpersist()
+    from ..sources.io import materialise
+    from .metrics import roc_auc
+
+    folded = materialise(stratified_folds(df, label, k, cfg.random_state), "churn_folds")
+
+    @inheritable_thread_target(df.sparkSession)
+    def fold(f: int):
+        model = fit_churn(folded.filter(F.col("fold") != f), features, label, cfg, early_stopping=None)
+        scored = model.transform(folded.filter(F.col("fold") == f)).withColumn("p", vector_to_array("probability")[1])
+        return f, float(roc_auc(scored, label, "p").first()["roc_auc"])
+
+    with ThreadPool(parallelism) as pool:
+        rows = pool.map(fold, range(k), chunksize=1)
     spark = df.sparkSession
     out = spark.createDataFrame(rows, "fold int, roc_auc double")
     stats = out.agg(F.avg("roc_auc").alias("mean_auc"), F.stddev_pop("roc_auc").alias("std_auc"))

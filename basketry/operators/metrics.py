@@ -102,11 +102,9 @@ def best_f1_threshold(df: DataFrame, y: str, p: str) -> DataFrame:
     curve = pr_curve(df, y, p).withColumn(
         "f1", F.lit(2.0) * F.col("precision") * F.col("recall") / (F.col("precision") + F.col("recall") + F.lit(1e-9))
     )
-    best = curve.agg(F.max(F.struct(F.col("f1"), (-F.col("threshold")).alias("neg_t"))).alias("b")).select(
-        F.col("b.f1").alias("f1"), (-F.col("b.neg_t")).alias("threshold")
-    )
-    return best.join(curve.select("threshold", "precision", "recall"), "threshold", "inner").select(
-        "threshold", "precision", "recall", "f1"
+    best = F.max(F.struct("f1", (-F.col("threshold")).alias("neg_t"), "precision", "recall")).alias("b")
+    return curve.agg(best).filter(F.col("b").isNotNull()).select(
+        (-F.col("b.neg_t")).alias("threshold"), "b.precision", "b.recall", "b.f1"
     )
 
 
@@ -191,7 +189,8 @@ def adjusted_rand(df: DataFrame, a: str, b: str) -> DataFrame:
 
 def multiclass_report(df: DataFrame, y: str, yhat: str, digits: int = 6) -> DataFrame:
     """Per-class precision / recall / F1 / support for any number of
-    classes, from one (actual, predicted) count table; plus accuracy."""
+    classes, from one (actual, predicted) count table; plus accuracy and the
+    macro and support-weighted averages."""
     cm = df.groupBy(F.col(y).cast("string").alias("a"), F.col(yhat).cast("string").alias("p")).agg(
         F.count(F.lit(1)).alias("n")
     )
@@ -215,7 +214,16 @@ def multiclass_report(df: DataFrame, y: str, yhat: str, digits: int = 6) -> Data
         F.lit(None).cast("double").alias("recall"),
         (F.sum("tp") / F.sum("support")).alias("f1"), F.sum("support").alias("support"),
     )
-    out = per.select("label", "precision", "recall", "f1", "support").unionByName(acc)
+    cols = ["precision", "recall", "f1"]
+    macro = per.agg(F.lit("macro avg").alias("label"), *[F.avg(c).alias(c) for c in cols], F.sum("support").alias("support"))
+    weighted = per.agg(
+        F.lit("weighted avg").alias("label"),
+        *[(F.sum(F.col(c) * F.col("support")) / F.sum("support")).alias(c) for c in cols],
+        F.sum("support").alias("support"),
+    )
+    out = per.select("label", *cols, "support")
+    for part in (acc, macro, weighted):
+        out = out.unionByName(part)
     return out.select(
         "label", rnd("precision", digits).alias("precision"), rnd("recall", digits).alias("recall"),
         rnd("f1", digits).alias("f1"), F.col("support").cast("bigint"),

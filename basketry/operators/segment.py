@@ -180,7 +180,7 @@ def fit_kmeans(df: DataFrame, cols: list[str], k: int = 4, n_init: int = 10, see
                max_iter: int = 300, tol: float = 1e-4, key: str = CUST):
     """Best of ``n_init`` K-Means runs (k-means|| init, seeds seed..seed+n-1)
     by training cost (inertia).  spark.ml has no n_init, so the starts are
-    a driver loop of distributed fits over the cached vector table (laid
+    separate distributed fits over the cached vector table (laid
     out by ``ml_layout``)."""
     data = ml_layout(df, cols, key).cache()
     try:
@@ -189,18 +189,31 @@ def fit_kmeans(df: DataFrame, cols: list[str], k: int = 4, n_init: int = 10, see
         data.unpersist()
 
 
+def fit_many(data: DataFrame, runs: list[tuple[int, int]], max_iter: int = 300, tol: float = 1e-4,
+             parallelism: int = 8) -> list:
+    """One seeded fit per ``(k, seed)`` on a prepared ``features`` table.  The
+    fits are independent, so ``parallelism`` of them are submitted at a time
+    and fill the gaps between each other's short iterations."""
+    from multiprocessing.pool import ThreadPool
+
+    from pyspark import inheritable_thread_target
+    from pyspark.ml.clustering import KMeans
+
+    @inheritable_thread_target(data.sparkSession)
+    def fit(run):
+        k, seed = run
+        model = KMeans(k=k, seed=seed, maxIter=max_iter, tol=tol, featuresCol="features").fit(data)
+        return model, model.summary.trainingCost
+
+    data.count()  # fill the cache once, not once a fit
+    with ThreadPool(parallelism) as pool:
+        return pool.map(fit, runs, chunksize=1)
+
+
 def best_of_n(data: DataFrame, k: int, n_init: int, seed: int, max_iter: int = 300, tol: float = 1e-4):
     """Lowest-inertia model of ``n_init`` seeded fits on a prepared
     ``features`` vector table; returns (model, inertia)."""
-    from pyspark.ml.clustering import KMeans
-
-    best = None
-    for i in range(n_init):
-        model = KMeans(k=k, seed=seed + i, maxIter=max_iter, tol=tol, featuresCol="features").fit(data)
-        cost = model.summary.trainingCost
-        if best is None or cost < best[1]:
-            best = (model, cost)
-    return best
+    return min(fit_many(data, [(k, seed + i) for i in range(n_init)], max_iter, tol), key=lambda f: f[1])
 
 
 def model_centres(model) -> list[tuple[int, list[float]]]:
@@ -220,18 +233,20 @@ def silhouette(df: DataFrame, cols: list[str], pred: str = "Segment", measure: s
     )
 
 
-def elbow(df: DataFrame, cols: list[str], ks=range(2, 11), seed: int = 42, n_init: int = 1) -> DataFrame:
-    """(k, inertia, silhouette) for each k (H9/H10); one cached vector table
-    serves every fit."""
+def elbow(df: DataFrame, cols: list[str], ks=range(2, 11), seed: int = 42, n_init: int = 10) -> DataFrame:
+    """(k, inertia, silhouette) for each k (H9/H10), each the best of
+    ``n_init`` starts; one cached vector table serves every fit."""
     from pyspark.ml.evaluation import ClusteringEvaluator
 
     data = ml_layout(df, cols).cache()
     rows = []
     try:
-        for k in ks:
-            model, cost = best_of_n(data, int(k), n_init, seed)
+        ks = [int(k) for k in ks]
+        fits = fit_many(data, [(k, seed + i) for k in ks for i in range(n_init)])
+        for j, k in enumerate(ks):
+            model, cost = min(fits[j * n_init:(j + 1) * n_init], key=lambda f: f[1])
             sil = ClusteringEvaluator(featuresCol="features", predictionCol="prediction").evaluate(model.transform(data))
-            rows.append((int(k), float(cost), float(sil)))
+            rows.append((k, float(cost), float(sil)))
     finally:
         data.unpersist()
     return df.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette double")
@@ -242,22 +257,23 @@ def choose_k(scores: DataFrame) -> DataFrame:
 
 
 # H11 ------------------------------------------------------------------------
-def stability(df: DataFrame, cols: list[str], k: int = 4, n_seeds: int = 10, seed: int = 42,
-              threshold: float = 0.90, max_iter: int = 300) -> DataFrame:
+def stability(df: DataFrame, cols: list[str], k: int = 4, n_seeds: int = 10, seed: int = 0,
+              threshold: float = 0.90, max_iter: int = 300, n_init: int = 10) -> DataFrame:
     """Mean pairwise adjusted Rand index of K-Means labelings over
-    ``n_seeds`` seeds; stable when above ``threshold``.  All pairs are
-    scored in one grouped pass (``adjusted_rand_pairs``)."""
-    from pyspark.ml.clustering import KMeans
-
+    ``n_seeds`` seeds, each the best of ``n_init`` starts; stable when above
+    ``threshold``.  All pairs are scored in one grouped pass
+    (``adjusted_rand_pairs``).  Spark has no start count, so seed i uses the
+    starts ``(seed + i) * n_init ...``, which no other seed shares."""
     from .metrics import adjusted_rand_pairs
 
     base = ml_layout(df, cols).cache()
     try:
         labelled = base
         names = []
+        fits = fit_many(base, [(k, seed * n_init + j) for j in range(n_seeds * n_init)], max_iter)
         for i in range(n_seeds):
-            m = KMeans(k=k, seed=seed + i, maxIter=max_iter, featuresCol="features", predictionCol=f"s{i}").fit(base)
-            labelled = m.transform(labelled)
+            m, _ = min(fits[i * n_init:(i + 1) * n_init], key=lambda f: f[1])
+            labelled = m.setPredictionCol(f"s{i}").transform(labelled)
             names.append(f"s{i}")
         aris = adjusted_rand_pairs(labelled.select(*names), names)
         return aris.agg(F.avg("ari").alias("mean_ari"), F.count(F.lit(1)).alias("pairs")).withColumn(
@@ -293,11 +309,13 @@ def pca_2d(df: DataFrame, cols: list[str], key: str = CUST) -> tuple[DataFrame,
 
 # H15 / H16 ------------------------------------------------------------------
 def fit_segment_classifier(train: DataFrame, cols: list[str], label: str = "Segment", n_trees: int = 200,
-                           seed: int = 42):
+                           seed: int = 42, max_depth: int = 30):
+    """Random forest of ``n_trees``.  The reference's trees grow without a
+    limit; 30 is the largest depth Spark allows."""
     from pyspark.ml.classification import RandomForestClassifier
 
     v = vectorise(train, cols)
-    return RandomForestClassifier(numTrees=n_trees, seed=seed, labelCol=label, featuresCol="features").fit(
+    return RandomForestClassifier(numTrees=n_trees, maxDepth=max_depth, seed=seed, labelCol=label, featuresCol="features").fit(
         v.withColumn(label, F.col(label).cast("double"))
     )
 
