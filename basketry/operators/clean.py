@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 from ..config import COL_REVENUE, COL_SOURCE_TAG, DATE_FORMATS, ETLConfig
 from ..functions.numeric import starts_with_prefix, trim_all
+from ..functions.ordered import exact_quantiles
 
 
 # B1 -------------------------------------------------------------------------
@@ -99,20 +100,17 @@ def dedup_rows(df: DataFrame) -> DataFrame:
 def quantile_caps(df: DataFrame, cols: list[str], q: float, relative_error: float | None = None) -> DataFrame:
     """One-row DataFrame with the q-quantile of every column (``<col>_cap``).
 
-    Exact, linearly interpolated ``percentile`` by default (it keeps a
-    value -> count map per partition, small for quantities and cent prices);
-    ``relative_error`` switches to ``percentile_approx`` for inputs whose
-    distinct values do not fit that bound.
+    Exact and linearly interpolated by default: the columns are unpivoted,
+    counted per distinct value and ranked in buckets (``exact_quantiles``),
+    so no task holds a whole column's values.
+    ``relative_error`` asks for ``percentile_approx`` instead.
     """
-    aggs = []
-    for c in cols:
-        v = F.col(c).cast("double")
-        if relative_error is None:
-            aggs.append(F.percentile(v, q).alias(f"{c}_cap"))
-        else:
-            acc = max(1, int(round(1.0 / relative_error)))
-            aggs.append(F.percentile_approx(v, q, acc).cast("double").alias(f"{c}_cap"))
-    return df.agg(*aggs)
+    if relative_error is not None:
+        acc = max(1, int(round(1.0 / relative_error)))
+        return df.agg(*[F.percentile_approx(F.col(c).cast("double"), q, acc).cast("double").alias(f"{c}_cap") for c in cols])
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("double").alias("v")) for c in cols]))
+    caps = exact_quantiles(df.select(pairs.alias("p")).select("p.c", "p.v"), "v", {"cap": q}, by=["c"])
+    return caps.agg(*[F.max(F.when(F.col("c") == c, F.col("cap"))).alias(f"{c}_cap") for c in cols])
 
 
 def drop_outliers(df: DataFrame, cols: list[str], q: float = 0.99, relative_error: float | None = None) -> DataFrame:

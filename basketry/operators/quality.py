@@ -28,16 +28,19 @@ class ValidationError(ValueError):
     pass
 
 
-def violation_table(df: DataFrame, checks: list[tuple[str, Column]]) -> DataFrame:
+def violation_table(df: DataFrame, checks: list[tuple[str, Column]], unique: str | None = None) -> DataFrame:
     """``checks`` = [(name, boolean Column that is TRUE on a bad row)].
     Returns ``(check string, violations bigint)`` for every check, computed
-    in one aggregate.  Names are kept in the given order via ``check_no``."""
-    if not checks:
+    in one aggregate.  Names are kept in the given order via ``check_no``.
+    With ``unique``, check -1 counts rows minus distinct values of that column."""
+    aggs = [(i, name, F.count_if(F.coalesce(cond, F.lit(False)))) for i, (name, cond) in enumerate(checks)]
+    if unique is not None:
+        aggs.insert(0, (-1, f"duplicate:{unique}", F.count(F.lit(1)) - F.count_distinct(F.col(unique))))
+    if not aggs:
         raise ValueError("no checks given")
-    aggs = [F.count_if(F.coalesce(cond, F.lit(False))).alias(f"c{i}") for i, (_, cond) in enumerate(checks)]
-    one = df.agg(*aggs)
-    stack = ", ".join(f"{i}, '{name}', c{i}" for i, (name, _) in enumerate(checks))
-    return one.selectExpr(f"stack({len(checks)}, {stack}) AS (check_no, check, violations)").select(
+    one = df.agg(*[a.cast("bigint").alias(f"c{i + 1}") for i, _, a in aggs])
+    stack = ", ".join(f"{i}, '{name}', c{i + 1}" for i, name, _ in aggs)
+    return one.selectExpr(f"stack({len(aggs)}, {stack}) AS (check_no, check, violations)").select(
         F.col("check_no").cast("int"), "check", F.col("violations").cast("bigint")
     )
 
@@ -87,11 +90,7 @@ def validate_clean(df: DataFrame, cfg: ETLConfig = ETLConfig()) -> None:
 def _keyed_checks(df: DataFrame, key: str, rules: list[tuple[str, Column]]) -> DataFrame:
     """Violation table for a one-row-per-key table; the duplicate-key
     count (rows - distinct keys) is added as an extra check row."""
-    base = violation_table(df, _null_checks(df) + rules)
-    dup = df.agg((F.count(F.lit(1)) - F.count_distinct(F.col(key))).alias("violations")).select(
-        F.lit(-1).alias("check_no"), F.lit(f"duplicate:{key}").alias("check"), F.col("violations").cast("bigint")
-    )
-    return dup.unionByName(base)
+    return violation_table(df, _null_checks(df) + rules, unique=key)
 
 
 # D4 -------------------------------------------------------------------------

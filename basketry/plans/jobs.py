@@ -17,6 +17,7 @@ import json
 import logging
 import os
 import time
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,12 +43,21 @@ def _p(out: str, name: str) -> str:
     return os.path.join(out, name)
 
 
-def _write(df: DataFrame, path: str, partition_by=None) -> int:
-    n = sio.save_table(df, None, "overwrite", path, partition_by)
+def _write(df: DataFrame, path: str, partition_by=None, validate=None) -> int:
+    """Stage the table, validate the staged rows, then publish them: a batch
+    that fails leaves the table of the last good one in place."""
+    staged = sio.materialise(df, os.path.basename(path))
+    if validate is not None:
+        validate(staged)
+    n = sio.save_table(staged, None, "overwrite", path, partition_by)
     sio.verify_count(df.sparkSession, None, n, path)
     return n
 
 
+def _audit(report: DataFrame, out: str, name: str) -> None:
+    report.write.mode("overwrite").parquet(_p(out, f"audits/{name}"))
+
+
 def run_etl(spark: SparkSession, raw: DataFrame, out: str, cfg: ETLConfig = ETLConfig()) -> dict:
     """Validate and persist the raw lines (also needed for return rates),
     clean them, validate, write the cleaned table partitioned by month."""
@@ -56,12 +66,22 @@ def run_etl(spark: SparkSession, raw: DataFrame, out: str, cfg: ETLConfig = ETLC
     n_raw = _write(raw, _p(out, RAW))
     raw_t = spark.read.parquet(_p(out, RAW))
     clean = cl.clean(raw_t, cfg, validate=False)
-    n_clean = _write(sio.with_month_partition(clean), _p(out, CLEAN), ["invoice_month"])
-    stored = spark.read.parquet(_p(out, CLEAN)).drop("invoice_month")
-    q.validate_clean(stored, cfg)
+    n_clean = _write(
+        sio.with_month_partition(clean), _p(out, CLEAN), ["invoice_month"],
+        lambda t: q.validate_clean(t.drop("invoice_month"), cfg),
+    )
+    _audit(cl.clean_audit(raw_t, cfg), out, "clean")
     return {"raw_rows": n_raw, "clean_rows": n_clean, "seconds": round(time.time() - t0, 2)}
 
 
+def _validate_features(t: DataFrame) -> None:
+    """The matrix as a whole, and each group of columns by its own rules."""
+    q.validate_features(t)
+    q.validate_rfm(t.select("CustomerID", "Recency", "Frequency", "Monetary"))
+    q.validate_behavioural(t.select("CustomerID", "AOV"))
+    q.validate_cohort(t.select("CustomerID", "CohortMonth", "ActiveMonths", "DaysSinceFirstPurchase"))
+
+
 def run_features(spark: SparkSession, out: str) -> dict:
     t0 = time.time()
     clean = sio.prepare_clean(spark.read.parquet(_p(out, CLEAN)).drop("invoice_month"))
@@ -71,8 +91,7 @@ def run_features(spark: SparkSession, out: str) -> dict:
     _write(invoice_totals(clean), _p(out, INVOICES))
     invoices = spark.read.parquet(_p(out, INVOICES))
     feats = coh.feature_matrix(clean, raw, invoices=invoices)
-    n = _write(feats, _p(out, FEATURES))
-    q.validate_features(spark.read.parquet(_p(out, FEATURES)))
+    n = _write(feats, _p(out, FEATURES), validate=_validate_features)
     return {"customers": n, "seconds": round(time.time() - t0, 2)}
 
 
@@ -94,6 +113,7 @@ def run_segmentation(spark: SparkSession, out: str, cfg: SegmentationConfig = Se
     sil = sg.silhouette(sg.scale_features(stored, cols, params), scaled, "Segment")
     model.write().overwrite().save(_p(out, "models/kmeans"))
     params.write.mode("overwrite").parquet(_p(out, "models/scaler"))
+    sg.segment_profile(stored).write.mode("overwrite").parquet(_p(out, "segment_profile"))
     counts = {r["SegmentLabel"]: r["customers"] for r in sg.segment_distribution(stored, "SegmentLabel").collect()}
     metrics = {"silhouette_sq_euclidean": round(sil, 4), "inertia": cost, "n_customers": n,
                **{f"segment_{k}_count": v for k, v in counts.items()}}
@@ -103,12 +123,29 @@ def run_segmentation(spark: SparkSession, out: str, cfg: SegmentationConfig = Se
     return {**metrics, "labels": mapping, "seconds": round(time.time() - t0, 2)}
 
 
+def _decision_metrics(test: DataFrame) -> dict:
+    """Confusion counts at 0.5 and the rates that follow from them."""
+    y, yhat = F.col("churn_label") == 1, F.col("prediction") == 1
+    c = test.agg(
+        F.count_if(y & yhat).alias("tp"), F.count_if(~y & yhat).alias("fp"),
+        F.count_if(~y & ~yhat).alias("tn"), F.count_if(y & ~yhat).alias("fn"),
+    ).first().asDict()
+    ratio = lambda a, b: round(a / b, 4) if b else 0.0
+    return {
+        **c, "accuracy": ratio(c["tp"] + c["tn"], sum(c.values())), "precision": ratio(c["tp"], c["tp"] + c["fp"]),
+        "recall": ratio(c["tp"], c["tp"] + c["fn"]), "f1": ratio(2 * c["tp"], 2 * c["tp"] + c["fp"] + c["fn"]),
+    }
+
+
 def run_churn(spark: SparkSession, out: str, cfg: ChurnConfig = ChurnConfig()) -> dict:
     """Label, stratified split, boosted trees with class weight, test
-    metrics, scores for every customer (with the split they were in), risk
-    tiers, model and run record."""
+    metrics, cross-validation, scores for every customer (with the split they
+    were in), risk tiers and their distribution, attribution of every
+    feature, model with its threshold, and run record."""
     from pyspark.ml.functions import vector_to_array
 
+    from ..operators.attribution import mean_abs_shap
+
     t0 = time.time()
     seg = spark.read.parquet(_p(out, SEGMENTS))
     lab = ch.churn_label(seg, cfg.threshold_days)
@@ -123,11 +160,23 @@ def run_churn(spark: SparkSession, out: str, cfg: ChurnConfig = ChurnConfig()) -
     scores = ch.score_churn(model, data).join(data.select("CustomerID", "split"), "CustomerID")
     n = _write(scores, _p(out, PREDICTIONS))
     model.write().overwrite().save(_p(out, "models/churn"))
+    ch.model_meta(spark, best["threshold"], used, cfg.threshold_days).write.mode("overwrite").parquet(
+        _p(out, "models/churn_meta"))
+    ch.risk_distribution(scores).write.mode("overwrite").parquet(_p(out, "risk_distribution"))
+    shap = mean_abs_shap(model, data.filter(F.col("split") == "test"), used, top=len(used))
+    shap.write.mode("overwrite").parquet(_p(out, "churn_attribution"))
+    chosen = replace(cfg, n_estimators=len(model.stages[-1].trees))
+    cv = ch.cross_validate(data.filter(F.col("split") == "train"), used, "churn_label", cfg.cv_folds, chosen).first()
     metrics = {"test_roc_auc": round(auc, 4), "test_average_precision": round(ap, 4),
-               "decision_threshold": round(best["threshold"], 4), "best_f1": round(best["f1"], 4), "scored": n}
-    ch.run_record(spark, "churn", {"n_estimators": cfg.n_estimators, "max_depth": cfg.max_depth,
-                                  "learning_rate": cfg.learning_rate, "features": used}, metrics).write.mode(
-        "append").parquet(_p(out, RUNS))
+               "cv_mean_auc": round(cv["mean_auc"], 4), "cv_std_auc": round(cv["std_auc"], 4),
+               "decision_threshold": round(best["threshold"], 4), "best_f1": round(best["f1"], 4),
+               **_decision_metrics(test), "scored": n}
+    params = {"n_estimators": cfg.n_estimators, "trees_kept": chosen.n_estimators, "max_depth": cfg.max_depth,
+              "learning_rate": cfg.learning_rate, "subsample": cfg.subsample,
+              "colsample_bytree": cfg.colsample_bytree, "test_size": cfg.test_size,
+              "churn_threshold_days": cfg.threshold_days, "features": used}
+    attribution = {f"shap_{r['feature']}": r["mean_abs_shap"] for r in shap.collect()}  # one row a feature
+    ch.run_record(spark, "churn", params, {**metrics, **attribution}).write.mode("append").parquet(_p(out, RUNS))
     return {**metrics, "seconds": round(time.time() - t0, 2)}
 
 

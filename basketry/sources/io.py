@@ -105,12 +105,15 @@ def with_month_partition(df: DataFrame, date_col: str = COL_INVOICE_DATE) -> Dat
 
 
 # A5 -------------------------------------------------------------------------
-def verify_count(spark: SparkSession, name: str | None, expected: int, path: str | None = None) -> int:
+def verify_count(spark: SparkSession, name: str | None, expected: int, path: str | None = None,
+                 before: int = 0) -> int:
     """Count the stored table (a metadata-light parquet count) and raise if
-    it differs from the number of rows written."""
-    stored = (spark.read.parquet(path) if path else spark.table(name)).count()
-    if stored != expected:
-        raise RuntimeError(f"row count mismatch for {name or path}: wrote {expected}, stored {stored}")
+    it differs from the number of rows written, plus the ``before`` rows that
+    an append found there."""
+    stored = read_table(spark, name, path).count()
+    if stored != before + expected:
+        raise RuntimeError(
+            f"row count mismatch for {name or path}: wrote {expected} to {before} rows, stored {stored}")
     return stored
 
 

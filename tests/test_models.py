@@ -121,6 +121,17 @@ def test_jobs_end_to_end(spark):
     assert sum(v for k, v in seg.items() if k.startswith("segment_") and k.endswith("_count")) == 150
     churn = jobs.run_churn(spark, out, ChurnConfig(n_estimators=5))
     assert churn["scored"] == 150 and 0.0 <= churn["test_roc_auc"] <= 1.0
+    n_test = sum(churn[k] for k in ("tp", "fp", "tn", "fn"))
+    assert n_test == spark.read.parquet(os.path.join(out, jobs.PREDICTIONS)).filter("split = 'test'").count()
+    table = lambda name: spark.read.parquet(os.path.join(out, name))
+    assert table("risk_distribution").agg(F.sum("customers")).first()[0] == 150
+    used = set(ChurnConfig().feature_columns)
+    assert {r.feature for r in table("churn_attribution").collect()} == used
+    assert table("models/churn_meta").first().churn_threshold_days == ChurnConfig().threshold_days
+    keys = {r.key for r in table(jobs.RUNS).filter("kind = 'churn'").collect()}
+    assert {"cv_mean_auc", "precision", "recall", "accuracy", "subsample", "test_size"} <= keys
+    assert {f"shap_{c}" for c in used} <= keys
+    assert table("segment_profile").count() == 4 and table("audits/clean").count() > 0
 
     # saved models round-trip: reloading and re-scoring gives the stored table
     from pyspark.ml import PipelineModel
@@ -138,6 +149,43 @@ def test_jobs_end_to_end(spark):
     assert len(km.clusterCenters()) == 4
 
 
+def test_rejected_batch_leaves_the_published_table(spark):
+    from basketry.operators.quality import ValidationError, validate_keyed, violation_table
+    from basketry.plans.jobs import _write
+
+    path = os.path.join(tempfile.mkdtemp(prefix="publish-"), "t")
+
+    def check(t):
+        validate_keyed(t, violation_table(t, [("negative", F.col("v") < 0)], unique="k"), "t")
+
+    _write(spark.createDataFrame([(1, 2), (2, 3)], "k int, v int"), path, validate=check)
+    for bad in ([(1, -1)], [(1, 1), (1, 2)], []):
+        with pytest.raises(ValidationError):
+            _write(spark.createDataFrame(bad, "k int, v int"), path, validate=check)
+        assert spark.read.parquet(path).count() == 2
+
+
+def test_verify_count_after_append(spark):
+    from basketry.sources import io as sio
+
+    path = os.path.join(tempfile.mkdtemp(prefix="append-"), "t")
+    first = sio.save_table(spark.range(5).toDF("k"), None, "overwrite", path)
+    second = sio.save_table(spark.range(3).toDF("k"), None, "append", path)
+    assert sio.verify_count(spark, None, second, path, before=first) == 8
+    with pytest.raises(RuntimeError):
+        sio.verify_count(spark, None, second, path)
+
+
+def test_multiclass_report_averages(spark):
+    from basketry.operators.metrics import multiclass_report
+
+    df = spark.createDataFrame([(0, 0), (0, 0), (0, 1), (1, 1)], "y int, p int")
+    r = {x.label: x for x in multiclass_report(df, "y", "p").collect()}
+    assert r["macro avg"].precision == pytest.approx(0.75) and r["macro avg"].support == 4
+    assert r["weighted avg"].precision == pytest.approx(0.875)
+    assert r["weighted avg"].recall == pytest.approx(r["accuracy"].f1)
+
+
 def test_best_iteration_patience():
     from basketry.operators.churn import best_iteration
 
