@@ -118,5 +118,5 @@ def exact_quantiles(df: DataFrame, col: str, probs: dict[str, float], by: list[s
         h = (F.col("__n") - 1) * F.lit(float(p))
         lo, hi = F.floor(h), F.ceil(h)
         vlo, vhi = F.col(f"{name}__lo"), F.col(f"{name}__hi")
-        out.append(F.when(lo == hi, vlo).otherwise((hi - h) * vlo + (h - lo) * vhi).alias(name))
+        out.append(F.when((lo == hi) | (vlo == vhi), vlo).otherwise((hi - h) * vlo + (h - lo) * vhi).alias(name))
     return res.select(*out)

@@ -79,8 +79,8 @@ def _seg_sql() -> str:
     dsel = ", ".join(f"{expr} AS d_{cid}" for cid, expr in dists)
     least = "least(" + ", ".join(f"d_{cid}" for cid, _ in dists) + ")"
     case = " ".join(f"WHEN d_{cid} = {least} THEN {cid}" for cid in sorted(c for c, _ in dists))
-    mapping = si.standin_mapping()
-    lab = " ".join(f"WHEN {k} THEN '{v}'" for k, v in sorted(mapping.items()))
+    # written out, so that the twin does not ask the code under test
+    lab = "WHEN 0 THEN 'Loyal Customers' WHEN 1 THEN 'Lost / Inactive' WHEN 2 THEN 'Champions' WHEN 3 THEN 'At Risk'"
     fcols = "CustomerID, Recency, Frequency, Monetary, Log_Frequency, Log_Monetary, AOV, SpendStd, PreferredDayOfWeek, WeekendRatio, PreferredHour, UniqueSKUs, TotalItems, RepeatSKURatio, AvgGap, StdGap, ReturnRate, CohortMonth, ActiveMonths, DaysSinceFirstPurchase"
     return f""",
 s_params AS (SELECT {sc} FROM features),
@@ -192,7 +192,7 @@ def c4_date_span(spark, sf):
     return pf.date_span(raw(spark, sf))
 
 
-def _describe_sql(cols):
+def _describe_sql(cols, table="raw"):
     parts = []
     for c in cols:
         v = f"CAST({c} AS DOUBLE)"
@@ -207,7 +207,7 @@ def _describe_sql(cols):
             "max": f"max({v})",
         }
         for s in pf.DESCRIBE_STATS:
-            parts.append(f"SELECT '{c}' AS column_name, '{s}' AS statistic, {o.rnd(stats[s], 6)} AS value FROM raw")
+            parts.append(f"SELECT '{c}' AS column_name, '{s}' AS statistic, {o.rnd(stats[s], 6)} AS value FROM {table}")
     return " UNION ALL ".join(parts)
 
 
@@ -216,6 +216,11 @@ def c5_describe(spark, sf):
     return pf.describe(raw(spark, sf), ["Quantity", "UnitPrice"])
 
 
+@register("c5_describe_features", wfeat(_describe_sql(["Recency", "Frequency", "Monetary"], "features")))
+def c5_describe_features(spark, sf):
+    return pf.describe(features(spark, sf), ["Recency", "Frequency", "Monetary"])
+
+
 TEXT_COLS = ["InvoiceNo", "StockCode", "Description", "CustomerID", "Country"]
 
 
@@ -343,25 +348,28 @@ def c14_clean_summary(spark, sf):
     return pf.clean_summary(clean_lines(spark, sf))
 
 
-CORR_COLS = ["Recency", "Frequency", "Monetary", "AOV", "UniqueSKUs", "TotalItems", "AvgGap", "ReturnRate", "ActiveMonths"]
+CORR_COLS = [
+    "Recency", "Frequency", "Monetary", "Log_Frequency", "Log_Monetary", "AOV", "SpendStd", "PreferredDayOfWeek",
+    "WeekendRatio", "PreferredHour", "UniqueSKUs", "TotalItems", "RepeatSKURatio", "AvgGap", "StdGap", "ReturnRate",
+    "ActiveMonths", "DaysSinceFirstPurchase",
+]
 
 
 def _corr_sql(cols):
-    parts = []
-    for a in cols:
-        for b in cols:
-            if a == b:
-                parts.append(f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, 1.0::DOUBLE AS corr")
-            else:
-                parts.append(
-                    f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, "
-                    f"{o.rnd(f'corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE))', 6)} AS corr FROM features"
-                )
-    return " UNION ALL ".join(parts)
+    pairs = [(i, j) for i in range(len(cols)) for j in range(i)]
+    one = ", ".join(
+        f"{o.rnd(f'corr(CAST({cols[i]} AS DOUBLE), CAST({cols[j]} AS DOUBLE))', 6)} AS r_{i}_{j}" for i, j in pairs
+    )
+    parts = [f"SELECT '{c}' AS feature_a, '{c}' AS feature_b, 1.0::DOUBLE AS corr" for c in cols]
+    for i, j in pairs:
+        for a, b in ((cols[i], cols[j]), (cols[j], cols[i])):
+            parts.append(f"SELECT '{a}', '{b}', r_{i}_{j} FROM corrs")
+    return f", corrs AS (SELECT {one} FROM features)\n" + " UNION ALL ".join(parts)
 
 
 @register("c15_correlation_matrix", wfeat(_corr_sql(CORR_COLS)))
 def c15_correlation_matrix(spark, sf):
+    """Every numeric column of the feature table."""
     return pf.correlation_matrix(features(spark, sf), CORR_COLS)
 
 
@@ -487,24 +495,29 @@ def h11_adjusted_rand(spark, sf):
     return mt.adjusted_rand(s.withColumn("Segment2", b), "Segment", "Segment2")
 
 
-@register(
-    "h14_box_stats",
-    wseg(
-        """, q AS (SELECT SegmentLabel, quantile_cont(CAST(Monetary AS DOUBLE), 0.25) AS q1,
-  quantile_cont(CAST(Monetary AS DOUBLE), 0.5) AS median, quantile_cont(CAST(Monetary AS DOUBLE), 0.75) AS q3,
-  count(Monetary) AS n FROM segments GROUP BY SegmentLabel),
+BOX_MEASURES = ["Recency", "Frequency", "Monetary"]
+
+
+def _box_sql() -> str:
+    long = " UNION ALL ".join(f"SELECT SegmentLabel, '{m}' AS measure, CAST({m} AS DOUBLE) AS v FROM segments" for m in BOX_MEASURES)
+    return f""", long AS ({long}),
+q AS (SELECT SegmentLabel, measure, quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.5) AS median,
+  quantile_cont(v, 0.75) AS q3, count(v) AS n FROM long GROUP BY SegmentLabel, measure),
 qq AS (SELECT *, q3 - q1 AS iqr FROM q)
-SELECT qq.SegmentLabel, qq.n, """ + o.rnd("q1", 6) + """ AS q1, """ + o.rnd("median", 6) + """ AS median,
-  """ + o.rnd("q3", 6) + """ AS q3, """ + o.rnd("iqr", 6) + """ AS iqr,
-  min(CASE WHEN CAST(s.Monetary AS DOUBLE) >= q1 - 1.5 * iqr THEN CAST(s.Monetary AS DOUBLE) END) AS whisker_low,
-  max(CASE WHEN CAST(s.Monetary AS DOUBLE) <= q3 + 1.5 * iqr THEN CAST(s.Monetary AS DOUBLE) END) AS whisker_high,
-  CAST(count(*) FILTER (WHERE CAST(s.Monetary AS DOUBLE) < q1 - 1.5 * iqr OR CAST(s.Monetary AS DOUBLE) > q3 + 1.5 * iqr) AS BIGINT) AS outliers
-FROM segments s JOIN qq ON qq.SegmentLabel = s.SegmentLabel
-GROUP BY qq.SegmentLabel, qq.n, q1, median, q3, iqr"""
-    ),
-)
+SELECT qq.measure, qq.SegmentLabel, qq.n, {o.rnd("q1", 6)} AS q1, {o.rnd("median", 6)} AS median,
+  {o.rnd("q3", 6)} AS q3, {o.rnd("iqr", 6)} AS iqr,
+  min(CASE WHEN v >= q1 - 1.5 * iqr THEN v END) AS whisker_low,
+  max(CASE WHEN v <= q3 + 1.5 * iqr THEN v END) AS whisker_high,
+  CAST(count(*) FILTER (WHERE v < q1 - 1.5 * iqr OR v > q3 + 1.5 * iqr) AS BIGINT) AS outliers
+FROM long s JOIN qq ON qq.SegmentLabel = s.SegmentLabel AND qq.measure = s.measure
+GROUP BY qq.measure, qq.SegmentLabel, qq.n, q1, median, q3, iqr"""
+
+
+@register("h14_box_stats", wseg(_box_sql()))
 def h14_box_stats(spark, sf):
-    return sg.box_stats(segments(spark, sf), "SegmentLabel", "Monetary")
+    seg = segments(spark, sf)
+    parts = [sg.box_stats(seg, "SegmentLabel", m).select(F.lit(m).alias("measure"), "*") for m in BOX_MEASURES]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 # --- J: churn (exact parts) -------------------------------------------------------------
@@ -837,16 +850,19 @@ def l6_segment_options(spark, sf):
     return rp.segment_options(master(spark, sf))
 
 
+SELECTION = ["Champions", "At Risk"]
+
+
 @register(
     "l7_selection_kpis",
     wseg(
         f"SELECT count(*) AS customers, {o.rnd('avg(Recency)', 2)} AS avg_recency, {o.rnd('avg(Frequency)', 2)} AS avg_frequency, "
-        f"{o.rnd('avg(Monetary)', 2)} AS avg_monetary FROM master WHERE SegmentLabel IN (SELECT DISTINCT SegmentLabel FROM master)"
+        f"{o.rnd('avg(Monetary)', 2)} AS avg_monetary FROM master WHERE SegmentLabel IN ('Champions', 'At Risk')"
     ),
 )
 def l7_selection_kpis(spark, sf):
     m = master(spark, sf)
-    return rp.selection_kpis(rp.select_segments(m, rp.segment_options(m)))
+    return rp.selection_kpis(rp.select_segments(m, SELECTION))
 
 
 @register(
@@ -855,12 +871,12 @@ def l7_selection_kpis(spark, sf):
         f"""SELECT SegmentLabel, CAST(count(CustomerID) AS BIGINT) AS Customers, {o.rnd('avg(Recency)', 1)} AS Avg_Recency,
   {o.rnd('avg(Frequency)', 1)} AS Avg_Frequency, {o.rnd('avg(Monetary)', 1)} AS Avg_Monetary, {o.rnd('avg(AOV)', 1)} AS Avg_AOV,
   {o.rnd('sum(Monetary) / sum(sum(Monetary)) OVER () * 100.0', 1)} AS Revenue_Share
-FROM master WHERE SegmentLabel IN (SELECT DISTINCT SegmentLabel FROM master) GROUP BY SegmentLabel"""
+FROM master WHERE SegmentLabel IN ('Champions', 'At Risk') GROUP BY SegmentLabel"""
     ),
 )
 def l8_selection_profile(spark, sf):
     m = master(spark, sf)
-    return rp.selection_profile(rp.select_segments(m, rp.segment_options(m)))
+    return rp.selection_profile(rp.select_segments(m, SELECTION))
 
 
 @register(
@@ -907,18 +923,28 @@ def l12_sample_customers(spark, sf):
     return rp.sample_n(master(spark, sf).select(*MASTER_COLS), 2000, 42)
 
 
+@register(
+    "l12_sample_500",
+    wseg("SELECT " + ", ".join(MASTER_COLS) + " FROM master ORDER BY md5(CustomerID || '|' || '42') LIMIT 500"),
+)
+def l12_sample_500(spark, sf):
+    """The same report at a size below the number of customers."""
+    return rp.sample_n(master(spark, sf).select(*MASTER_COLS), 500, 42)
+
+
 @register("l13_median_revenue", wseg("SELECT median(CAST(Monetary AS DOUBLE)) AS median_Monetary FROM master"))
 def l13_median_revenue(spark, sf):
     return rp.median_of(master(spark, sf), "Monetary")
 
 
-_IDS_SQL = r""", ids AS (SELECT DISTINCT regexp_replace(regexp_replace(CustomerID, '\.0$', ''), '^\s+|\s+$', '', 'g') AS CustomerID
-  FROM raw WHERE CustomerID IS NOT NULL)"""
+# Requests: the customers seen in the events, and ids that no customer has.
+_IDS_SQL = """, ids AS (SELECT DISTINCT CAST(user_id AS VARCHAR) AS CustomerID FROM events WHERE user_id IS NOT NULL
+  UNION ALL SELECT DISTINCT 'absent-' || CAST(user_id AS VARCHAR) FROM events WHERE user_id IS NOT NULL)"""
 
 
 def request_ids(spark, sf):
-    r = raw(spark, sf)
-    return r.filter(F.col("CustomerID").isNotNull()).select(cl.normalise_id_expr("CustomerID").alias("CustomerID")).distinct()
+    ids = fx.table(spark, sf, "events").select(F.col("user_id").cast("string").alias("CustomerID")).na.drop().distinct()
+    return ids.unionByName(ids.select(F.concat(F.lit("absent-"), "CustomerID").alias("CustomerID")))
 
 
 @register(

@@ -169,3 +169,10 @@ def test_describe_text_top_ties_to_smallest(spark):
     df = spark.createDataFrame([("b",), ("a",), ("b",), ("a",), ("c",), (None,)], "s string")
     r = pf.describe_text(df, ["s"]).first()
     assert (r["count"], r["unique"], r["top"], r["freq"]) == (5, 3, "a", 2)
+
+
+def test_exact_quantile_between_equal_values_is_that_value(spark):
+    from basketry.functions.ordered import exact_quantiles
+
+    df = spark.createDataFrame([(998.9,)] * 9 + [(1.0,)], "v double")
+    assert exact_quantiles(df, "v", {"q": 0.87}).first()["q"] == 998.9
