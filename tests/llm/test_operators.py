@@ -4,6 +4,7 @@ import base64
 import hashlib
 import json
 import os
+import random
 import re
 import sys
 import zlib
@@ -305,6 +306,21 @@ def test_decontamination_recall(spark, odd_docs, no_docs):
     assert decontaminate.lcs([1, 2, 3, 4, 2], [9, 2, 3, 2, 1]) == 3
 
 
+def test_decontamination_of_a_wide_leak(spark):
+    rng = random.Random(5)
+    items = [(1, " ".join(f"leaked{k}" for k in range(12))), (2, "the of and to in that is for it with")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+
+    def filler(n):
+        return [f"w{rng.randrange(20_000)}" if rng.random() < 0.9 else rng.choice(items[1][1].split()) for _ in range(n)]
+
+    rows = [(i, " ".join([*filler(37 + i % 8), *([items[i % 3][1]] if i % 3 < 2 else []), *filler(40)])) for i in range(300)]
+    got = {(r.doc_id, r.item_id) for r in decontaminate.find_leaks(spark.createDataFrame(rows, "doc_id long, text string"), bench).collect()}
+    want = {(i, i % 3 + 1) for i in range(300) if i % 3 < 2}
+    text, item = {i: t.split() for i, t in rows}, {i: t.split() for i, t in items}
+    assert want <= got and all(decontaminate.lcs(item[i], text[d]) >= 0.6 * len(item[i]) for d, i in got)
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
