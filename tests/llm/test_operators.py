@@ -321,6 +321,17 @@ def test_decontamination_of_a_wide_leak(spark):
     assert want <= got and all(decontaminate.lcs(item[i], text[d]) >= 0.6 * len(item[i]) for d, i in got)
 
 
+def test_decontamination_checks_every_passage(spark):
+    item = [f"q{k}" for k in range(24)]
+    copy = [x if k % 4 else f"changed{k}" for k, x in enumerate(item)]
+    fill = [[f"w{d}x{k}" for k in range(400)] for d in range(60)]
+    rows = [(d, " ".join(x[:80] + item[::-1] + x[80:320 + d % 8] + (copy if d < 30 else []) + x[320:])) for d, x in enumerate(fill)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame([(1, " ".join(item), "q22 q23")], "item_id long, text string, answer string")
+    got = {r.doc_id: r.lcs for r in decontaminate.find_leaks(docs, bench).collect()}
+    assert got == {d: 0.75 for d in range(30)}
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
