@@ -332,6 +332,32 @@ def test_decontamination_checks_every_passage(spark):
     assert got == {d: 0.75 for d in range(30)}
 
 
+def test_decontamination_of_paraphrases(spark):
+    rng = random.Random(11)
+    vocabulary = [f"v{k}" for k in range(3000)]
+    often = [1 / (k + 5) for k in range(3000)]
+    items = [rng.choices(vocabulary, often, k=n) for n in (6, 8, 10, 14, 20, 30, 45) for _ in range(4)]
+    rows = []
+    for d in range(280):
+        held = items[d % len(items)]
+        keep = set(rng.sample(range(len(held)), -(-6 * len(held) // 10))) if d % 2 else set(range(len(held)))
+        copy = [x if k in keep else f"other{rng.randrange(9999)}" for k, x in enumerate(held)]
+        text = rng.choices(vocabulary, often, k=240)
+        rows.append((d, text[:100 + d % 8] + copy + text[100 + d % 8:]))
+    docs = spark.createDataFrame([(d, " ".join(x)) for d, x in rows], "doc_id long, text string")
+    bench = spark.createDataFrame([(i, " ".join(x), "") for i, x in enumerate(items)], "item_id long, text string, answer string")
+    want = set()
+    for d, text in rows:
+        for i, item in enumerate(items):  # brute force: a run as long as the item, from every word
+            if any(decontaminate.lcs(item, text[a:a + len(item)]) >= 0.6 * len(item) for a in range(len(text) - len(item) + 1)):
+                want.add((d, i))
+    share = {}
+    for c in (decontaminate.Search().min_cosine, 0.27):
+        got = {(r.doc_id, r.item_id) for r in decontaminate.find_leaks(docs, bench, decontaminate.Search(min_cosine=c)).collect()}
+        share[c] = len(want & got) / len(want)
+    assert decontaminate.Search().min_cosine == 0.2 and len(want) >= 280 and share[0.2] >= 0.99 and share[0.2] >= share[0.27], share
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
