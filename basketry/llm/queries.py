@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, fertility, jaccard, lines, mixing, mixing_sql, private, secrets, sharding, substrings, toxicity
+from . import decontaminate, fertility, jaccard, lines, mixing, mixing_sql, private, runs, secrets, sharding, substrings, toxicity
 from .common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -121,3 +121,8 @@ def op1_suffix_array_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op4_bootstrapped_private")
 def op4_bootstrapped_private(spark: SparkSession, sf_dir: str) -> DataFrame:
     return private.find_private(documents(spark, sf_dir))
+
+
+@register("op11_repair_runs")
+def op11_repair_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.digest(runs.find_runs(runs.repeat_words(documents(spark, sf_dir))))

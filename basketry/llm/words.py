@@ -19,6 +19,7 @@ SEGMENT = 1 << 20  # bytes hashed at a time; bounds the per-byte temporaries
 _BASE = U64(0x9E3779B97F4A7C15)
 _INV = U64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _GRAM = U64(0xD6E8FEB86659FD93)
+WORD_POWER = U64(0xA0761D6478BD642F)
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -42,7 +43,8 @@ _NOT_ALNUM[[b for b in range(128) if not chr(b).isalnum()]] = True
 _powers: dict[int, np.ndarray] = {}
 
 
-def _power_table(base: U64, n: int) -> np.ndarray:
+def power_table(base: U64, n: int) -> np.ndarray:
+    """Powers 0..n-1 (or more) of an odd base, kept for the next call."""
     have = _powers.get(int(base))
     if have is None or len(have) < n:
         table = np.full(n, base, dtype=U64)
@@ -103,8 +105,8 @@ def batch_words(column: pa.Array, lower: bool = False, plain: bool = False) -> W
     while i < len(start):  # segments end at word boundaries
         j = max(i + 1, int(np.searchsorted(end, start[i] + SEGMENT, side="right")))
         lo, hi = int(start[i]), int(end[j - 1])
-        power = _power_table(_BASE, max(SEGMENT, hi - lo) + 1)
-        back = _power_table(_INV, max(SEGMENT, hi - lo) + 1)
+        power = power_table(_BASE, max(SEGMENT, hi - lo) + 1)
+        back = power_table(_INV, max(SEGMENT, hi - lo) + 1)
         run = np.empty(hi - lo + 1, dtype=U64)
         run[0] = 0
         np.cumsum(table[data[lo:hi]] * power[:hi - lo], out=run[1:])
