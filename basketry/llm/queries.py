@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, fertility, jaccard, lines, mixing, mixing_sql, private, runs, secrets, sharding, substrings, toxicity
+from . import decontaminate, fertility, jaccard, lines, mixing, mixing_sql, negatives, private, runs, secrets, sharding, substrings, toxicity
 from .common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -126,3 +126,27 @@ def op4_bootstrapped_private(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op11_repair_runs")
 def op11_repair_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.digest(runs.find_runs(runs.repeat_words(documents(spark, sf_dir))))
+
+
+OP12_SQL = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same, list_dot_product(a.q, b.q)::BIGINT AS score
+      FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+p AS (SELECT anchor_id, other AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+SELECT anchor_id, positive_id, (row_number() OVER w)::INTEGER AS rank, other AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other) QUALIFY row_number() OVER w <= 5
+"""
+
+
+@register("op12_multi_index_negatives", OP12_SQL)
+def op12_multi_index_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = documents(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = vectors.select(F.col("vec_id").alias("id"), label.alias("label"), negatives.quantised("embedding").alias("v"))
+    return negatives.mine(rows, F.col("id") % 100 == 0)
