@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, fertility, jaccard, lines, mixing, mixing_sql, negatives, private, runs, secrets, sharding, substrings, toxicity
+from . import decontaminate, fertility, jaccard, licenses, lines, mixing, mixing_sql, negatives, private, runs, secrets, sharding, substrings, toxicity
 from .common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -150,3 +150,44 @@ def op12_multi_index_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     rows = vectors.select(F.col("vec_id").alias("id"), label.alias("label"), negatives.quantised("embedding").alias("v"))
     return negatives.mine(rows, F.col("id") % 100 == 0)
+
+
+_VALUES = ", ".join(f"({k}, '{label}', '{passage}', {phrases!r})" for k, (label, passage, phrases) in enumerate(licenses.TEMPLATES))
+_PHRASES = ", ".join(f"('{phrase}', '{label}')" for phrase, label in licenses.BASE)
+OP13_SQL = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS words
+  FROM documents),
+w AS MATERIALIZED (SELECT r, unnest(words) AS word, unnest(range(len(words))) AS i FROM d),
+t AS (SELECT k, label, string_split(passage, ' ') AS text, phrases FROM (VALUES {_VALUES}) v(k, label, passage, phrases)),
+tw AS MATERIALIZED (SELECT k, len(text) AS size, unnest(text) AS word, unnest(range(len(text))) AS j FROM t),
+must AS (SELECT DISTINCT k, j FROM (
+  SELECT k, unnest(range(a, a + n)) AS j FROM (
+    SELECT k, n, list_min(list_filter(range(len(text)), lambda a: text[a + 1:a + n] = p)) AS a
+    FROM (SELECT k, text, string_split(p, ' ') AS p, len(string_split(p, ' ')) AS n FROM (SELECT k, text, unnest(phrases) AS p FROM t))))),
+v AS (SELECT DISTINCT word FROM tw),
+hw AS MATERIALIZED (SELECT r, i, word FROM w SEMI JOIN v USING (word)),
+df AS (SELECT word, count(DISTINCT r) AS n FROM hw GROUP BY word),
+rare AS (SELECT r, k, word FROM (SELECT DISTINCT r, k, word FROM hw JOIN (SELECT DISTINCT k, word FROM tw) USING (word)) JOIN df USING (word)
+  QUALIFY row_number() OVER (PARTITION BY r, k ORDER BY n, word) <= 6),
+o AS (SELECT r, k, i - j AS o FROM rare JOIN hw USING (r, word) JOIN tw USING (k, word) GROUP BY r, k, o HAVING count(DISTINCT word) >= 3),
+fit AS (SELECT o.r, o.k, o.o, count(*) / any_value(size) AS share, count(must.j) AS held
+  FROM o JOIN tw ON tw.k = o.k JOIN hw ON hw.r = o.r AND hw.i = o.o + tw.j AND hw.word = tw.word
+  LEFT JOIN must ON must.k = o.k AND must.j = tw.j GROUP BY o.r, o.k, o.o),
+f AS (SELECT r, label, max(share) AS share FROM fit JOIN t USING (k) JOIN (SELECT k, count(*) AS n FROM must GROUP BY k) USING (k)
+  WHERE share >= 0.8 AND held = n GROUP BY r, label),
+p AS (SELECT string_split(phrase, ' ') AS p, label FROM (VALUES {_PHRASES}) x(phrase, label)),
+b AS (SELECT d.r, w.i, label FROM w JOIN p ON w.word = p.p[1] JOIN d USING (r) WHERE d.words[w.i + 1:w.i + len(p.p)] = p.p),
+bs AS (SELECT r, count(*) AS n_base, min(i) AS first_word, max(i) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM b GROUP BY r),
+al AS (SELECT r, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM (SELECT r, label FROM b UNION ALL SELECT r, label FROM f) GROUP BY r),
+sc AS (SELECT r, max(share) AS share FROM f GROUP BY r)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word,
+       last_word::BIGINT AS last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+       CASE WHEN n_base > 0 THEN 1.0::DOUBLE ELSE coalesce(share, 0.0)::DOUBLE END AS score
+FROM d LEFT JOIN bs USING (r) LEFT JOIN al USING (r) LEFT JOIN sc USING (r)
+"""
+
+
+@register("op13_positional_licenses", OP13_SQL)
+def op13_positional_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.digest(licenses.scan_licenses(documents(spark, sf_dir)))
