@@ -91,7 +91,6 @@ TEMPLATES = [
              "granted to anyone to use this software for any purpose", ["held liable for any damages"]),
 ]
 
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 
 
@@ -109,7 +108,7 @@ def vocabulary(templates: list[tuple[str, str, list[str]]] | None = None) -> lis
 
 def words(text: Column) -> Column:
     lower = F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
-    return F.regexp_extract_all(F.coalesce(lower, F.lit("")), F.lit(WORD), F.lit(0))
+    return F.array_remove(F.split(F.coalesce(lower, F.lit("")), GAP, -1), "")
 
 
 def _array(values: list[str]) -> Column:

@@ -280,7 +280,7 @@ def repeat_words(docs: DataFrame) -> DataFrame:
     ends in 0, every word from the a-th on gives way to an earlier one, so
     that the text repeats every p words; the others are as they are."""
     h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
-    words = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    words = F.array_remove(F.split("text", r"[\x20\x09-\x0D]+", -1), "")
     changed = docs.select("doc_id", "text", F.when((h % 10 == 0) & (F.size(words) > 0), words).alias("__w"), F.floor(h / 10).alias("__g"))
     a = F.col("__g") % F.size("__w")
     p = 1 + F.floor((F.size("__w") - a) / (3 + F.col("__g") % 8))
