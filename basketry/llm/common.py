@@ -107,6 +107,7 @@ def group_starts(*columns: np.ndarray) -> np.ndarray:
 
 
 BLOCK_BITS = 16
+FLUSH = 1 << 21  # slots a task holds before it sends them
 
 
 def slot_counts(df: DataFrame, slots: Callable[[pa.RecordBatch], np.ndarray], bits: int,
@@ -114,9 +115,9 @@ def slot_counts(df: DataFrame, slots: Callable[[pa.RecordBatch], np.ndarray], bi
     """How often each of 2**bits hashed slots occurs, up to 255; or with
     ``at_least``, a bit set per threshold of the slots that reach it.
 
-    ``slots`` gives a slice's slots, once per document.  Each task sums its
-    own and sends blocks of about 3 bytes a distinct slot; blocks are merged
-    one at a time, in bounded memory.  The result is 2**bits bytes (or bits per
+    ``slots`` gives a slice's slots, once per document.  Each task sums
+    ``FLUSH`` of its own at a time and sends blocks of about 3 bytes a distinct
+    slot; blocks are merged one at a time, so memory is bounded throughout.  The result is 2**bits bytes (or bits per
     threshold) whatever the input: it may go to the driver and be broadcast."""
     width = 1 << BLOCK_BITS
 
@@ -125,22 +126,28 @@ def slot_counts(df: DataFrame, slots: Callable[[pa.RecordBatch], np.ndarray], bi
             return b"".join(np.packbits(total >= n, bitorder="little").tobytes() for n in at_least)
         return np.minimum(total, 255).astype(np.uint8).tobytes()
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        slot, times = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        for batch in batches:
-            for part in slices(batch, "text"):
-                more, n = np.unique(slots(part), return_counts=True)
-                both = np.concatenate((slot, more))
-                slot, back = np.unique(both, return_inverse=True)
-                times = np.bincount(back, weights=np.concatenate((times, n)), minlength=len(slot)).astype(np.int64)
+    def blocks(pending: list[np.ndarray]) -> pa.RecordBatch:
+        slot, times = np.unique(np.concatenate(pending), return_counts=True)
         block = (slot >> np.uint64(BLOCK_BITS)).astype(np.int64)
         cut = group_starts(block)
         low, seen = (slot & np.uint64(width - 1)).astype(np.uint16), np.minimum(times, 255).astype(np.uint8)
         spans = list(zip(cut[:-1], cut[1:], strict=True))
-        yield pa.RecordBatch.from_arrays(
+        return pa.RecordBatch.from_arrays(
             [pa.array(block[cut[:-1]].astype(np.int32)), pa.array([low[a:b].tobytes() for a, b in spans], pa.binary()),
              pa.array([seen[a:b].tobytes() for a, b in spans], pa.binary())], ["block", "slot", "times"])
 
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pending, held = [], 0
+        for batch in batches:
+            for part in slices(batch, "text"):
+                pending.append(slots(part))
+                held += len(pending[-1])
+                if held >= FLUSH:
+                    yield blocks(pending)
+                    pending, held = [], 0
+        if held:
+            yield blocks(pending)
+
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, total = None, np.zeros(width, np.int64)
         for batch in batches:
