@@ -28,7 +28,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, Workspace
+from .common import SPACE, Workspace
 
 LEVELS = ["domain", "lang", "source"]
 CELL_DIGITS = 3  # 16**3 cells
@@ -52,7 +52,7 @@ class Mixture:
 
 
 def n_tokens(text: str = "text") -> Column:
-    return F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")
+    return F.coalesce(F.size(F.array_remove(F.split(F.col(text), SPACE, -1), "")), F.lit(0)).cast("long")
 
 
 def node_columns(mix: Mixture) -> list[Column]:
@@ -148,17 +148,19 @@ def leaf_plan(docs: DataFrame, mix: Mixture) -> DataFrame:
 
 def select_mixture(docs: DataFrame, mix: Mixture | None = None, with_epoch: bool = False) -> DataFrame:
     """The selected rows with all columns of ``docs``, once per epoch that
-    takes them (the epoch is added as ``epoch`` on request)."""
+    takes them.  On request ``epoch``, ``domain`` and ``n_tokens`` are added,
+    in place of columns of those names."""
     mix = mix or Mixture()
     cols = [f"__{c}" for c in LEVELS]
-    keep = docs.columns
     plan = leaf_plan(docs, mix)
     last = epoch_hash(mix, F.col("__epochs")) <= F.col("__cut")
     epochs = F.col("__epochs") + F.coalesce(last, F.lit(False)).cast("int")
     out = (
-        docs.select("*", *node_columns(mix), n_tokens().alias("__n")).filter("__n > 0").join(plan, cols)
+        docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), "doc_id", *node_columns(mix),
+                    n_tokens().alias("__n")).filter("__n > 0").join(plan, cols)
         .withColumn("__times", epochs).filter("__times > 0")
         .withColumn("__epoch", F.explode(F.sequence(F.lit(0), F.col("__times") - 1)))
     )
     extra = [F.col("__epoch").alias("epoch"), F.col("__domain").alias("domain"), F.col("__n").alias("n_tokens")]
-    return out.select(*[F.col(c) for c in keep], *(extra if with_epoch else []))
+    added = ["epoch", "domain", "n_tokens"] if with_epoch else []
+    return out.select(*[F.col("__row").getField(c).alias(c) for c in docs.columns if c not in added], *(extra if with_epoch else []))
