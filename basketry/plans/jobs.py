@@ -1,9 +1,9 @@
 """The four batch jobs: clean -> features -> segments -> churn.
 
-Each job reads its input table(s), builds one lazy plan, validates with a
-single-pass check, writes parquet (partitioned where reads are
-date-bounded) and verifies the stored row count against the count
-observed during the write.  Tables are hand-offs on shared storage, which
+Each job reads the published version of its input table(s), builds one lazy
+plan, writes parquet (partitioned where reads are date-bounded), verifies the
+stored row count against the count observed during the write, validates the
+stored rows and then publishes them as the next version.  Tables are hand-offs on shared storage, which
 also cuts lineage between jobs (a lost executor never recomputes an
 upstream job).
 
@@ -30,6 +30,7 @@ from ..operators import metrics as mt
 from ..operators import quality as q
 from ..operators import segment as sg
 from ..sources import io as sio
+from ..sources.versioned import VersionedTable
 
 log = logging.getLogger("basketry.jobs")
 
@@ -44,14 +45,18 @@ def _p(out: str, name: str) -> str:
 
 
 def _write(df: DataFrame, path: str, partition_by=None, validate=None) -> int:
-    """Stage the table, validate the staged rows, then publish them: a batch
-    that fails leaves the table of the last good one in place."""
-    staged = sio.materialise(df, os.path.basename(path))
-    if validate is not None:
-        validate(staged)
-    n = sio.save_table(staged, None, "overwrite", path, partition_by)
-    sio.verify_count(df.sparkSession, None, n, path)
-    return n
+    """Publish the table as its next version once its rows are written,
+    counted and valid; until then, and if the job dies on the way, readers
+    keep the last version.  One earlier version stays for readers at work."""
+    table = VersionedTable(df.sparkSession, path)
+    rows = table.publish(df, "overwrite", partition_by, validate).rows
+    table.expire(keep=2)
+    return rows
+
+
+def read(spark: SparkSession, out: str, name: str) -> DataFrame:
+    """The published version of a job's table."""
+    return VersionedTable(spark, _p(out, name)).read()
 
 
 def _audit(report: DataFrame, out: str, name: str) -> None:
@@ -64,7 +69,7 @@ def run_etl(spark: SparkSession, raw: DataFrame, out: str, cfg: ETLConfig = ETLC
     t0 = time.time()
     q.validate_raw(raw)
     n_raw = _write(raw, _p(out, RAW))
-    raw_t = spark.read.parquet(_p(out, RAW))
+    raw_t = read(spark, out, RAW)
     clean = cl.clean(raw_t, cfg, validate=False)
     n_clean = _write(
         sio.with_month_partition(clean), _p(out, CLEAN), ["invoice_month"],
@@ -84,12 +89,12 @@ def _validate_features(t: DataFrame) -> None:
 
 def run_features(spark: SparkSession, out: str) -> dict:
     t0 = time.time()
-    clean = sio.prepare_clean(spark.read.parquet(_p(out, CLEAN)).drop("invoice_month"))
-    raw = spark.read.parquet(_p(out, RAW))
+    clean = sio.prepare_clean(read(spark, out, CLEAN).drop("invoice_month"))
+    raw = read(spark, out, RAW)
     from ..operators.behavioural import invoice_totals
 
     _write(invoice_totals(clean), _p(out, INVOICES))
-    invoices = spark.read.parquet(_p(out, INVOICES))
+    invoices = read(spark, out, INVOICES)
     feats = coh.feature_matrix(clean, raw, invoices=invoices)
     n = _write(feats, _p(out, FEATURES), validate=_validate_features)
     return {"customers": n, "seconds": round(time.time() - t0, 2)}
@@ -99,7 +104,7 @@ def run_segmentation(spark: SparkSession, out: str, cfg: SegmentationConfig = Se
     """Standardise RFM columns, best-of-n K-Means, label clusters by ranking
     centres, write segment results, the model and a run record."""
     t0 = time.time()
-    feats = spark.read.parquet(_p(out, FEATURES))
+    feats = read(spark, out, FEATURES)
     cols = list(cfg.rfm_columns)
     params = sg.scaler_params(feats, cols)
     z = sg.scale_features(feats, cols, params)
@@ -109,7 +114,7 @@ def run_segmentation(spark: SparkSession, out: str, cfg: SegmentationConfig = Se
     mapping = sg.rank_centres(centres, cols)
     seg = sg.label_segments(sg.assign_segments(z, centres, scaled), mapping).drop(*scaled)
     n = _write(seg, _p(out, SEGMENTS))
-    stored = spark.read.parquet(_p(out, SEGMENTS))
+    stored = read(spark, out, SEGMENTS)
     sil = sg.silhouette(sg.scale_features(stored, cols, params), scaled, "Segment")
     model.write().overwrite().save(_p(out, "models/kmeans"))
     params.write.mode("overwrite").parquet(_p(out, "models/scaler"))
@@ -147,7 +152,7 @@ def run_churn(spark: SparkSession, out: str, cfg: ChurnConfig = ChurnConfig()) -
     from ..operators.attribution import mean_abs_shap
 
     t0 = time.time()
-    seg = spark.read.parquet(_p(out, SEGMENTS))
+    seg = read(spark, out, SEGMENTS)
     lab = ch.churn_label(seg, cfg.threshold_days)
     sel, used = ch.select_features(lab, list(cfg.feature_columns), keep=("CustomerID", "churn_label"))
     data = ch.stratified_split(sel, "churn_label", cfg.test_size, cfg.random_state)

@@ -299,11 +299,50 @@ def a4_incremental_append(spark, sf):
     load and carrying duplicate rows); the table ends up holding every
     distinct line exactly once."""
     from ..sources import fixtures as fx
-    from ..streaming.incremental import append_new
+    from ..sources.versioned import VersionedTable
+    from ..streaming.incremental import merge_new
     from .queries_core import doubles
 
-    base = fx.raw_order_lines(spark, sf, with_part_status=True)
-    target = os.path.join(sio.checkpoint_dir(spark), f"incr-{uuid.uuid4().hex[:8]}")
-    append_new(base.filter(F.col("l_linestatus") == "F").drop("l_linestatus"), target)
-    append_new(raw(spark, sf), target)
-    return doubles(spark.read.parquet(target))
+    base = sio.with_month_partition(fx.raw_order_lines(spark, sf, with_part_status=True))
+    table = VersionedTable(spark, os.path.join(sio.checkpoint_dir(spark), f"incr-{uuid.uuid4().hex[:8]}"))
+    merge_new(base.filter(F.col("l_linestatus") == "F").drop("l_linestatus"), table)
+    merge_new(sio.with_month_partition(raw(spark, sf)), table)
+    return doubles(table.read().drop("invoice_month"))
+
+
+@register(
+    "a9_publish_versions",
+    o.with_ctes(
+        o.CLEAN_CTE,
+        "SELECT 1 AS version, 0 AS current, count(*) AS rows, CAST(sum(Quantity) AS BIGINT) AS quantity "
+        "FROM raw_tagged WHERE LineStatus = 'F' "
+        "UNION ALL SELECT 2, 0, count(*), CAST(sum(Quantity) AS BIGINT) FROM raw_tagged "
+        "UNION ALL SELECT 3, 1, count(*), CAST(sum(Quantity) AS BIGINT) FROM clean",
+    ),
+)
+def a9_publish_versions(spark, sf):
+    """One table through its versions: the 'F' part of the raw lines, the 'O'
+    part appended, then the cleaned lines in their place; a load whose
+    validation fails in between is never seen.  Rows and quantity of every
+    version, read through its manifest (A4, A9, A11)."""
+    from ..operators import quality as q
+    from ..sources import fixtures as fx
+    from ..sources.versioned import VersionedTable
+
+    table = VersionedTable(spark, os.path.join(sio.checkpoint_dir(spark), f"a9-{uuid.uuid4().hex[:8]}"))
+    parts = sio.with_month_partition(fx.raw_order_lines(spark, sf, with_part_status=True))
+    lines = lambda status: parts.filter(F.col("l_linestatus") == status).drop("l_linestatus")
+    table.publish(lines("F"), partition_by=["invoice_month"])
+    table.publish(lines("O"), "append")
+    try:  # the raw lines are no clean table
+        table.publish(lines("F"), partition_by=["invoice_month"], validate=lambda t: q.validate_clean(t.withColumn("Revenue", F.lit(0.0))))
+    except q.ValidationError:
+        pass
+    table.publish(sio.with_month_partition(clean_lines(spark, sf)), partition_by=["invoice_month"])
+    numbers = table.versions()
+    out = None
+    for n in numbers:
+        one = table.read(n).agg(F.count(F.lit(1)).alias("rows"), F.sum("Quantity").cast("bigint").alias("quantity")).select(
+            F.lit(n).alias("version"), F.lit(int(n == numbers[-1])).alias("current"), "rows", "quantity")
+        out = one if out is None else out.unionByName(one)
+    return out

@@ -13,9 +13,13 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.versioned import ConcurrentWrite, VersionedTable
+
+MOST_MONTHS = 1_200  # a batch of more months reads every partition
+
 
 def _exists(spark: SparkSession, path: str) -> bool:
     """True when ``path`` holds a readable parquet table (schema resolution
@@ -53,6 +57,49 @@ def append_new(batch: DataFrame, target: str, keys: list[str] | None = None,
     return save_table(new, name=None, mode="append", path=target, partition_by=partition_by)
 
 
+def row_key(keys: list[str]) -> list[Column]:
+    """128 bits of the key columns, NULLs told apart by their place."""
+    parts = [c for k in keys for c in (F.col(f"`{k}`"), F.col(f"`{k}`").isNull())]
+    return [F.xxhash64(F.lit(seed), *parts).alias(f"__key{seed}") for seed in (0, 1)]
+
+
+def stored_months(batch: DataFrame, table: VersionedTable, month: str) -> DataFrame:
+    """The stored rows of the batch's months: the other partitions are pruned
+    before any file is opened."""
+    months = [r[0] for r in batch.select(month).distinct().limit(MOST_MONTHS + 1).collect()]
+    if len(months) > MOST_MONTHS:
+        return table.read()
+    named = F.col(month).isin([m for m in months if m is not None])
+    return table.read().filter(named | F.col(month).isNull() if None in months else named)
+
+
+def new_rows(batch: DataFrame, table: VersionedTable, keys: list[str] | None = None, month: str = "invoice_month") -> DataFrame:
+    """The rows of ``batch``, one for each key, that ``table`` does not hold.
+    The month is part of the key, so only its partitions need reading, and
+    keys meet as two longs in place of all their columns."""
+    keys = list(dict.fromkeys([*(keys or batch.columns), month]))
+    key = ["__key0", "__key1"]
+    new = batch.select("*", *row_key(keys)).dropDuplicates(key)
+    if table.exists():
+        new = new.join(stored_months(batch, table, month).select(*row_key(keys)), key, "left_anti")
+    return new.select(*[f"`{c}`" for c in batch.columns])
+
+
+def merge_new(batch: DataFrame, table: VersionedTable, keys: list[str] | None = None, month: str = "invoice_month",
+              attempts: int = 5) -> int:
+    """Append ``new_rows`` as the next version, partitioned by ``month``;
+    returns rows appended.  A batch that finds another writer's version in
+    its way is compared with it again, so no key is stored twice."""
+    for _ in range(attempts):
+        at = table.version()
+        try:
+            done = table.publish(new_rows(batch, table, keys, month), "append", [month], on_version=at.number if at else 0)
+            return done.rows - (at.rows if at else 0)
+        except ConcurrentWrite as exc:
+            last = exc
+    raise last
+
+
 def foreach_batch_sink(target: str, keys: list[str] | None = None, partition_by: list[str] | None = None):
     """``writeStream.foreachBatch(...)`` callback performing ``append_new``."""
 

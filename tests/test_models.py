@@ -122,7 +122,7 @@ def test_jobs_end_to_end(spark):
     churn = jobs.run_churn(spark, out, ChurnConfig(n_estimators=5))
     assert churn["scored"] == 150 and 0.0 <= churn["test_roc_auc"] <= 1.0
     n_test = sum(churn[k] for k in ("tp", "fp", "tn", "fn"))
-    assert n_test == spark.read.parquet(os.path.join(out, jobs.PREDICTIONS)).filter("split = 'test'").count()
+    assert n_test == jobs.read(spark, out, jobs.PREDICTIONS).filter("split = 'test'").count()
     table = lambda name: spark.read.parquet(os.path.join(out, name))
     assert table("risk_distribution").agg(F.sum("customers")).first()[0] == 150
     used = set(ChurnConfig().feature_columns)
@@ -140,8 +140,8 @@ def test_jobs_end_to_end(spark):
     from basketry.operators import churn as ch
 
     model = PipelineModel.load(os.path.join(out, "models/churn"))
-    stored = spark.read.parquet(os.path.join(out, jobs.PREDICTIONS))
-    seg = spark.read.parquet(os.path.join(out, jobs.SEGMENTS))
+    stored = jobs.read(spark, out, jobs.PREDICTIONS)
+    seg = jobs.read(spark, out, jobs.SEGMENTS)
     sel, _ = ch.select_features(ch.churn_label(seg), list(ChurnConfig().feature_columns), keep=("CustomerID",))
     again = ch.score_churn(model, sel)
     assert sorted(again.collect()) == sorted(stored.drop("split").collect())
@@ -152,6 +152,7 @@ def test_jobs_end_to_end(spark):
 def test_rejected_batch_leaves_the_published_table(spark):
     from basketry.operators.quality import ValidationError, validate_keyed, violation_table
     from basketry.plans.jobs import _write
+    from basketry.sources.versioned import VersionedTable
 
     path = os.path.join(tempfile.mkdtemp(prefix="publish-"), "t")
 
@@ -162,7 +163,7 @@ def test_rejected_batch_leaves_the_published_table(spark):
     for bad in ([(1, -1)], [(1, 1), (1, 2)], []):
         with pytest.raises(ValidationError):
             _write(spark.createDataFrame(bad, "k int, v int"), path, validate=check)
-        assert spark.read.parquet(path).count() == 2
+        assert VersionedTable(spark, path).read().count() == 2
 
 
 def test_verify_count_after_append(spark):
