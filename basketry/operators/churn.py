@@ -36,10 +36,10 @@ def churn_label(df: DataFrame, days: int = CHURN_THRESHOLD_DAYS, out: str = "chu
 def churn_threshold(df: DataFrame, q: float = 0.9) -> DataFrame:
     """int() of the q-th (linear) percentile of AvgGap (Recency when the
     column is absent), NULLs ignored."""
-    from ..functions.ordered import exact_quantiles
+    from ..functions.selection import quantile_table
 
     col = "AvgGap" if "AvgGap" in df.columns else "Recency"
-    return exact_quantiles(df, col, {"p": q}).select(
+    return quantile_table(df, col, {"p": q}).select(
         F.floor("p").cast("int").alias("threshold_days"), F.lit(col).alias("source_column")
     )
 

@@ -9,13 +9,13 @@ shuffle) and the single-row global aggregate for the quantile caps.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import COL_REVENUE, COL_SOURCE_TAG, DATE_FORMATS, ETLConfig
 from ..functions.numeric import starts_with_prefix, trim_all
-from ..functions.ordered import exact_quantiles
+from ..functions.selection import select_quantiles, staged_sketch
 
 
 # B1 -------------------------------------------------------------------------
@@ -97,31 +97,41 @@ def dedup_rows(df: DataFrame) -> DataFrame:
 
 
 # B8 -------------------------------------------------------------------------
-def quantile_caps(df: DataFrame, cols: list[str], q: float, relative_error: float | None = None) -> DataFrame:
-    """One-row DataFrame with the q-quantile of every column (``<col>_cap``).
-
-    Exact and linearly interpolated by default: the columns are unpivoted,
-    counted per distinct value and ranked in buckets (``exact_quantiles``),
-    so no task holds a whole column's values.
-    ``relative_error`` asks for ``percentile_approx`` instead.
-    """
+def outlier_caps(df: DataFrame, cols: list[str], q: float, relative_error: float | None = None,
+                 sketched: dict | None = None) -> dict[str, float | None]:
+    """The q-quantile of every column, exact and linearly interpolated; all
+    columns in two scans of the named columns, one with the sketch of
+    ``staged_sketch`` (``select_quantiles``).  ``relative_error`` asks for an
+    approximate one."""
     if relative_error is not None:
         acc = max(1, int(round(1.0 / relative_error)))
-        return df.agg(*[F.percentile_approx(F.col(c).cast("double"), q, acc).cast("double").alias(f"{c}_cap") for c in cols])
-    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("double").alias("v")) for c in cols]))
-    caps = exact_quantiles(df.select(pairs.alias("p")).select("p.c", "p.v"), "v", {"cap": q}, by=["c"])
-    return caps.agg(*[F.max(F.when(F.col("c") == c, F.col("cap"))).alias(f"{c}_cap") for c in cols])
+        row = df.agg(*[F.percentile_approx(F.col(c).cast("double"), q, acc).cast("double").alias(c) for c in cols]).first()
+        return row.asDict()
+    [(_, caps)] = select_quantiles(df, cols, {"cap": q}, sketched=sketched) or [((), {c: {"cap": None} for c in cols})]
+    return {c: caps[c]["cap"] for c in cols}
+
+
+def quantile_caps(df: DataFrame, cols: list[str], q: float, relative_error: float | None = None) -> DataFrame:
+    """``outlier_caps`` as a one-row table (``<col>_cap``)."""
+    caps = outlier_caps(df, cols, q, relative_error)
+    return df.sparkSession.createDataFrame([tuple(caps.values())], ", ".join(f"`{c}_cap` double" for c in caps))
+
+
+def within_caps(caps: dict[str, float | None]) -> Column:
+    """Whether no column is above its cap; without a cap nothing passes."""
+    keep = F.lit(True)
+    for c, cap in caps.items():
+        keep = keep & (F.col(c).cast("double") <= F.lit(cap))
+    return keep
 
 
 def drop_outliers(df: DataFrame, cols: list[str], q: float = 0.99, relative_error: float | None = None) -> DataFrame:
-    """Drop rows above the q-quantile of any listed column; both quantiles
-    come from the same (pre-filter) input.  The caps are a one-row global
-    aggregate cross-joined back (a broadcast of exactly one row)."""
-    caps = quantile_caps(df, cols, q, relative_error)
-    cond = F.lit(True)
-    for c in cols:
-        cond = cond & (F.col(c).cast("double") <= F.col(f"{c}_cap"))
-    return df.crossJoin(F.broadcast(caps)).filter(cond).drop(*[f"{c}_cap" for c in cols])
+    """Drop rows above the q-quantile of any listed column; all quantiles
+    come from the same (pre-filter) input.  The input is staged once, since
+    caps and result both read it: whatever made it (a de-duplicating shuffle)
+    runs once, and the caps only scan their own columns."""
+    rows, seen = staged_sketch(df, "before_outliers", cols, [q])
+    return rows.filter(within_caps(outlier_caps(rows, cols, q, relative_error, seen)))
 
 
 # B9 -------------------------------------------------------------------------
@@ -237,15 +247,12 @@ def clean_audit(df: DataFrame, cfg: ETLConfig = ETLConfig()) -> DataFrame:
         .transform(lambda d: remove_cancellations(d, inv, cfg.cancellation_prefix))
         .transform(lambda d: keep_positive(d, [qty, price]))
     )
-    deduped = dedup_rows(pre_dedup)
-    after_outliers = drop_outliers(deduped, [qty, price], cfg.outlier_quantile, cfg.outlier_relative_error)
-    set_counts = (
-        deduped.agg(F.count(F.lit(1)).alias("n")).select(F.lit(7).alias("reason"), F.col("n").alias("count"))
-    ).unionByName(
-        after_outliers.agg(F.count(F.lit(1)).alias("n")).select(F.lit(8).alias("reason"), F.col("n").alias("count"))
-    )
-    total = d0.agg(F.count(F.lit(1)).alias("count")).select(F.lit(-1).alias("reason"), "count")
-    counts = row_counts.unionByName(set_counts).unionByName(total)
+    deduped, seen = staged_sketch(dedup_rows(pre_dedup), "deduped", [qty, price], [cfg.outlier_quantile])
+    caps = outlier_caps(deduped, [qty, price], cfg.outlier_quantile, cfg.outlier_relative_error, seen)
+    set_counts = deduped.agg(
+        F.count(F.lit(1)).alias("r7"), F.count_if(within_caps(caps)).alias("r8"),
+    ).selectExpr("stack(2, 7, r7, 8, r8) AS (reason, count)")
+    counts = row_counts.unionByName(set_counts)
     return audit_from_counts(counts)
 
 
@@ -264,7 +271,8 @@ def audit_from_counts(counts: DataFrame) -> DataFrame:
     has at most ~10 rows, so the pivot to one row is a tiny aggregate."""
     spark = counts.sparkSession
     piv = counts.agg(
-        *[F.sum(F.when(F.col("reason") == r, F.col("count")).otherwise(0)).alias(f"r{r}") for r in (-1, 2, 3, 5, 6, 7, 8)]
+        F.sum(F.when(F.col("reason") < 7, F.col("count")).otherwise(0)).alias("r-1"),
+        *[F.sum(F.when(F.col("reason") == r, F.col("count")).otherwise(0)).alias(f"r{r}") for r in (2, 3, 5, 6, 7, 8)]
     )
     steps = spark.createDataFrame(AUDIT_STEPS, "step_no int, step string")
     p = piv

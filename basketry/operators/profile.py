@@ -98,39 +98,22 @@ DESCRIBE_STATS = ["count", "mean", "std", "min", "25%", "50%", "75%", "max"]
 def describe(df: DataFrame, cols: list[str] | None = None, digits: int = 6) -> DataFrame:
     """Summary statistics ``(column, statistic, value)`` for numeric
     columns: count, mean, sample std, min, exact linear-interpolated
-    quartiles (distributed, ``exact_quantiles``), max.  Values are rounded to
+    quartiles (``select_quantiles``: three scans for all columns), max.  Values are rounded to
     ``digits`` decimals (house rule) so engines agree."""
-    from ..functions.ordered import exact_quantiles
+    from ..functions.selection import select_quantiles
 
     if cols is None:
         cols = [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
-    aggs = []
-    items = []
-    quart = None
+    [(_, quart)] = select_quantiles(df, cols, {"25%": 0.25, "50%": 0.5, "75%": 0.75}) or [((), {})]
+    aggs, items = [], []
     for i, c in enumerate(cols):
         v = F.col(c).cast("double")
-        qs = exact_quantiles(df, c, {f"q25_{i}": 0.25, f"q50_{i}": 0.5, f"q75_{i}": 0.75})
-        quart = qs if quart is None else quart.crossJoin(qs)
-        stats = {
-            "count": F.count(v),
-            "mean": F.avg(F.col(c)),
-            "std": F.stddev_samp(v),
-            "min": F.min(v),
-            "25%": None,
-            "50%": None,
-            "75%": None,
-            "max": F.max(v),
-        }
+        stats = {"count": F.count(v), "mean": F.avg(F.col(c)), "std": F.stddev_samp(v), "min": F.min(v), "max": F.max(v),
+                 **{k: F.lit(x).cast("double") for k, x in quart.get(c, {"25%": None, "50%": None, "75%": None}).items()}}
         for j, s in enumerate(DESCRIBE_STATS):
-            name = f"s_{i}_{j}"
-            if stats[s] is not None:
-                aggs.append(rnd(stats[s], digits).alias(name))
-            items.append((f"'{c}', '{s}'", name))
-    one = df.agg(*aggs).crossJoin(quart)
-    for i, _ in enumerate(cols):
-        for j, s in enumerate(DESCRIBE_STATS):
-            if s.endswith("%"):
-                one = one.withColumn(f"s_{i}_{j}", rnd(f"q{s[:-1]}_{i}", digits))
+            aggs.append(rnd(stats[s], digits).alias(f"s_{i}_{j}"))
+            items.append((f"'{c}', '{s}'", f"s_{i}_{j}"))
+    one = df.agg(*aggs)
     body = ", ".join(f"{a}, `{b}`" for a, b in items)
     return one.selectExpr(f"stack({len(items)}, {body}) AS (column_name, statistic, value)")
 

@@ -150,10 +150,10 @@ def sample_n(df: DataFrame, n: int = 2000, seed: int = 42, key: str = CUST) -> D
 
 # L13 ------------------------------------------------------------------------
 def median_of(df: DataFrame, col: str = "Monetary") -> DataFrame:
-    """Exact median without a single-task value map (``exact_quantiles``)."""
-    from ..functions.ordered import exact_quantiles
+    """Exact median by distributed selection (``select_quantiles``)."""
+    from ..functions.selection import quantile_table
 
-    return exact_quantiles(df, col, {f"median_{col}": 0.5})
+    return quantile_table(df, col, {f"median_{col}": 0.5})
 
 
 # L14 ------------------------------------------------------------------------

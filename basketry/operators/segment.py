@@ -12,6 +12,7 @@ import json
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..config import COL_CUSTOMER_ID, RFM_FEATURE_COLUMNS, SEGMENT_LABELS
 from ..functions.numeric import rnd
@@ -129,30 +130,42 @@ def revenue_concentration(df: DataFrame, by: str = "SegmentLabel") -> DataFrame:
 
 
 # H14 ------------------------------------------------------------------------
+def box_stats_all(df: DataFrame, by: str, cols: list[str], digits: int = 6) -> DataFrame:
+    """Box-plot statistics per group and column: exact quartiles (linear),
+    IQR, whiskers at the furthest values within 1.5 IQR of the box, outlier
+    count.  Quartiles of all columns come from one selection and whiskers from
+    one aggregate, so four scans whatever the number of columns; the boxes (a
+    row a group) are broadcast.  Reported to ``digits`` decimals (house rule),
+    whiskers are data values."""
+    from ..functions.selection import select_quantiles
+
+    found = select_quantiles(df, cols, {"q1": 0.25, "median": 0.5, "q3": 0.75}, by=[by])
+    schema = T.StructType([T.StructField("__by", df.schema[by].dataType), *[
+        T.StructField(f"__{k}{i}", T.DoubleType()) for i in range(len(cols)) for k in ("q1", "median", "q3")]])
+    boxes = df.sparkSession.createDataFrame(
+        [(g[0], *[x for c in cols for x in each[c].values()]) for g, each in found], schema)
+    rows = df.select(F.col(by).alias("__g"), *[F.col(c).cast("double").alias(f"__v{i}") for i, c in enumerate(cols)])
+    joined = rows.join(F.broadcast(boxes), F.col("__g") == F.col("__by"))
+    aggs = []
+    for i in range(len(cols)):
+        v, q1, q3 = F.col(f"__v{i}"), F.col(f"__q1{i}"), F.col(f"__q3{i}")
+        low, high = q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)
+        aggs.append(F.struct(
+            F.count(v).alias("n"), F.first(q1).alias("q1"), F.first(f"__median{i}").alias("median"), F.first(q3).alias("q3"),
+            F.min(F.when(v >= low, v)).alias("whisker_low"), F.max(F.when(v <= high, v)).alias("whisker_high"),
+            F.count_if((v < low) | (v > high)).alias("outliers"), F.lit(cols[i]).alias("measure")).alias(f"s{i}"))
+    each = joined.groupBy("__g").agg(*aggs).select("__g", F.explode(F.array(*[f"s{i}" for i in range(len(cols))])).alias("s"))
+    return each.filter("s.n > 0").select(
+        F.col("__g").alias(by), F.col("s.measure").alias("measure"), F.col("s.n").alias("n"),
+        *[rnd(x, digits).alias(k) for k, x in (("q1", F.col("s.q1")), ("median", F.col("s.median")), ("q3", F.col("s.q3")),
+                                               ("iqr", F.col("s.q3") - F.col("s.q1")))],
+        F.col("s.whisker_low").alias("whisker_low"), F.col("s.whisker_high").alias("whisker_high"),
+        F.col("s.outliers").cast("bigint").alias("outliers"))
+
+
 def box_stats(df: DataFrame, by: str, col: str, digits: int = 6) -> DataFrame:
-    """Box-plot statistics per group: exact quartiles (linear), IQR,
-    whiskers at the furthest values within 1.5 IQR of the box, outlier
-    count.  Quartiles are exact and distributed (``exact_quantiles``), joined
-    back to the rows (one row per group on the small side); reported to
-    ``digits`` decimals (house rule), whiskers are data values."""
-    from ..functions.ordered import exact_quantiles
-
-    v = F.col(col).cast("double")
-    q = exact_quantiles(df, col, {"q1": 0.25, "median": 0.5, "q3": 0.75}, by=[by]).join(
-        df.groupBy(by).agg(F.count(v).alias("n")), by, "inner"
-    ).withColumn("iqr", F.col("q3") - F.col("q1"))
-    lo_f = F.col("q1") - 1.5 * F.col("iqr")
-    hi_f = F.col("q3") + 1.5 * F.col("iqr")
-    j = df.select(by, v.alias("v")).join(q, by, "inner")
-    w = j.groupBy(by).agg(
-        F.min(F.when(F.col("v") >= lo_f, F.col("v"))).alias("whisker_low"),
-        F.max(F.when(F.col("v") <= hi_f, F.col("v"))).alias("whisker_high"),
-        F.count_if((F.col("v") < lo_f) | (F.col("v") > hi_f)).alias("outliers"),
-    )
-    return q.join(w, by, "inner").select(
-        by, "n", *[rnd(c, digits).alias(c) for c in ("q1", "median", "q3", "iqr")],
-        "whisker_low", "whisker_high", F.col("outliers").cast("bigint"),
-    )
+    """``box_stats_all`` of one column."""
+    return box_stats_all(df, by, [col], digits).drop("measure")
 
 
 # H2 -------------------------------------------------------------------------

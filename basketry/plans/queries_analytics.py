@@ -515,9 +515,7 @@ GROUP BY qq.measure, qq.SegmentLabel, qq.n, q1, median, q3, iqr"""
 
 @register("h14_box_stats", wseg(_box_sql()))
 def h14_box_stats(spark, sf):
-    seg = segments(spark, sf)
-    parts = [sg.box_stats(seg, "SegmentLabel", m).select(F.lit(m).alias("measure"), "*") for m in BOX_MEASURES]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return sg.box_stats_all(segments(spark, sf), "SegmentLabel", list(BOX_MEASURES))
 
 
 # --- J: churn (exact parts) -------------------------------------------------------------
