@@ -175,58 +175,16 @@ def vectorise(df: DataFrame, cols: list[str], out: str = "features") -> DataFram
     return VectorAssembler(inputCols=list(cols), outputCol=out, handleInvalid="keep").transform(df)
 
 
-def ml_layout(df: DataFrame, cols: list[str], key: str = CUST) -> DataFrame:
-    """Vector table laid out by the customer key (range-partitioned into the
-    default parallelism, sorted within partitions) so that seeded
-    initialisations that sample per partition give the same fit whatever
-    the input partitioning was."""
-    from ..session import default_parallelism
-
-    if key in df.columns:
-        base = df.select(key, *cols).repartitionByRange(default_parallelism(df.sparkSession), key).sortWithinPartitions(key)
-    else:
-        base = df.select(*cols)
-    return vectorise(base, cols).select("features")
-
-
 def fit_kmeans(df: DataFrame, cols: list[str], k: int = 4, n_init: int = 10, seed: int = 42,
-               max_iter: int = 300, tol: float = 1e-4, key: str = CUST):
-    """Best of ``n_init`` K-Means runs (k-means|| init, seeds seed..seed+n-1)
-    by training cost (inertia).  spark.ml has no n_init, so the starts are
-    separate distributed fits over the cached vector table (laid
-    out by ``ml_layout``)."""
-    data = ml_layout(df, cols, key).cache()
-    try:
-        return best_of_n(data, k, n_init, seed, max_iter, tol)
-    finally:
-        data.unpersist()
-
-
-def fit_many(data: DataFrame, runs: list[tuple[int, int]], max_iter: int = 300, tol: float = 1e-4,
-             parallelism: int = 8) -> list:
-    """One seeded fit per ``(k, seed)`` on a prepared ``features`` table.  The
-    fits are independent, so ``parallelism`` of them are submitted at a time
-    and fill the gaps between each other's short iterations."""
-    from multiprocessing.pool import ThreadPool
-
-    from pyspark import inheritable_thread_target
-    from pyspark.ml.clustering import KMeans
-
-    @inheritable_thread_target(data.sparkSession)
-    def fit(run):
-        k, seed = run
-        model = KMeans(k=k, seed=seed, maxIter=max_iter, tol=tol, featuresCol="features").fit(data)
-        return model, model.summary.trainingCost
+               max_iter: int = 300, tol: float = 1e-4):
+    """(model, inertia): the best of ``n_init`` K-Means starts (k-means++,
+    seeds seed..seed+n-1) by inertia.  All starts share their scans
+    (``lloyd.fit_starts``)."""
+    from . import lloyd
 
-    data.count()  # fill the cache once, not once a fit
-    with ThreadPool(parallelism) as pool:
-        return pool.map(fit, runs, chunksize=1)
-
-
-def best_of_n(data: DataFrame, k: int, n_init: int, seed: int, max_iter: int = 300, tol: float = 1e-4):
-    """Lowest-inertia model of ``n_init`` seeded fits on a prepared
-    ``features`` vector table; returns (model, inertia)."""
-    return min(fit_many(data, [(k, seed + i) for i in range(n_init)], max_iter, tol), key=lambda f: f[1])
+    points = lloyd.coordinates(df, cols)
+    top = lloyd.best(lloyd.fit_starts(points, [(k, seed + i) for i in range(n_init)], max_iter, tol))
+    return lloyd.as_model(df.sparkSession, top.centres), top.inertia
 
 
 def model_centres(model) -> list[tuple[int, list[float]]]:
@@ -248,20 +206,16 @@ def silhouette(df: DataFrame, cols: list[str], pred: str = "Segment", measure: s
 
 def elbow(df: DataFrame, cols: list[str], ks=range(2, 11), seed: int = 42, n_init: int = 10) -> DataFrame:
     """(k, inertia, silhouette) for each k (H9/H10), each the best of
-    ``n_init`` starts; one cached vector table serves every fit."""
-    from pyspark.ml.evaluation import ClusteringEvaluator
-
-    data = ml_layout(df, cols).cache()
-    rows = []
-    try:
-        ks = [int(k) for k in ks]
-        fits = fit_many(data, [(k, seed + i) for k in ks for i in range(n_init)])
-        for j, k in enumerate(ks):
-            model, cost = min(fits[j * n_init:(j + 1) * n_init], key=lambda f: f[1])
-            sil = ClusteringEvaluator(featuresCol="features", predictionCol="prediction").evaluate(model.transform(data))
-            rows.append((k, float(cost), float(sil)))
-    finally:
-        data.unpersist()
+    ``n_init`` starts; all starts of all k share their scans, and two more
+    give every silhouette."""
+    from . import lloyd
+
+    ks = [int(k) for k in ks]
+    points = lloyd.coordinates(df, cols)
+    fits = lloyd.fit_starts(points, [(k, seed + i) for k in ks for i in range(n_init)])
+    tops = [lloyd.best(fits[j * n_init:(j + 1) * n_init]) for j in range(len(ks))]
+    scores = lloyd.silhouettes(points, [f.centres for f in tops])
+    rows = [(k, f.inertia, s) for k, f, s in zip(ks, tops, scores, strict=True)]
     return df.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette double")
 
 
@@ -274,26 +228,22 @@ def stability(df: DataFrame, cols: list[str], k: int = 4, n_seeds: int = 10, see
               threshold: float = 0.90, max_iter: int = 300, n_init: int = 10) -> DataFrame:
     """Mean pairwise adjusted Rand index of K-Means labelings over
     ``n_seeds`` seeds, each the best of ``n_init`` starts; stable when above
-    ``threshold``.  All pairs are scored in one grouped pass
-    (``adjusted_rand_pairs``).  Spark has no start count, so seed i uses the
-    starts ``(seed + i) * n_init ...``, which no other seed shares."""
+    ``threshold``.  All fits share their scans, and all pairs are scored in
+    one grouped pass (``adjusted_rand_pairs``).  Seed i uses the starts
+    ``(seed + i) * n_init ...``, which no other seed shares."""
+    from . import lloyd
     from .metrics import adjusted_rand_pairs
 
-    base = ml_layout(df, cols).cache()
-    try:
-        labelled = base
-        names = []
-        fits = fit_many(base, [(k, seed * n_init + j) for j in range(n_seeds * n_init)], max_iter)
-        for i in range(n_seeds):
-            m, _ = min(fits[i * n_init:(i + 1) * n_init], key=lambda f: f[1])
-            labelled = m.setPredictionCol(f"s{i}").transform(labelled)
-            names.append(f"s{i}")
-        aris = adjusted_rand_pairs(labelled.select(*names), names)
-        return aris.agg(F.avg("ari").alias("mean_ari"), F.count(F.lit(1)).alias("pairs")).withColumn(
-            "stable", F.col("mean_ari") > threshold
-        )
-    finally:
-        base.unpersist()
+    points = lloyd.coordinates(df, cols)
+    fits = lloyd.fit_starts(points, [(k, seed * n_init + j) for j in range(n_seeds * n_init)], max_iter)
+    labelled, names = points, [f"s{i}" for i in range(n_seeds)]
+    for i, name in enumerate(names):
+        top = lloyd.best(fits[i * n_init:(i + 1) * n_init])
+        labelled = assign_segments(labelled, list(enumerate(top.centres.tolist())), points.columns, name)
+    aris = adjusted_rand_pairs(labelled.select(*names), names)
+    return aris.agg(F.avg("ari").alias("mean_ari"), F.count(F.lit(1)).alias("pairs")).withColumn(
+        "stable", F.col("mean_ari") > threshold
+    )
 
 
 # H13 ------------------------------------------------------------------------

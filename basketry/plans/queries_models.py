@@ -9,6 +9,7 @@ from __future__ import annotations
 import os
 import uuid
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..config import CHURN_FEATURE_COLUMNS, CHURN_THRESHOLD_DAYS, RFM_FEATURE_COLUMNS, ChurnConfig, SegmentationConfig
@@ -65,6 +66,42 @@ def h2_fit_kmeans(spark, sf):
     )
 
 
+@register(
+    "h2_fit_checks",
+    o.with_ctes(
+        o.FEATURE_CTE,
+        "SELECT c AS \"check\", true AS holds, (SELECT count(*) FROM features) AS customers "
+        "FROM (VALUES ('every customer is in its nearest cluster'), ('every centre is the mean of its customers'), "
+        "('inertia is the sum of squared distances'), ('inertia falls from k to k + 1')) v(c)",
+    ),
+)
+def h2_fit_checks(spark, sf):
+    """What must hold of the fitted clusters, recomputed from the customers'
+    coordinates and the returned centres alone."""
+    model, cost = kmeans_fit(spark, sf)
+    centres = sg.model_centres(model)
+    table = spark.createDataFrame([(i, *c) for i, c in centres], "cluster int, " + ", ".join(f"m{j} double" for j in range(len(SCALED))))
+    seg = fitted_segments(spark, sf).select("CustomerID", "Segment", *SCALED)
+    far = sum((F.col(c) - F.col(f"m{j}")) ** 2 for j, c in enumerate(SCALED))
+    pairs = seg.join(F.broadcast(table)).withColumn("far", far)  # a row a centre
+    own = pairs.groupBy("CustomerID").agg(
+        F.min("far").alias("nearest"), F.min(F.when(F.col("cluster") == F.col("Segment"), F.col("far"))).alias("own"))
+    one = own.agg(F.count(F.lit(1)).alias("customers"), F.max(F.col("own") - F.col("nearest")).alias("worst"), F.sum("own").alias("inertia"))
+    means = seg.groupBy("Segment").agg(*[F.avg(c).alias(f"a{j}") for j, c in enumerate(SCALED)]).join(
+        F.broadcast(table), F.col("Segment") == F.col("cluster"))
+    apart = means.agg(F.max(F.greatest(*[F.abs(F.col(f"a{j}") - F.col(f"m{j}")) for j in range(len(SCALED))])).alias("apart"))
+    falls = h9_elbow(spark, sf).withColumn("before", F.lag("inertia").over(Window.orderBy("k"))).agg(
+        F.max(F.col("inertia") - F.col("before")).alias("rise"))
+    r = one.crossJoin(F.broadcast(apart)).crossJoin(F.broadcast(falls))
+    checks = F.array(
+        F.struct(F.lit("every customer is in its nearest cluster").alias("check"), (F.col("worst") <= 1e-9).alias("holds")),
+        F.struct(F.lit("every centre is the mean of its customers").alias("check"), (F.col("apart") <= 1e-3).alias("holds")),
+        F.struct(F.lit("inertia is the sum of squared distances").alias("check"),
+                 (F.abs(F.col("inertia") - float(cost)) <= 1e-6 * F.col("inertia")).alias("holds")),
+        F.struct(F.lit("inertia falls from k to k + 1").alias("check"), (F.col("rise") < 0).alias("holds")))
+    return r.select("customers", F.explode(checks).alias("c")).select("c.check", "c.holds", "customers")
+
+
 @register("h4_silhouette")
 def h4_silhouette(spark, sf):
     s = fitted_segments(spark, sf)
