@@ -178,12 +178,12 @@ BEHAVIOURAL_COLUMNS = [
 def behavioural(df: DataFrame, raw: DataFrame | None = None, level: str = "line",
                 invoices: DataFrame | None = None) -> DataFrame:
     """AOV/SpendStd, temporal, product, gap and return-rate groups per
-    customer, NULLs filled with 0.  Line-level groups come from the fused
-    grouping-sets pass (``cohort.line_level_features``); gaps and returns
+    customer, NULLs filled with 0.  Line-level groups come from
+    ``cohort.line_level_features``; gaps and returns
     are left-joined on the customer key (one-row-per-customer sides)."""
     from .cohort import line_level_features
 
-    base = line_level_features(df)
+    base = line_level_features(df, invoices=invoices)
     out = base.join(purchase_gaps(df, invoices), CUST, "left").join(return_rate(raw, df, level), CUST, "left")
     return fill_defaults(out).select(*BEHAVIOURAL_COLUMNS)
 

@@ -54,11 +54,10 @@ def feature_matrix(clean: DataFrame, raw: DataFrame | None = None, snapshot=None
                    return_level: str = "line", invoices: DataFrame | None = None) -> DataFrame:
     """RFM ⟕ behavioural ⟕ cohort on the customer key (RFM is the base).
 
-    Physical plan (fused, see ``line_level_features``): every line-level
-    statistic comes from ONE grouping-sets aggregate over the lines (one
-    scan, one Expand, partial aggregation, one shuffle) reduced per customer
-    by a second aggregate; only the order-dependent gaps and the raw-table
-    return rate are separate branches.
+    Physical plan: one aggregate per customer over the lines gives weekday,
+    hour, month, item and time statistics, one over the invoices the spend,
+    one over (customer, SKU) the diversity; the order-dependent gaps and the
+    raw-table return rate are separate branches.
 
     ``invoices`` (optional): a materialised ``behavioural.invoice_totals``
     table.  The gap computation reads invoice times twice (in-day window and
@@ -66,7 +65,7 @@ def feature_matrix(clean: DataFrame, raw: DataFrame | None = None, snapshot=None
     scans instead of two line-volume aggregations."""
     from .behavioural import fill_defaults, purchase_gaps, return_rate
 
-    base = line_level_features(clean, snapshot)
+    base = line_level_features(clean, snapshot, invoices)
     gaps = purchase_gaps(clean, invoices)
     returns = return_rate(raw, clean, return_level)
     out = base.join(gaps, CUST, "left").join(returns, CUST, "left")
@@ -79,90 +78,15 @@ FEATURE_COLUMNS = [
     "AvgGap", "StdGap", "ReturnRate", "CohortMonth", "ActiveMonths", "DaysSinceFirstPurchase",
 ]
 
-_SETS = {
-    "inv": [CUST, COL_INVOICE],
-    "wd": [CUST, "wd"],
-    "hr": [CUST, "hr"],
-    "sku": [CUST, COL_STOCK_CODE],
-    "m": [CUST, "m"],
-}
-_GROUP_COLS = [CUST, COL_INVOICE, "wd", "hr", COL_STOCK_CODE, "m"]
-
-
-def _gid(cols: list[str]) -> int:
-    """grouping_id() value of a grouping set: bit i (from the left) is 1
-    when column i of _GROUP_COLS is NOT grouped."""
-    n = len(_GROUP_COLS)
-    return sum((0 if c in cols else 1) << (n - 1 - i) for i, c in enumerate(_GROUP_COLS))
-
-
-def line_level_features(clean: DataFrame, snapshot=None) -> DataFrame:
+def line_level_features(clean: DataFrame, snapshot=None, invoices: DataFrame | None = None) -> DataFrame:
     """RFM, AOV/SpendStd, weekday/hour modes and weekend share, SKU
-    diversity and cohort columns from one pass over the lines.
-
-    Level 1 is ``GROUPING SETS ((c, invoice), (c, weekday), (c, hour),
-    (c, sku), (c, month))``: each line is expanded five times and partially
-    aggregated on the map side, so the only line-volume shuffle carries
-    pre-aggregated rows hashed on (customer, second key) — a customer with a
-    third of all lines is still spread over many reducers.  Level 2 reduces
-    those rows per customer with conditional algebraic aggregates."""
-    from .rfm import _snapshot_frame
-    from ..functions.numeric import mode_key, mode_value, month_index, month_index_text, rnd, weekday0
-
-    d = clean.select(
-        CUST, COL_INVOICE, COL_STOCK_CODE, COL_QUANTITY, COL_INVOICE_DATE, COL_REVENUE,
-        weekday0(COL_INVOICE_DATE).alias("wd"), F.hour(COL_INVOICE_DATE).alias("hr"),
-        month_index(COL_INVOICE_DATE).alias("m"),
-    )
-    lvl1 = d.groupingSets(list(_SETS.values()), *_GROUP_COLS).agg(
-        F.grouping_id().alias("gid"),
-        F.sum(COL_REVENUE).alias("total"),
-        F.min(COL_INVOICE_DATE).alias("t0"),
-        F.max(COL_INVOICE_DATE).alias("t1"),
-        F.count(F.lit(1)).alias("n"),
-        F.sum(COL_QUANTITY).alias("q"),
-    )
-    g = {k: F.col("gid") == _gid(v) for k, v in _SETS.items()}
-    per = lvl1.groupBy(CUST).agg(
-        F.count_if(g["inv"]).alias("n_invoices"),
-        F.sum(F.when(g["inv"], F.col("total"))).alias("revenue"),
-        F.max(F.when(g["inv"], F.col("t1"))).alias("last_ts"),
-        F.min(F.when(g["inv"], F.col("t0"))).alias("first_ts"),
-        F.avg(F.when(g["inv"], F.col("total"))).alias("aov"),
-        F.stddev_samp(F.when(g["inv"], F.col("total").cast("double"))).alias("spend_std"),
-        F.max(F.when(g["wd"], mode_key("n", "wd"))).alias("wd_best"),
-        F.sum(F.when(g["wd"] & (F.col("wd") >= 5), F.col("n")).otherwise(0)).alias("weekend"),
-        F.sum(F.when(g["wd"], F.col("n"))).alias("lines"),
-        F.max(F.when(g["hr"], mode_key("n", "hr"))).alias("hr_best"),
-        F.count_if(g["sku"]).alias("unique_skus"),
-        F.sum(F.when(g["sku"], F.col("q"))).alias("total_items"),
-        F.count_if(g["m"]).alias("active_months"),
-        F.min(F.when(g["m"], F.col("m"))).alias("cohort_month"),
-    )
-    # The snapshot comes from its own one-column global max over the lines
-    # (a pruned scan + partial aggregate).  Deriving it from ``per`` would
-    # make Spark run the whole grouping-sets pipeline a second time.
-    snap = _snapshot_frame(clean, snapshot)
-    rev = F.col("revenue").cast("double")
-    return per.crossJoin(F.broadcast(snap)).select(
-        CUST,
-        days_between("last_ts", "snapshot").cast("bigint").alias("Recency"),
-        F.col("n_invoices").cast("bigint").alias("Frequency"),
-        rnd(rev, 2).alias("Monetary"),
-        rnd(F.ln(F.col("n_invoices").cast("double") + 1.0), 10).alias("Log_Frequency"),
-        rnd(F.log1p(rev), 4).alias("Log_Monetary"),
-        rnd("aov", 2).alias("AOV"),
-        rnd("spend_std", 2).alias("SpendStd"),
-        mode_value("wd_best").alias("PreferredDayOfWeek"),
-        rnd(F.col("weekend") / F.col("lines"), 4).alias("WeekendRatio"),
-        mode_value("hr_best").alias("PreferredHour"),
-        F.col("unique_skus").cast("bigint").alias("UniqueSKUs"),
-        F.col("total_items").cast("bigint").alias("TotalItems"),
-        rnd((F.col("lines") - F.col("unique_skus")) / F.col("lines"), 4).alias("RepeatSKURatio"),
-        month_index_text("cohort_month").alias("CohortMonth"),
-        F.col("active_months").cast("bigint").alias("ActiveMonths"),
-        days_between("first_ts", "last_ts").cast("bigint").alias("DaysSinceFirstPurchase"),
-    )
+    diversity and cohort columns, reduced straight from the lines
+    (``state.customer_features``)."""
+    from . import state
+    from .behavioural import invoice_totals
+
+    orders = invoices if invoices is not None else invoice_totals(clean)
+    return state.customer_features(state.line_slots(clean), orders, clean, snapshot)
 
 
 def feature_matrix_joined(clean: DataFrame, raw: DataFrame | None = None, snapshot=None,

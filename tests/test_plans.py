@@ -43,7 +43,7 @@ def test_projection_is_pruned(spark):
     assert schemas and all("Description" not in s and "StockCode" not in s for s in schemas), schemas
 
 
-def test_feature_matrix_uses_hash_aggregation_and_one_expand(spark):
+def test_feature_matrix_uses_hash_aggregation_and_expands_no_line(spark):
     from basketry.operators import cohort as coh
     from basketry.plans import queries_core as qc
 
@@ -52,8 +52,8 @@ def test_feature_matrix_uses_hash_aggregation_and_one_expand(spark):
     executed = df._jdf.queryExecution().executedPlan().toString()
     assert "SortAggregate" not in executed
     assert "ObjectHashAggregate" not in executed
-    p = plan(df)
-    assert p.count("Expand (") == 1  # one grouping-sets pass over the lines
+    line_part = plan(coh.line_level_features(qc.clean_lines(spark, SF), invoices=qc.invoices(spark, SF)))
+    assert "Expand (" not in line_part and line_part.count("ReadSchema") == 3  # lines, SKUs, invoices
 
 
 def test_no_explicit_broadcast_of_unbounded_sides(spark):
