@@ -33,11 +33,13 @@ ASSIGN = re.compile(
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]+")
 # any row that could match is let through by this Java pattern; others hold nothing
-MAYBE = r"(?i:password|passwd|secret|token|api_?key)|AKIA[A-Z0-9]{12}|[A-Za-z0-9+/_-]{24}"
+MAYBE = (r"(?i:password|passwd|secret|token|api_?key)|AKIA[A-Z0-9]{12}|[A-Za-z0-9+/_-]{24}|-----BEGIN"
+         r"|[A-Za-z0-9_-]{8}\.[A-Za-z0-9_-]{2,}+\.")
 PEM = re.compile(r"-----BEGIN ([A-Z0-9]+ )?PRIVATE KEY-----([A-Za-z0-9+/=\s]{16,}?)-----END ([A-Z0-9]+ )?PRIVATE KEY-----")
 RUN = re.compile(r"[A-Za-z0-9+/_-]{24,}={0,2}")
-TOKEN = re.compile(r"([A-Za-z0-9_-]{8,})\.([A-Za-z0-9_-]{2,})\.([A-Za-z0-9_-]*)")
-HEX_RUN = re.compile(r"(?:[0-9a-f]{2}){32,}|(?:[0-9A-F]{2}){32,}")
+TOKEN = re.compile(r"(?<![A-Za-z0-9_-])([A-Za-z0-9_-]{8,}+)\.([A-Za-z0-9_-]{2,}+)\.([A-Za-z0-9_-]*)")
+HEX_RUN = re.compile(r"(?:[0-9a-f]{2}){12,}|(?:[0-9A-F]{2}){12,}")
+NOT_TEXT = re.compile(r"[\x00-\x08\x0B\x0C\x0E-\x1F\x7F-\x9F]")  # control characters besides tab and line ends
 
 
 def _decode(run: str) -> bytes | None:
@@ -68,7 +70,7 @@ def _children(data: bytes, at: int, end: int) -> list[tuple[int, int, int]] | No
     out = []
     while at < end:
         x = _tlv(data, at, end)
-        if x is None or len(out) > 32:
+        if x is None:
             return None
         out.append(x)
         at = x[2]
@@ -123,7 +125,10 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return out
 
 
-def _structure(data: bytes | None, depth: int = 0) -> str | None:
+def _structure(data: bytes | None) -> str | None:
+    """What the bytes are built like, if like a secret.  Text (UTF-8, lines
+    and tabs included) is searched as a document is; each decoding shortens
+    it, so nested ones end by themselves."""
     if not data:
         return None
     if der_private_key(data):
@@ -131,15 +136,13 @@ def _structure(data: bytes | None, depth: int = 0) -> str | None:
     if ssh_key(data):
         return "ssh_key"
     try:
-        inner = data.decode("ascii")
+        inner = data.decode()
     except UnicodeDecodeError:
         return None
-    if not inner.isprintable() and "-----BEGIN" not in inner:
+    if NOT_TEXT.search(inner):
         return None
-    if PEM.search(inner) or any(k != "hex" for _, _, k in base_spans(inner)) or any(map(signed_token, TOKEN.finditer(inner))):
+    if PEM.search(inner) or any(k != "hex" for _, _, k in base_spans(inner)) or method_spans(inner):
         return "encoded"
-    if depth < 2 and RUN.fullmatch(inner.strip()):
-        return "encoded" if _structure(_decode(inner.strip()), depth + 1) else None
     return None
 
 
@@ -161,9 +164,11 @@ def method_spans(text: str) -> list[tuple[int, int, str]]:
         if kind:
             out.append((m.start(), m.end(), kind))
     kept: list[tuple[int, int, str]] = []
+    reach = dict.fromkeys(KINDS, -1)  # earlier starts come first, so the furthest end decides
     for s in sorted(set(out), key=lambda x: (x[0], -x[1], KINDS.index(x[2]))):
-        if not any(k[0] <= s[0] and s[1] <= k[1] and k[2] in (s[2], "signed_token", "private_key") for k in kept[-4:]):
+        if s[1] > max(reach[s[2]], reach["signed_token"], reach["private_key"]):
             kept.append(s)
+            reach[s[2]] = s[1]
     return kept
 
 
