@@ -104,7 +104,11 @@ WITH l AS (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents),
 p AS (SELECT doc_id, i, lines[i] AS x, lines[i + 1] AS y
       FROM (SELECT doc_id, lines, unnest(range(1, len(lines))) AS i FROM l WHERE len(lines) > 1)),
 f AS (SELECT x, y, min({'d': doc_id, 'i': i}) AS first FROM p GROUP BY x, y HAVING count(*) > 1),
-g AS (SELECT DISTINCT doc_id, unnest([i, i + 1]) AS i FROM p JOIN f USING (x, y) WHERE {'d': doc_id, 'i': i} <> first),
+s AS (SELECT doc_id, i, lines[i] AS x FROM (SELECT doc_id, lines, unnest(range(1, len(lines) + 1)) AS i FROM l)),
+sf AS (SELECT x, min({'d': doc_id, 'i': i}) AS first FROM s WHERE len(regexp_extract_all(x, '[^\x20\x09-\x0D]+')) >= 8
+       GROUP BY x HAVING count(*) > 1),
+g AS (SELECT doc_id, unnest([i, i + 1]) AS i FROM p JOIN f USING (x, y) WHERE {'d': doc_id, 'i': i} <> first
+      UNION SELECT doc_id, i FROM s JOIN sf USING (x) WHERE {'d': doc_id, 'i': i} <> first),
 h AS (SELECT doc_id, list(i) AS gone FROM g GROUP BY doc_id)
 SELECT l.doc_id, coalesce(len(lines), 0)::BIGINT AS n_lines, coalesce(len(gone), 0)::BIGINT AS n_removed,
        md5(coalesce(array_to_string(list_filter(lines, lambda x, i: NOT list_contains(coalesce(gone, []), i)), chr(10)), '')) AS kept_md5
