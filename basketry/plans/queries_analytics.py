@@ -518,6 +518,33 @@ def h14_box_stats(spark, sf):
     return sg.box_stats_all(segments(spark, sf), "SegmentLabel", list(BOX_MEASURES))
 
 
+_SEGZ = "(SELECT Segment, s_scaled.* FROM segments JOIN s_scaled USING (CustomerID))"
+_APART = " + ".join(f"(a.{c}_scaled - b.{c}_scaled) ** 2" for c in RFM_FEATURE_COLUMNS)
+
+
+@register(
+    "h4_silhouette_euclidean",
+    wseg(
+        f"""SELECT {o.rnd("avg(s)", 6)} AS silhouette, 0.0 AS standard_error, count(*) AS rows, true AS exact FROM (
+  SELECT p.CustomerID, CASE WHEN any_value(own) IS NULL THEN 0 ELSE
+    (min(far) - any_value(own)) / greatest(min(far), any_value(own)) END AS s FROM (
+    SELECT a.CustomerID, b.Segment, a.Segment AS mine, avg(sqrt({_APART})) AS far
+    FROM {_SEGZ} a JOIN {_SEGZ} b ON a.Segment <> b.Segment GROUP BY 1, 2, 3) p
+  LEFT JOIN (SELECT a.CustomerID, avg(sqrt({_APART})) AS own FROM {_SEGZ} a JOIN {_SEGZ} b
+    ON a.Segment = b.Segment AND a.CustomerID <> b.CustomerID GROUP BY 1) q ON q.CustomerID = p.CustomerID GROUP BY 1)"""
+    ),
+)
+def h4_silhouette_euclidean(spark, sf):
+    """Mean Euclidean silhouette; clusters of up to 2,048 customers are
+    compared whole, larger ones by references with a standard error."""
+    from ..operators.silhouette import euclidean_silhouette
+
+    f = features(spark, sf)
+    scaled = sg.scale_features(segments(spark, sf), RFM_FEATURE_COLUMNS, sg.scaler_params(f))
+    got = euclidean_silhouette(scaled, si.SCALED, "Segment")
+    return got.withColumn("silhouette", rnd("silhouette", 6))
+
+
 # --- J: churn (exact parts) -------------------------------------------------------------
 @register("j1_churn_label", wfeat("SELECT CustomerID, Recency, CAST(Recency > 90 AS INTEGER) AS churn_label FROM features"))
 def j1_churn_label(spark, sf):
