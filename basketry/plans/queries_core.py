@@ -119,6 +119,63 @@ def b2_parse_dates(spark, sf):
     return cl.parse_dates(r, "InvoiceDate")
 
 
+def dated_text(spark, sf):
+    """Raw lines as text files bring them: one part day-first, the other
+    month-first, some dates missing and some no dates."""
+    lines = fx.raw_order_lines(spark, sf, with_part_status=True)
+    day_first = F.col("l_linestatus") == "F"
+    text = F.when(day_first, F.date_format("InvoiceDate", "d/M/yyyy H:mm")).otherwise(F.date_format("InvoiceDate", "M/d/yyyy H:mm"))
+    return lines.select(
+        F.concat(F.lit("status_"), "l_linestatus").alias("_source_sheet"), "InvoiceNo", "StockCode", "Quantity",
+        F.when(F.col("Quantity") == 13, F.lit("n/a")).when(F.col("Quantity") == 17, F.lit(None)).otherwise(text).alias("InvoiceDate"))
+
+
+@register(
+    "b2_format_vote",
+    o.with_ctes(
+        o.RAW_CTE,
+        "SELECT 'status_' || LineStatus AS _source_sheet, "
+        "CASE LineStatus WHEN 'F' THEN 'd/M/yyyy H:mm' ELSE 'M/d/yyyy H:mm' END AS format, count(*) AS read, "
+        "count(CASE WHEN Quantity IN (13, 17) OR InvoiceDate IS NULL THEN NULL ELSE 1 END) AS kept, "
+        "count(CASE WHEN Quantity IN (13, 17) OR InvoiceDate IS NULL THEN 1 END) AS rejected, "
+        "CAST(min(CASE WHEN Quantity IN (13, 17) THEN NULL ELSE CAST(InvoiceDate AS DATE) END) AS VARCHAR) AS first_day, "
+        "CAST(max(CASE WHEN Quantity IN (13, 17) THEN NULL ELSE CAST(InvoiceDate AS DATE) END) AS VARCHAR) AS last_day "
+        "FROM raw_tagged GROUP BY LineStatus",
+    ),
+)
+def b2_format_vote(spark, sf):
+    """Per part the date format its rows elect, with rows read, kept and
+    rejected and the days kept (B2, A1)."""
+    from ..operators import rejects as rj
+
+    text = dated_text(spark, sf)
+    votes = rj.vote_formats(text)
+    kept, rejected = rj.split_dates(text, votes=votes)
+    key = "_source_sheet"
+    day = lambda f: F.date_format(f("InvoiceDate"), "yyyy-MM-dd")
+    good = kept.groupBy(key).agg(F.count(F.lit(1)).alias("kept"), day(F.min).alias("first_day"), day(F.max).alias("last_day"))
+    bad = rejected.groupBy(key).agg(F.count(F.lit(1)).alias("rejected"))
+    return votes.select(key, "format").join(good, key).join(bad, key).join(text.groupBy(key).agg(F.count(F.lit(1)).alias("read")), key)
+
+
+@register(
+    "b2_quarantine",
+    o.with_ctes(
+        o.RAW_CTE,
+        "SELECT 'status_' || LineStatus AS _source_sheet, InvoiceNo, StockCode, Quantity, "
+        "CASE WHEN Quantity = 13 THEN 'n/a' END AS InvoiceDate, "
+        "CASE WHEN Quantity = 13 THEN 'unreadable date' ELSE 'missing date' END AS reason "
+        "FROM raw_tagged WHERE Quantity IN (13, 17) OR InvoiceDate IS NULL",
+    ),
+)
+def b2_quarantine(spark, sf):
+    """Every row the cleaning would have dropped for its date, with its text
+    and the reason (B2)."""
+    from ..operators import rejects as rj
+
+    return rj.split_dates(dated_text(spark, sf))[1]
+
+
 @register(
     "b3_drop_null_customer",
     o.with_ctes(o.RAW_CTE, f"SELECT {LINE_COLS_SQL} FROM raw WHERE CustomerID IS NOT NULL"),
