@@ -316,6 +316,37 @@ def a4_save_verify(spark, sf):
     ).withColumn("verified_total", F.lit(stored).cast("bigint"))
 
 
+@register(
+    "a8_named_tables",
+    o.with_ctes(
+        o.FEATURE_CTE,
+        "SELECT t AS table_name, (SELECT count(*) FROM features) AS written, (SELECT count(*) FROM features) AS recorded, "
+        "(SELECT count(*) FROM features) AS rows, (SELECT count(DISTINCT CustomerID) FROM features) AS customers, "
+        "(SELECT sum(Frequency) FROM features)::BIGINT AS invoices FROM (VALUES ('features'), ('segments'), ('predictions')) v(t)",
+    ),
+)
+def a8_named_tables(spark, sf):
+    """Features, segments and predictions written as catalog tables, with
+    statistics, and read back by name (A8, A9)."""
+    from .queries_analytics import churn, segments
+
+    mark = uuid.uuid4().hex[:8]
+    f = features(spark, sf)
+    tables = {"features": f, "segments": segments(spark, sf),
+              "predictions": churn(spark, sf).join(f.select("CustomerID", "Frequency"), "CustomerID")}
+    out = None
+    for name, df in tables.items():
+        at = f"a8_{name}_{mark}"
+        written = sio.save_named(df, at, os.path.join(sio.checkpoint_dir(spark), at))
+        one = sio.read_table(spark, at).agg(
+            F.count(F.lit(1)).alias("rows"), F.count_distinct("CustomerID").alias("customers"),
+            F.sum("Frequency").cast("bigint").alias("invoices"),
+        ).select(F.lit(name).alias("table_name"), F.lit(written).cast("bigint").alias("written"),
+                 F.lit(sio.recorded_rows(spark, at)).cast("bigint").alias("recorded"), "rows", "customers", "invoices")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 @register("a6_ensure_database")
 def a6_ensure_database(spark, sf):
     sio.ensure_database(spark, "retail", os.path.join(sio.checkpoint_dir(spark), "warehouse", "retail.db"))
