@@ -987,6 +987,27 @@ def l14_customer_profile(spark, sf):
     return rp.customer_profile(segments(spark, sf), churn(spark, sf), request_ids(spark, sf))
 
 
+_LOOKUPS: dict = {}
+
+
+def lookup_tables(spark, sf):
+    """The laid-out lines and counts, published once per session and folder."""
+    import os
+    import uuid
+
+    from ..operators import lookup as lk
+    from ..session import app_id
+    from ..sources.io import checkpoint_dir
+    from ..sources.versioned import VersionedTable
+
+    key = (app_id(spark), os.path.abspath(sf))
+    if key not in _LOOKUPS:
+        base = os.path.join(checkpoint_dir(spark), f"lookup-{uuid.uuid4().hex[:8]}")
+        _LOOKUPS[key] = VersionedTable(spark, f"{base}/lines"), VersionedTable(spark, f"{base}/counts")
+        lk.lay_out(clean_lines(spark, sf), *_LOOKUPS[key])
+    return _LOOKUPS[key]
+
+
 @register(
     "l15_customer_history",
     wseg(
@@ -998,7 +1019,10 @@ FROM mine m JOIN summ s ON s.CustomerID = m.CustomerID"""
     ),
 )
 def l15_customer_history(spark, sf):
-    h = rp.customer_history(clean_lines(spark, sf), request_ids(spark, sf))
+    """On the line table laid out by customer bucket."""
+    from ..operators import lookup as lk
+
+    h = lk.history(*lookup_tables(spark, sf), request_ids(spark, sf))
     return doubles(h.select("CustomerID", "InvoiceNo", "StockCode", "Quantity", "InvoiceDate", "Revenue", "lines", "orders"))
 
 
@@ -1011,7 +1035,9 @@ def l15_customer_history(spark, sf):
     ),
 )
 def l16_customer_monthly_spend(spark, sf):
-    return rp.customer_monthly_spend(clean_lines(spark, sf), request_ids(spark, sf))
+    from ..operators import lookup as lk
+
+    return rp.customer_monthly_spend(lk.rows_of(lookup_tables(spark, sf)[0], request_ids(spark, sf)))
 
 
 def _l17_sql() -> str:
