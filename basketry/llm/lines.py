@@ -34,7 +34,7 @@ from .common import SPACE, Workspace
 MIN_LINES = 2
 LINE_WORDS = 8
 KEY = ["doc", "copy"]  # a text: its doc_id and hash
-BROADCAST_MARKS = 4_000_000  # so many line numbers (16 MB) are broadcast; with more, texts are shuffled
+BROADCAST_MARKS = 1_000_000  # so many line numbers (64 MB with their keys) are broadcast; with more, texts are shuffled
 
 
 def _joined(suffixes: DataFrame, ahead: int) -> DataFrame:
@@ -81,20 +81,21 @@ def repeated_runs(docs: DataFrame, min_lines: int = MIN_LINES, line_words: int =
     return ws, have, single.filter("long").drop("long")
 
 
-def _later(suffixes: DataFrame) -> DataFrame:
-    """All but the first of the suffixes of a rank."""
-    first = suffixes.groupBy("r").agg(F.min(F.struct(*KEY, "i")).alias("first"))
+def _later(ws: Workspace, suffixes: DataFrame, name: str) -> DataFrame:
+    """All but the first of the suffixes of a rank.  The firsts are staged, so
+    that both sides of the join come from shuffles and a hot rank is split."""
+    first = ws.stage(suffixes.groupBy("r").agg(F.min(F.struct(*KEY, "i")).alias("first")), name)
     return suffixes.join(first, "r").filter(F.struct(*KEY, "i") > F.col("first"))
 
 
 def dedup_lines(docs: DataFrame, min_lines: int = MIN_LINES, line_words: int = LINE_WORDS) -> DataFrame:
     """(doc_id, n_lines, n_removed, kept_text) for every row with a doc_id."""
     ws, suffixes, single = repeated_runs(docs, min_lines, line_words)
-    runs = _later(suffixes).select(*KEY, F.explode(F.sequence(F.col("i"), F.col("i") + (min_lines - 1))).alias("i"))
+    runs = _later(ws, suffixes, "first-runs").select(*KEY, F.explode(F.sequence(F.col("i"), F.col("i") + (min_lines - 1))).alias("i"))
     gone = ws.stage(
-        runs.unionByName(_later(single).select(*KEY, "i"))
+        runs.unionByName(_later(ws, single, "first-lines").select(*KEY, "i"))
         .groupBy(*KEY).agg(F.collect_set("i").alias("gone")), "gone")  # bounded by the document
-    ws.drop("suffixes-1", f"suffixes-{max(1, min_lines)}")
+    ws.drop("suffixes-1", f"suffixes-{max(1, min_lines)}", "first-runs", "first-lines")
     marks = gone.agg(F.sum(F.size("gone")).alias("n")).first()["n"] or 0
     if marks <= BROADCAST_MARKS:
         gone = F.broadcast(gone)
