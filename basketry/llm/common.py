@@ -108,6 +108,7 @@ def group_starts(*columns: np.ndarray) -> np.ndarray:
 
 
 BLOCK_BITS = 16
+RESULTS = 64  # tasks that return a table, so that each sends the driver little at a time
 FLUSH = 1 << 21  # slots a task holds before it sends them
 
 
@@ -163,13 +164,15 @@ def slot_counts(df: DataFrame, slots: Callable[[pa.RecordBatch], np.ndarray], bi
 
     found = (
         df.mapInArrow(count, "block int, slot binary, times binary")
-        .repartition("block").sortWithinPartitions("block").mapInArrow(merge, "block int, n binary").toArrow()
+        .repartition(RESULTS, "block").sortWithinPartitions("block").mapInArrow(merge, "block int, n binary").toArrow()
     )
     each = width // 8 if at_least else width
     out = np.zeros((max(1, len(at_least)), (1 << bits) * each // width), np.uint8)
     for block, n in zip(found["block"], found["n"], strict=True):
         at = block.as_py() * each
         out[:, at:at + each] = np.frombuffer(n.as_buffer(), np.uint8).reshape(-1, each)
+    del found
+    pa.default_memory_pool().release_unused()  # the driver runs on for long
     return out.view(np.uint64) if at_least else out[0]
 
 
