@@ -128,7 +128,7 @@ def run_segmentation(spark: SparkSession, out: str, cfg: SegmentationConfig = Se
     return {**metrics, "labels": mapping, "seconds": round(time.time() - t0, 2)}
 
 
-def _decision_metrics(test: DataFrame) -> dict:
+def decision_metrics(test: DataFrame) -> dict:
     """Confusion counts at 0.5 and the rates that follow from them."""
     y, yhat = F.col("churn_label") == 1, F.col("prediction") == 1
     c = test.agg(
@@ -175,7 +175,7 @@ def run_churn(spark: SparkSession, out: str, cfg: ChurnConfig = ChurnConfig()) -
     metrics = {"test_roc_auc": round(auc, 4), "test_average_precision": round(ap, 4),
                "cv_mean_auc": round(cv["mean_auc"], 4), "cv_std_auc": round(cv["std_auc"], 4),
                "decision_threshold": round(best["threshold"], 4), "best_f1": round(best["f1"], 4),
-               **_decision_metrics(test), "scored": n}
+               **decision_metrics(test), "scored": n}
     params = {"n_estimators": cfg.n_estimators, "trees_kept": chosen.n_estimators, "max_depth": cfg.max_depth,
               "learning_rate": cfg.learning_rate, "subsample": cfg.subsample,
               "colsample_bytree": cfg.colsample_bytree, "test_size": cfg.test_size,

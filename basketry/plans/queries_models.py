@@ -242,11 +242,17 @@ def j16_shap_attribution(spark, sf):
 
 @register("j17_run_record")
 def j17_run_record(spark, sf):
-    _, used = churn_model(spark, sf)
+    """Settings, trees kept, ranking and decision metrics of the fit."""
+    from .jobs import decision_metrics
+
+    model, used = churn_model(spark, sf)
+    data, _ = churn_data(spark, sf)
     cfg = ChurnConfig()
     metrics = {r["metric"]: r["value"] for r in j6_fit_churn(spark, sf).collect()}
-    params = {"n_estimators": cfg.n_estimators, "max_depth": cfg.max_depth, "learning_rate": cfg.learning_rate,
-              "subsample": cfg.subsample, "colsample_bytree": cfg.colsample_bytree, "n_features": len(used)}
+    metrics |= decision_metrics(model.transform(data.filter(F.col("split") == "test")))
+    params = {"n_estimators": cfg.n_estimators, "trees_kept": len(model.stages[-1].trees), "max_depth": cfg.max_depth,
+              "learning_rate": cfg.learning_rate, "subsample": cfg.subsample, "colsample_bytree": cfg.colsample_bytree,
+              "test_size": cfg.test_size, "churn_threshold_days": CHURN_THRESHOLD_DAYS, "features": used}
     return ch.run_record(spark, "churn", params, metrics, run_id="query")
 
 
