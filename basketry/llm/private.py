@@ -5,11 +5,13 @@ Four plain patterns (email, ip, card, phone) give the seed entities.  Every
 seed and every other word with a digit or an at-sign is an instance, and the
 words left and right of it, alone and together, are its lexical patterns.
 Rounds then score the graph of patterns and instances: a pattern's confidence
-for a kind is the share of known instances of that kind among its instances
-(one more added to the total), and counts from three known ones on; an unknown
-instance of two or more confident patterns has the chance that not all of them
-err.  Instances above the threshold are known in the next round, and their
-occurrences become further spans.
+for a kind is the share of that kind among its known instances (one more added
+to the total).  Unknown instances are no errors, since they are what is looked
+for, but a pattern needs three known ones of the kind and these must be a
+stated share of all it has.  An unknown instance of two or more confident
+patterns, which must be half or more of its own patterns, has the chance that
+not all of them err.  Instances above the threshold are known in the next
+round, and their occurrences become further spans.
 
 One pass reads the texts and stages narrow rows: spans and instances with
 their contexts.  The rounds work on distinct (pattern, instance) edges, whose
@@ -49,8 +51,10 @@ class Bootstrap:
     rounds: int = 3
     min_known: int = 3
     min_confidence: float = 0.8
+    min_share: float = 0.3  # of a pattern's instances known as the kind
     min_score: float = 0.95
     min_patterns: int = 2
+    min_agreeing: float = 0.5  # of an instance's patterns
     reach: int = 64  # characters searched for the words beside an instance
 
 
@@ -149,19 +153,24 @@ def discover(ws: Workspace, seen: DataFrame, how: Bootstrap) -> DataFrame:
     patterns = F.array(F.concat(F.lit("L "), "left"), F.concat(F.lit("R "), "right"), F.concat_ws(" ", F.lit("B"), "left", "right"))
     edges = ws.stage(seen.select("word", F.explode(patterns).alias("pattern")).distinct(), "edges")
     total = ws.stage(edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("n")), "totals")
+    degree = ws.stage(edges.groupBy("word").agg(F.count(F.lit(1)).alias("degree")), "degrees")
     seeds = seen.filter("k >= 0").groupBy("word").agg(F.min("k").alias("k"))
     known = ws.stage(seeds, "known-0")
     for i in range(how.rounds):
+        hits = edges.join(known, "word").groupBy("pattern").pivot("k", list(range(len(KINDS)))).count().na.fill(0)
+        of_kind = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.col(str(k)).alias("hits")) for k in range(len(KINDS))]))
+        every = sum((F.col(str(k)) for k in range(len(KINDS))), F.lit(0))
         good = (
-            edges.join(known, "word").groupBy("pattern", "k").agg(F.count(F.lit(1)).alias("hits"))
-            .filter(F.col("hits") >= how.min_known).join(total, "pattern")
-            .withColumn("confidence", F.col("hits") / (F.col("n") + 1)).filter(F.col("confidence") >= how.min_confidence)
+            hits.select("pattern", every.alias("known"), of_kind.alias("x")).select("pattern", "known", "x.*")
+            .withColumn("confidence", F.col("hits") / (F.col("known") + 1))
+            .filter((F.col("hits") >= how.min_known) & (F.col("confidence") >= how.min_confidence))
+            .join(total, "pattern").filter(F.col("hits") >= how.min_share * F.col("n"))
         )
         new = (
             edges.join(good, "pattern").groupBy("word", "k")
             .agg((1 - F.exp(F.sum(F.log(1 - F.col("confidence"))))).alias("score"), F.count(F.lit(1)).alias("patterns"))
             .filter((F.col("score") >= how.min_score) & (F.col("patterns") >= how.min_patterns))
-            .join(known, "word", "left_anti")
+            .join(known, "word", "left_anti").join(degree, "word").filter(F.col("patterns") >= how.min_agreeing * F.col("degree"))
             .groupBy("word").agg(F.max_by("k", F.struct("score", -F.col("k"))).alias("k"))
         )
         longer = ws.stage(known.unionByName(new), f"known-{i + 1}")
@@ -177,7 +186,7 @@ def find_private(docs: DataFrame, how: Bootstrap | None = None) -> DataFrame:
     rows = ws.stage(scan(docs, how), "rows")
     seen = rows.filter(F.size("instances") > 0).select("doc_id", F.explode("instances").alias("x")).select("doc_id", "x.*")
     new = ws.stage(discover(ws, seen, how), "discovered")
-    ws.drop("edges", "totals", f"known-{how.rounds}")
+    ws.drop("edges", "totals", "degrees", f"known-{how.rounds}")
     more = seen.filter("k < 0").drop("k").join(new, "word").groupBy("doc_id").agg(
         F.collect_set(F.struct("start", "k", "end", "word")).alias("more"))  # bounded by the document
     none = F.array().cast("array<struct<start:int,k:int,end:int,word:string>>")
