@@ -32,7 +32,6 @@ from pyspark.sql import functions as F
 from .words import batch_words, grams, mix64, slices
 
 ENTROPY_TOKENS = 1024  # natural text gains little entropy beyond so many tokens
-WORD_PIECE = 512  # longer words are encoded in pieces of this many code points
 
 
 @dataclass(frozen=True)
@@ -91,17 +90,8 @@ def _encoder(path: str):
 
 
 def _encode(enc, words: list[bytes]) -> list[list[int]]:
-    out = []
-    for w in words:
-        s = w.decode("utf-8", "replace")
-        if len(s) <= WORD_PIECE:
-            out.append(enc.encode_ordinary(" " + s))
-        else:
-            ids: list[int] = enc.encode_ordinary(" ")
-            for i in range(0, len(s), WORD_PIECE):
-                ids += enc.encode_ordinary(s[i:i + WORD_PIECE])
-            out.append(ids)
-    return out
+    """Every word whole: the encoder's merges take n log n steps."""
+    return [enc.encode_ordinary(" " + w.decode("utf-8", "replace")) for w in words]
 
 
 def _dup_lines(text: bytes) -> int:

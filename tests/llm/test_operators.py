@@ -187,6 +187,23 @@ def test_private_discovers_by_context(spark):
     assert got[50] == "email:20:34" and got[51] == ""
 
 
+@pytest.mark.parametrize("known, unseen", [(12, 3), (12, 6), (12, 12), (100, 50)])
+def test_private_discovers_half_unseen_contexts(spark, known, unseen):
+    rows = [(i, f"please write mailto {'abcdefghij'[i % 10]}{i}@host{i}.example.com today friend") for i in range(known)]
+    rows += [(1000 + i, f"please write mailto user{i}(at)host today friend") for i in range(unseen)]
+    # numbers in other places, one beside the same words, and contexts that hold every kind
+    rows += [(2000 + i, f"room {i} was empty and room{i} is on floor {i % 9}") for i in range(60)]
+    rows += [(3000 + i, f"send x{i}@y.org or 10.0.0.{i} or z{i}9 now") for i in range(30)]
+    rows += [(4000, "mailto 2024 today"), *((4001 + i, f"in year{i} 2024 came{i} on") for i in range(9))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in private.find_private(docs).collect()}
+    for i, text in rows:
+        if 1000 <= i < 2000:
+            assert got[i] == f"email:20:{20 + len(text.split()[3])}"
+        else:
+            assert got[i] == plain_private(text)
+
+
 def test_secrets(spark, odd_docs, no_docs):
     jwt = ".".join(base64.urlsafe_b64encode(x).decode().rstrip("=") for x in (json.dumps({"alg": "HS256"}).encode(), b'{"sub":"1"}', b"x" * 32))
 
@@ -224,7 +241,7 @@ def test_fertility_brute_force(spark, odd_docs, no_docs):
         assert (r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == (
             sum(len(x.decode()) for x in w), len(re.findall(r"[#*$%&|<>]", t or "")), len(full) - len(set(full)), len(cover))
         assert r.base_failed == (len(w) < 20 or 100 * len(cover) > 30 * len(w)) and not (r.base_failed and r.kept)
-        if all(len(x) < 400 for x in w):
+        if w:
             ids = [x for y in w for x in enc.encode_ordinary(" " + y.decode())]
             assert r.n_tokens == len(ids) and abs(r.token_entropy - fertility.entropy_bits(ids)) < 1e-9
     assert fertility.measure(no_docs).count() == 0 and fertility.keep_documents(odd_docs).columns == odd_docs.columns
@@ -239,7 +256,10 @@ def test_sharding(spark, odd_docs, no_docs):
         assert sorted(g.slot) == list(range(len(g)))
     assert (out.groupby("text")["shard"].nunique() == 1).all()
     assert all(c == zlib.crc32(t.encode()) and s == len(t.encode()) + 1 for c, t, s in zip(out.text_crc32, out.text, out["size"]))
-    odd = sharding.assign_shards(odd_docs.drop("size", "shard"), shards=3).toPandas()
+    clash = sharding.assign_shards(odd_docs, shards=3, keep=("shard", "size", "kind"))
+    assert clash.columns == ["doc_id", "input_shard", "input_size", "kind", "size", "text_crc32", "shard", "slot"]
+    assert {(r.input_shard, r.input_size, r.kind) for r in clash.collect()} == {("q", 1, "z")}
+    odd = sharding.assign_shards(odd_docs, shards=3).toPandas()
     assert len(odd) == 9 and odd[odd.doc_id.isin([2, 3])]["shard"].nunique() == 1
     assert sharding.assign_shards(no_docs, shards=8).count() == 0
     hot = spark.createDataFrame([(i, "same text") for i in range(900)] + [(1000 + i, f"t{i}") for i in range(100)], "doc_id long, text string")
@@ -247,6 +267,36 @@ def test_sharding(spark, odd_docs, no_docs):
     assert load.max() <= 1.2 * load.mean()
 
 
+def test_shards_match_best_fit_of_groups(spark):
+    """Loads equal those of best fit run group by group; none over capacity."""
+    rng = random.Random(8)
+    texts = ["q" * rng.randint(1, 400) + str(i) for i in range(3000)] + ["r" * n for n in (900, 900, 901, 40) for _ in range(3)]
+    docs = spark.createDataFrame([*enumerate(texts), *((None, "null id") for _ in range(2500))], "doc_id long, text string")
+    sizes = Counter()
+    for r in docs.collect():
+        sizes[r.text] += len(r.text) + 1
+    for how, most in (({"capacity": 5000}, 5000), ({"capacity": 30_000}, 30_000), ({"shards": 40}, None), ({"shards": 8}, None)):
+        out = sharding.assign_shards(docs, **how).toPandas()
+        load = sorted(out.groupby("shard")["size"].sum())
+        assert len(out) == docs.count() and all(sorted(g.slot) == list(range(len(g))) for _, g in out.groupby("shard"))
+        if most:
+            whole = max(sizes.values()) <= most
+            assert load[-1] <= most
+        else:
+            whole, n = max(sizes.values()) <= sum(sizes.values()) / 40, how["shards"]
+            assert len(load) == n and load[-1] <= 1.001 * sum(load) / n
+        if whole:
+            units = sorted(sizes.values(), reverse=True)
+            bins = Counter()
+            for b, s in zip(sharding.pack(units, how.get("shards"), most), units, strict=True):
+                bins[b] += s
+            assert load == sorted(bins.values())
+    texts = [f"{i:07d}" for i in range(40_000)]
+    many = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    load = sharding.assign_shards(many, capacity=100).groupBy("shard").agg(F.sum("size").alias("b")).toPandas().b
+    assert len(load) == -(-40_000 // 12) and load.max() <= 100
+
+
 def test_best_fit_matches_scan():
     import random
 
