@@ -16,19 +16,24 @@ share no such shingle with any other and only related ones become candidates.
    sizes allow a link are always in one run, so connected runs enclose all
    links.
 4. Each such group is cut into size bands (ratio t) and these into blocks of
-   about 256 sets; only tiles of equal or neighbouring bands are made.  In a
-   tile a bitmap per set bounds the overlap from above (bits that differ are
-   shingles that differ); pairs that pass and are not yet connected are
-   decided by exact intersection of the sorted arrays.
-5. The links found span each component; connected components finish.
-
-No step emits all pairs of a group: runs are linear, and a tile returns at
-most one link per set.  Shingles are compared as 64-bit hashes.
-
-Defined results: null, empty or blank texts have an empty set and their own
-component; texts with fewer words than a shingle have the whole sequence as
-their one shingle; repeated rows share a component; other columns are ignored;
-rows without doc_id are left out.
+   bounded volume; only tiles of equal or neighbouring bands are made, so
+   each pair meets in exactly one.  In a tile a bitmap per set bounds the
+   overlap from above (bits that differ are shingles that differ); every pair
+   that passes is decided by exact intersection of the sorted arrays.
+5. A tile returns a number of links per set, each counted with the copies of
+   its partner, and links that span its components; connected components
+   finish.
+
+No pair leaves a tile: runs are linear, and a tile returns at most one link and
+one number per set.  Counting the links of a group compares all its sets whose
+sizes allow a link; a set is sent once for each block of its bands.  Shingles
+are compared as 64-bit hashes.
+
+Defined results: null, empty or blank texts have an empty set, no links and
+their own component; texts with fewer words than a shingle have the whole
+sequence as their one shingle; repeated rows share a component and count as
+links; texts that share a doc_id are compared one by one and share its
+component; other columns are ignored; rows without doc_id are left out.
 """
 
 from __future__ import annotations
@@ -46,8 +51,9 @@ from .words import Words, batch_words, grams, mix64, slices
 
 SLOT_BITS = 27  # two tables of half as many slots; a shingle has the lesser count
 RARE = (2, 6)  # counts are kept in these steps, a bit each: 32 MB
-PLAN_ROWS = 1_000_000  # a tile plan of so many narrow rows is broadcast, a larger one shuffled
-BLOCK = 256
+PLAN_BYTES = 32 << 20  # a tile plan of so many bytes is broadcast, a larger one shuffled
+BLOCK_SETS, BLOCK_SHINGLES = 4096, 1 << 18  # a block's volume, on average
+HOT_ROWS = 4096  # classes of 1/HOT_ROWS of all rows meet them by broadcast
 NODE_BITS = 24
 
 
@@ -110,37 +116,52 @@ def bitmaps(sets: list[np.ndarray]) -> np.ndarray:
     return np.packbits(out, axis=1).view(np.uint64)
 
 
-def spanning_links(nodes: np.ndarray, part: np.ndarray, within: bool, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
-    """Links that span the components of a tile: pairs of different parts (of
-    all parts if ``within``), tried only while not yet connected."""
+def tile_links(nodes: np.ndarray, part: np.ndarray, copies: np.ndarray, within: bool, sets: list[np.ndarray],
+               percent: int) -> tuple[list[tuple[int, int]], np.ndarray]:
+    """Of the pairs of different parts (of all parts if ``within``): links that
+    span the components, and per set its links, weighted by partner copies."""
     n = len(nodes)
     size = np.fromiter(map(len, sets), dtype=np.int64, count=n)
-    order = np.lexsort((nodes, size))
-    nodes, part, size, sets = nodes[order], part[order], size[order], [sets[i] for i in order]
-    bits, root, out = bitmaps(sets), np.arange(n), []
+    order = np.argsort(size, kind="stable")
+    node, part, copies, size = nodes[order], part[order], copies[order], size[order]
+    first = np.concatenate(([0], np.cumsum(size)))
+    values, ids = np.unique(np.concatenate([sets[i] for i in order]), return_inverse=True)
+    bits, root, out, count = bitmaps([sets[i] for i in order]), np.arange(n), [], np.zeros(n, np.int64)
+    mine = np.zeros(len(values), dtype=bool)
     for i in range(n):
         last = int(np.searchsorted(size, 100 * size[i] // percent, side="right"))
         other = np.arange(i + 1, last)
         if not within:
             other = other[part[other] != part[i]]
-        other = other[root[other] != root[i]]
         if not len(other):
             continue
         apart = np.bitwise_count(bits[other] ^ bits[i]).sum(axis=1, dtype=np.int64)
         both = size[other] + size[i]
         bound = (both - apart) // 2  # at most so many in common
-        for j in other[(100 + percent) * bound >= percent * both]:
-            if root[j] == root[i]:
-                continue
-            common = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-            if (100 + percent) * common >= percent * (size[i] + size[j]):
-                out.append((int(nodes[i]), int(nodes[j])))
+        other = other[(100 + percent) * bound >= percent * both]
+        if not len(other):
+            continue
+        own = ids[first[i]:first[i + 1]]
+        mine[own] = True
+        if 2 * len(other) > last - i:  # most of a range: one sweep
+            common = np.add.reduceat(mine[ids[first[i + 1]:first[last]]], first[i + 1:last] - first[i + 1], dtype=np.int64)[other - i - 1]
+        else:
+            common = np.array([np.count_nonzero(mine[ids[first[j]:first[j + 1]]]) for j in other])
+        mine[own] = False
+        linked = other[(100 + percent) * common >= percent * (size[other] + size[i])]
+        count[i] += copies[linked].sum()
+        count[linked] += copies[i]
+        for j in linked[root[linked] != root[i]]:
+            if root[j] != root[i]:
+                out.append((int(node[i]), int(node[j])))
                 root[root == root[j]] = root[i]
-    return out
+    back = np.empty(n, np.int64)
+    back[order] = count
+    return out, back
 
 
 def similar_documents(docs: DataFrame, sim: Similarity | None = None) -> DataFrame:
-    """(doc_id, n_shingles, component_id) for every row with a doc_id."""
+    """(doc_id, n_shingles, component_id, n_links) for every row with a doc_id."""
     sim = sim or Similarity()
     spark = docs.sparkSession
     ws = Workspace(spark, "jaccard")
@@ -167,9 +188,11 @@ def similar_documents(docs: DataFrame, sim: Similarity | None = None) -> DataFra
 
     members = ws.stage(source.mapInArrow(describe, "doc long, n long, fp long, tokens array<long>"), "members")
     counts.destroy()
-    classes = members.filter("n > 0").groupBy("fp").agg(F.min("doc").alias("node"))
+    classes = members.filter("n > 0").groupBy("fp").agg(
+        F.min("doc").alias("node"), F.min("n").alias("n"), F.count(F.lit(1)).alias("copies"))
+    classes = ws.stage(classes, "classes")
     tokens = (
-        members.filter("n > 0").join(classes, (F.col("doc") == F.col("node")) & (members["fp"] == classes["fp"]))
+        members.filter("n > 0").select(F.col("doc").alias("node"), "fp", "n", "tokens").join(classes.select("node", "fp"), ["node", "fp"])
         .select("node", "n", F.explode("tokens").alias("token"))
     )
     by_size = Window.partitionBy("token").orderBy("n", "node")
@@ -188,12 +211,14 @@ def similar_documents(docs: DataFrame, sim: Similarity | None = None) -> DataFra
             for part in slices(part_of, "text"):
                 sets = shingle_sets(batch_words(part.column(1), lower=True), k)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([s.tobytes() for s in sets], pa.binary())], ["node", "shingles"])
+                    [part.column(0), pa.array([fingerprint(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())],
+                    ["node", "fp", "shingles"])
 
     # tiles are planned on narrow rows; the arrays move once, to their tiles
-    sized = groups.join(members.select(F.col("doc").alias("node"), "n").distinct(), "node").withColumn(
+    sized = groups.join(classes, "node").withColumn(
         "band", F.floor(F.log("n") / F.log(F.lit(100.0 / percent))).cast("int"))
-    width = sized.groupBy("group", "band").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("blocks"))
+    width = sized.groupBy("group", "band").agg(F.ceil(F.greatest(
+        F.count(F.lit(1)) / F.lit(BLOCK_SETS), F.sum("n") / F.lit(BLOCK_SHINGLES))).cast("int").alias("blocks"))
     upper = width.select("group", (F.col("band") - 1).alias("band"), F.col("blocks").alias("above"))
     lower = width.select("group", (F.col("band") + 1).alias("band"), F.col("blocks").alias("below"))
     row = lambda near, x, y: F.struct(near.alias("band"), x.alias("x"), y.alias("y"))
@@ -201,44 +226,63 @@ def similar_documents(docs: DataFrame, sim: Similarity | None = None) -> DataFra
     own, band = F.col("block"), F.col("band")
     plan = ws.stage(
         sized.join(width, ["group", "band"]).join(upper, ["group", "band"], "left").join(lower, ["group", "band"], "left")
-        .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-        .select("node", "group", (band * 100003 + own).alias("part"), F.concat(
+        .withColumn("block", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
+        .select("node", "fp", "copies", "group", (band * 100003 + own).alias("part"), F.concat(
             # bands are doubled: even ones hold a band's own tiles, odd ones those with the next band
             F.transform(up_to(F.col("blocks")), lambda x: row(band * 2, F.least(own, x), F.greatest(own, x))),
             F.when(F.col("above") > 0, F.transform(up_to(F.col("above")), lambda x: row(band * 2 + 1, own, x))).otherwise(F.array()),
             F.when(F.col("below") > 0, F.transform(up_to(F.col("below")), lambda x: row(band * 2 - 1, x, own))).otherwise(F.array()),
         ).alias("tiles")), "plan")
-    if plan.count() <= PLAN_ROWS:
+    size = plan.agg(F.sum(64 + 24 * F.size("tiles"))).first()[0] or 0
+    if size <= PLAN_BYTES:
         plan = F.broadcast(plan)
     slot = F.pmod(F.xxhash64("doc_id"), F.lit(1 << NODE_BITS))
     tiles = (
-        source.withColumn("slot", slot).mapInArrow(arrays, "node long, shingles binary")
-        .join(plan, "node")  # exact; the bit set lets a few others through
+        source.withColumn("slot", slot).mapInArrow(arrays, "node long, fp long, shingles binary")
+        .join(plan, ["node", "fp"])  # exact; the bit set lets a few others through
         .withColumn("tile", F.explode("tiles"))
-        .select("group", F.col("tile.band").alias("t"), F.col("tile.x").alias("x"), F.col("tile.y").alias("y"), "part", "node", "shingles")
+        .select("group", F.col("tile.band").alias("t"), F.col("tile.x").alias("x"), F.col("tile.y").alias("y"), "part", "node", "fp", "copies", "shingles")
     )
     keys = ["group", "t", "x", "y"]
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in sorted_groups(batches, keys):
             cut = group_starts(*(table[c].to_numpy() for c in keys))
-            found = []
+            found, fps, counts_ = [], [], []
             for a, b in zip(cut[:-1], cut[1:], strict=True):
                 tile = table.slice(a, b - a)
+                _, once = np.unique(np.column_stack((tile["node"].to_numpy(), tile["fp"].to_numpy())), axis=0, return_index=True)
+                tile = tile.take(once)  # a repeated row of a representative comes again
                 within = tile["t"][0].as_py() % 2 == 0 and tile["x"][0] == tile["y"][0]
-                found += spanning_links(tile["node"].to_numpy(), tile["part"].to_numpy(), within,
-                                        [np.frombuffer(x.as_buffer(), np.uint64) for x in tile["shingles"]], percent)
-            yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in found], pa.int64()), pa.array([b for _, b in found], pa.int64())],
-                                             ["a", "b"])
-
-    links = tiles.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(compare, "a long, b long")
-    labels = ws.stage(connected_components(ws, links, "links"), "labels")
+                links, count = tile_links(
+                    tile["node"].to_numpy(), tile["part"].to_numpy(), tile["copies"].to_numpy(), within,
+                    [np.frombuffer(x.as_buffer(), np.uint64) for x in tile["shingles"]], percent)
+                found += links
+                fps.append(tile["fp"].to_numpy()[count > 0])
+                counts_.append(count[count > 0])
+            fps, counts_ = np.concatenate(fps), np.concatenate(counts_)
+            none = [None] * len(found), [None] * len(fps)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([*(a for a, _ in found), *none[1]], pa.int64()), pa.array([*(b for _, b in found), *none[1]], pa.int64()),
+                 pa.array([*none[0], *fps.tolist()], pa.int64()), pa.array([*none[0], *counts_.tolist()], pa.int64())],
+                ["a", "b", "fp", "links"])
+
+    found = ws.stage(tiles.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(compare, "a long, b long, fp long, links long"), "found")
     wanted.destroy()
+    labels = connected_components(ws, found.filter("a is not null").select("a", "b"), "links")
+    number = found.filter("fp is not null").groupBy("fp").agg(F.sum("links").alias("links"))
+    known = ws.stage(
+        classes.join(number, "fp", "left").join(labels, "node", "left").select(
+            "fp", "copies", F.coalesce("component", "node").alias("component"),
+            (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("links")), "known")
+    rows = members.filter("n > 0").select("doc", "n", "fp")
+    least = -(-members.count() // HOT_ROWS)
+    hot = F.broadcast(known.filter(F.col("copies") >= least))  # HOT_ROWS at most
     return (
-        members.join(classes, "fp", "left").withColumn("node", F.when(F.col("n") > 0, F.col("node")).otherwise(F.col("doc")))
-        .join(labels, "node", "left")
-        .select(F.col("doc").alias("doc_id"), F.col("n").alias("n_shingles"),
-                F.coalesce("component", "node").alias("component_id"))
+        rows.join(hot, "fp").unionByName(rows.join(hot, "fp", "left_anti").join(known.filter(F.col("copies") < least), "fp"))
+        .select("doc", "n", "component", "links")
+        .unionByName(members.filter("n = 0").select("doc", "n", F.col("doc").alias("component"), F.lit(0).cast("long").alias("links")))
+        .toDF("doc_id", "n_shingles", "component_id", "n_links")
     )
 
 

@@ -56,8 +56,10 @@ n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
 p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM g a JOIN g b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
 l AS (SELECT p.a, p.b FROM p JOIN n x ON x.doc_id = p.a JOIN n y ON y.doc_id = p.b WHERE 100 * c >= 85 * (x.n + y.n - c)),
 r AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a)
-SELECT r.a AS doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, min(r.b) AS component_id
-FROM r LEFT JOIN n ON n.doc_id = r.a GROUP BY r.a
+SELECT r.a AS doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, min(r.b) AS component_id,
+       coalesce(any_value(k.n_links), 0)::BIGINT AS n_links
+FROM r LEFT JOIN n ON n.doc_id = r.a
+LEFT JOIN (SELECT a, count(*) AS n_links FROM l GROUP BY a) k ON k.a = r.a GROUP BY r.a
 """
 
 

@@ -98,7 +98,7 @@ def test_substrings_brute_force(spark, odd_docs, no_docs):
     assert sorted(map(tuple, got)) == brute_substrings([tuple(r) for r in many.collect()], 13)
 
 
-def test_jaccard_brute_force(spark, odd_docs, no_docs):
+def test_jaccard_brute_force(spark, odd_docs, no_docs, monkeypatch):
     base = [f"w{i}" for i in range(60)]
     rows = [(i, " ".join(base[:60 - i % 9] + [f"x{i}"] * (i % 4))) for i in range(60)] + [(100, ""), (101, None), (102, "a b"), (103, "A B")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
@@ -106,7 +106,11 @@ def test_jaccard_brute_force(spark, odd_docs, no_docs):
     for i, t in rows:
         w = (t or "").lower().encode().split()
         sets[i] = {tuple(w[j:j + 5]) for j in range(len(w) - 4)} if len(w) >= 5 else ({tuple(w)} if w else set())
-    label = {i: i for i in sets}
+    label, links = {i: i for i in sets}, Counter()
+    for a in sets:
+        for b in sets:
+            both = len(sets[a] & sets[b])
+            links[a] += a != b and both > 0 and 100 * both >= 80 * (len(sets[a]) + len(sets[b]) - both)
     changed = True
     while changed:
         changed = False
@@ -116,10 +120,16 @@ def test_jaccard_brute_force(spark, odd_docs, no_docs):
                 if both and 100 * both >= 80 * (len(sets[a]) + len(sets[b]) - both) and label[a] != label[b]:
                     label[a] = label[b] = min(label[a], label[b])
                     changed = True
-    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.similar_documents(docs).collect()}
-    assert got == {i: (len(s), label[i]) for i, s in sets.items()}
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.n_links) for r in jaccard.similar_documents(docs).collect()}
+    assert got == {i: (len(s), label[i], links[i]) for i, s in sets.items()}
+    monkeypatch.setattr(jaccard, "BLOCK_SETS", 4)  # many blocks, and a plan that is shuffled
+    monkeypatch.setattr(jaccard, "PLAN_BYTES", 0)
+    assert got == {r.doc_id: (r.n_shingles, r.component_id, r.n_links) for r in jaccard.similar_documents(docs).collect()}
     odd = {r.doc_id: r.component_id for r in jaccard.similar_documents(odd_docs).collect()}
-    assert odd[6] == 1 and odd[2] == 2 and odd[3] == 3 and odd[5] == 5
+    again = [r.n_links for r in jaccard.similar_documents(odd_docs).collect() if r.doc_id == 5]
+    two = spark.createDataFrame([(1, "a b c d e f"), (1, "p q r s t u"), (2, "p q r s t u"), (3, "A b c d e f"), (None, "a b c d e f")], "doc_id long, text string")
+    assert sorted(map(tuple, jaccard.similar_documents(two).collect())) == [(1, 2, 1, 1), (1, 2, 1, 1), (2, 2, 1, 1), (3, 2, 1, 1)]
+    assert again == [1, 1] and odd[6] == 1 and odd[2] == 2 and odd[3] == 3 and odd[5] == 5
     assert jaccard.similar_documents(no_docs).count() == 0
     assert jaccard.one_per_group(odd_docs).columns == odd_docs.columns
 
