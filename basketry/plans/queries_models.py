@@ -12,10 +12,11 @@ import uuid
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..config import CHURN_FEATURE_COLUMNS, CHURN_THRESHOLD_DAYS, RFM_FEATURE_COLUMNS, ChurnConfig, SegmentationConfig
+from ..config import CHURN_FEATURE_COLUMNS, CHURN_FEATURE_COLUMNS_CONFIGURED, CHURN_THRESHOLD_DAYS, RFM_FEATURE_COLUMNS, ChurnConfig, SegmentationConfig
 from ..operators import churn as ch
 from ..operators import metrics as mt
 from ..operators import segment as sg
+from ..operators import serving as sv
 from ..session import app_id
 from ..sources import io as sio
 from . import oracle as o
@@ -268,22 +269,30 @@ def j18_model_meta(spark, sf):
     return ch.model_meta(spark, best, used, CHURN_THRESHOLD_DAYS)
 
 
+def saved_churn_model(spark, sf):
+    """Folder of the model on all request columns, fitted and written once."""
+
+    def build():
+        lab = ch.churn_label(fitted_segments(spark, sf))
+        sel, used = ch.select_features(lab, CHURN_FEATURE_COLUMNS_CONFIGURED, keep=("CustomerID", "churn_label"))
+        train = ch.stratified_split(sel, "churn_label", 0.2, 42).filter(F.col("split") == "train")
+        model = ch.fit_churn(train, used, "churn_label", ChurnConfig())
+        path = os.path.join(sio.checkpoint_dir(spark), f"churn-model-{uuid.uuid4().hex[:12]}")
+        return sv.save_churn_model(spark, model, used, 0.5, CHURN_THRESHOLD_DAYS, path)
+
+    return _cached(spark, sf, "churn_saved", build)
+
+
 @register("l18_score_churn_requests")
 def l18_score_churn_requests(spark, sf):
-    """Batch churn scoring of request records (validated first, DQ1)."""
+    """Batch churn scoring of request records (validated first, DQ1) by a
+    model loaded from disk, on all 16 request features."""
     from ..operators import quality as q
     from .queries_analytics import REQ_MAP
 
-    model, used = churn_model(spark, sf)
-    seg = fitted_segments(spark, sf)
-    reqs = seg.select(F.col("CustomerID").alias("customer_id"), *[F.col(v).alias(k) for k, v in REQ_MAP.items()])
+    reqs = fitted_segments(spark, sf).select(F.col("CustomerID").alias("customer_id"), *[F.col(v).alias(k) for k, v in REQ_MAP.items()])
     good, _ = q.validate_requests(reqs, "churn")
-    inv = {k: v for k, v in REQ_MAP.items()}
-    x = good.select(F.col("customer_id").alias("CustomerID"), *[F.col(k).cast("double").alias(v) for k, v in inv.items() if v in used])
-    return ch.score_churn(model, x, tier_from_rounded=False).select(
-        F.col("CustomerID").alias("customer_id"), F.col("ChurnProb").alias("churn_prob"),
-        F.col("Churned").alias("churned"), F.col("ChurnRisk").alias("churn_risk"),
-    )
+    return sv.score_churn_requests(sv.load_churn_model(spark, saved_churn_model(spark, sf)), good, REQ_MAP)
 
 
 # --- A: writers and checks ------------------------------------------------------------------
