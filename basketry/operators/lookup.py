@@ -26,12 +26,20 @@ def bucket_of(customer: Column) -> Column:
     return F.pmod(F.xxhash64(customer), F.lit(BUCKETS)).cast("int")
 
 
-def lay_out(lines: DataFrame, table: VersionedTable, counts: VersionedTable) -> None:
-    """Publish the lines by bucket and (customer, lines, orders) by bucket."""
-    keyed = lines.withColumn(BUCKET, bucket_of(F.col(CUST)))
-    spread = F.pmod(F.xxhash64(COL_INVOICE), F.lit(SPREAD))
-    table.publish(keyed.repartition(F.col(BUCKET), spread).sortWithinPartitions(BUCKET, CUST, F.desc(COL_INVOICE_DATE), COL_INVOICE),
-                  partition_by=[BUCKET])
+def place(customer: str = CUST, invoice: str = COL_INVOICE) -> list[Column]:
+    """Bucket and share of it that a line belongs to."""
+    return [bucket_of(F.col(customer)).alias(BUCKET), F.pmod(F.xxhash64(invoice), F.lit(SPREAD)).alias("_share")]
+
+
+def lay_out(lines: DataFrame, table: VersionedTable, counts: VersionedTable, dealt: bool = False) -> None:
+    """Publish the lines by bucket and (customer, lines, orders) by bucket.
+    ``dealt`` says that the lines already lie by ``place`` (cleaned lines do),
+    so they are written where they are; it changes files, never rows."""
+    bucket, share = place()
+    keyed = lines.withColumn(BUCKET, bucket)
+    if not dealt:
+        keyed = keyed.repartition(F.col(BUCKET), share)
+    table.publish(keyed.sortWithinPartitions(BUCKET, CUST, F.desc(COL_INVOICE_DATE), COL_INVOICE), partition_by=[BUCKET])
     per = lines.groupBy(CUST, COL_INVOICE).agg(F.count(F.lit(1)).alias("n")).groupBy(CUST).agg(
         F.sum("n").alias("lines"), F.count(F.lit(1)).alias("orders"))
     counts.publish(per.withColumn(BUCKET, bucket_of(F.col(CUST))).repartition(BUCKET).sortWithinPartitions(BUCKET, CUST),

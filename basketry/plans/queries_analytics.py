@@ -1004,7 +1004,7 @@ def lookup_tables(spark, sf):
     if key not in _LOOKUPS:
         base = os.path.join(checkpoint_dir(spark), f"lookup-{uuid.uuid4().hex[:8]}")
         _LOOKUPS[key] = VersionedTable(spark, f"{base}/lines"), VersionedTable(spark, f"{base}/counts")
-        lk.lay_out(clean_lines(spark, sf), *_LOOKUPS[key])
+        lk.lay_out(clean_lines(spark, sf), *_LOOKUPS[key], dealt=True)
     return _LOOKUPS[key]
 
 

@@ -57,34 +57,35 @@ def raw_order_lines(spark: SparkSession, sf_dir: str, with_part_status: bool = F
     """Raw order lines (eight columns) derived from
     ``lineitem ⋈ orders ⋈ part ⋈ customer ⋈ nation``.
 
-    Join strategy is left to Catalyst/AQE: lineitem⋈orders and ⋈part are
-    large equi-joins (sort-merge / shuffled hash on the keys); customer and
-    nation are dimension tables that the planner broadcasts only when their
-    estimated size is below ``spark.sql.autoBroadcastJoinThreshold``.
+    Join strategy is left to Catalyst/AQE, but the order of the joins keeps
+    the lines narrow: customers meet the orders first, so the lines are only
+    dealt out for parts and for orders, with keys, quantity and return flag,
+    and the nation names come last.  Orders come after parts, so that an
+    order's lines lie together in what is written.
     ``with_part_status`` keeps ``l_linestatus`` for the two-part source
     (A1/A2) built on top of this mapping.
     """
-    li_cols = ["l_orderkey", "l_partkey", "l_quantity", "l_returnflag"]
-    if with_part_status:
-        li_cols.append("l_linestatus")
-
-    li = table(spark, sf_dir, "lineitem").select(*li_cols)
+    status = ["l_linestatus"] if with_part_status else []
+    li = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", F.col("l_quantity").cast("int").alias("l_quantity"),
+        (F.col("l_returnflag") == F.lit("R")).alias("l_returned"), *status)
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice")
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
 
+    placed = orders.join(customer, orders.o_custkey == customer.c_custkey).select(
+        "o_orderkey", "o_custkey", "o_orderdate", "c_nationkey")
     joined = (
-        li.join(orders, li.l_orderkey == orders.o_orderkey)
-        .join(part, li.l_partkey == part.p_partkey)
-        .join(customer, orders.o_custkey == customer.c_custkey)
-        .join(nation, customer.c_nationkey == nation.n_nationkey)
+        li.join(part, li.l_partkey == part.p_partkey)
+        .join(placed, li.l_orderkey == placed.o_orderkey)
+        .join(nation, placed.c_nationkey == nation.n_nationkey)
     )
 
     okey = F.col("o_orderkey")
     cust_txt = F.col("o_custkey").cast("string")
-    returned = F.col("l_returnflag") == F.lit("R")
-    qty = F.col("l_quantity").cast("int")
+    returned = F.col("l_returned")
+    qty = F.col("l_quantity")
     lines = joined.select(
         F.when(returned, F.concat(F.lit("C"), okey.cast("string")))
         .otherwise(okey.cast("string"))
@@ -107,7 +108,7 @@ def raw_order_lines(spark: SparkSession, sf_dir: str, with_part_status: bool = F
         .otherwise(cust_txt)
         .alias(COL_CUSTOMER_ID),
         F.col("n_name").alias(COL_COUNTRY),
-        *(["l_linestatus"] if with_part_status else []),
+        *status,
         F.explode(
             F.sequence(
                 F.lit(1),
