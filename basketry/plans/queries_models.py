@@ -381,12 +381,11 @@ def a4_incremental_append(spark, sf):
     'F' line-status part first, then ALL raw lines (overlapping the first
     load and carrying duplicate rows); the table ends up holding every
     distinct line exactly once."""
-    from ..sources import fixtures as fx
     from ..sources.versioned import VersionedTable
     from ..streaming.incremental import merge_new
-    from .queries_core import doubles
+    from .queries_core import doubles, tagged
 
-    base = sio.with_month_partition(fx.raw_order_lines(spark, sf, with_part_status=True))
+    base = sio.with_month_partition(tagged(spark, sf))
     table = VersionedTable(spark, os.path.join(sio.checkpoint_dir(spark), f"incr-{uuid.uuid4().hex[:8]}"))
     merge_new(base.filter(F.col("l_linestatus") == "F").drop("l_linestatus"), table)
     merge_new(sio.with_month_partition(raw(spark, sf)), table)
@@ -409,11 +408,11 @@ def a9_publish_versions(spark, sf):
     validation fails in between is never seen.  Rows and quantity of every
     version, read through its manifest (A4, A9, A11)."""
     from ..operators import quality as q
-    from ..sources import fixtures as fx
     from ..sources.versioned import VersionedTable
+    from .queries_core import tagged
 
     table = VersionedTable(spark, os.path.join(sio.checkpoint_dir(spark), f"a9-{uuid.uuid4().hex[:8]}"))
-    parts = sio.with_month_partition(fx.raw_order_lines(spark, sf, with_part_status=True))
+    parts = sio.with_month_partition(tagged(spark, sf))
     lines = lambda status: parts.filter(F.col("l_linestatus") == status).drop("l_linestatus")
     table.publish(lines("F"), partition_by=["invoice_month"])
     table.publish(lines("O"), "append")

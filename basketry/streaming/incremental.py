@@ -79,7 +79,11 @@ def new_rows(batch: DataFrame, table: VersionedTable, keys: list[str] | None = N
     keys meet as two longs in place of all their columns."""
     keys = list(dict.fromkeys([*(keys or batch.columns), month]))
     key = ["__key0", "__key1"]
-    new = batch.select("*", *row_key(keys)).dropDuplicates(key)
+    new = batch.select("*", *row_key(keys))
+    if set(keys) == set(batch.columns):  # whole rows are hashed, not sorted to keep the first of a key
+        new = new.repartition(*key).dropDuplicates()
+    else:
+        new = new.dropDuplicates(key)
     if table.exists():
         new = new.join(stored_months(batch, table, month).select(*row_key(keys)), key, "left_anti")
     return new.select(*[f"`{c}`" for c in batch.columns])
