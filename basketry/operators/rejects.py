@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import COL_INVOICE_DATE, COL_SOURCE_TAG, DATE_FORMATS
-from ..sources.io import read_transactions
+from ..sources.io import materialise, read_transactions
 
 log = logging.getLogger(__name__)
 
@@ -36,10 +36,15 @@ def read_as(text: Column, how: str) -> Column:
 def vote_formats(df: DataFrame, col: str = COL_INVOICE_DATE, part: str = COL_SOURCE_TAG,
                  formats: tuple[str, ...] = FORMATS) -> DataFrame:
     """(part, format, fits, texts): of every part the format that reads most
-    of its texts, the earlier of equal ones; NULL where none reads any.  One
-    aggregate over the rows, a row per part."""
+    of its texts, the earlier of equal ones; NULL where none reads any.  Each
+    different text of a part is read once, with its count: a date that does not
+    fit costs an exception, and lines share their invoices' dates."""
     text = F.trim(F.col(col).cast("string"))
-    each = df.groupBy(part).agg(F.count(text).alias("texts"), *[F.count(read_as(text, f)).alias(f"f{i}") for i, f in enumerate(formats)])
+    each_text = df.groupBy(part, text.alias("__text")).agg(F.count(F.lit(1)).alias("__n"))
+    text, n = F.col("__text"), F.col("__n")
+    each = each_text.groupBy(part).agg(
+        F.coalesce(F.sum(F.when(text.isNotNull(), n)), F.lit(0)).alias("texts"),
+        *[F.coalesce(F.sum(F.when(read_as(text, f).isNotNull(), n)), F.lit(0)).alias(f"f{i}") for i, f in enumerate(formats)])
     best = F.array_max(F.array(*[F.struct(F.col(f"f{i}").alias("fits"), F.lit(-i).alias("i"), F.lit(f).alias("format"))
                                  for i, f in enumerate(formats)]))
     return each.withColumn("__b", best).select(
@@ -49,7 +54,8 @@ def vote_formats(df: DataFrame, col: str = COL_INVOICE_DATE, part: str = COL_SOU
 def split_dates(df: DataFrame, col: str = COL_INVOICE_DATE, part: str = COL_SOURCE_TAG, formats: tuple[str, ...] = FORMATS,
                 votes: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """(kept, rejected): rows whose date the part's format reads, with the
-    date as timestamp, and all other rows as they came, with ``reason``."""
+    date as timestamp, and all other rows as they came, with ``reason``.  The
+    rows are staged with their date, so each is read once for both."""
     votes = votes if votes is not None else vote_formats(df, col, part, formats)
     chosen = {r[part]: r["format"] for r in votes.collect()}  # a row a part
     text = F.trim(F.col(f"`{col}`").cast("string"))
@@ -57,7 +63,7 @@ def split_dates(df: DataFrame, col: str = COL_INVOICE_DATE, part: str = COL_SOUR
     for name, how in chosen.items():
         if how is not None:
             date = F.when(F.col(f"`{part}`").eqNullSafe(F.lit(name)), read_as(text, how)).otherwise(date)
-    read = df.select(*[F.col(f"`{c}`") for c in df.columns], date.alias("__date"))
+    read = materialise(df.select(*[F.col(f"`{c}`") for c in df.columns], date.alias("__date")), "dated")
     columns = [F.col(f"`{c}`") for c in df.columns]
     kept = read.filter(F.col("__date").isNotNull()).select(
         *[F.col("__date").alias(c) if c == col else F.col(f"`{c}`") for c in df.columns])
