@@ -68,14 +68,23 @@ def plus_plus(x: np.ndarray, k: int, seed: int) -> np.ndarray:
     return x[at].copy()
 
 
-def _distances(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
-    return ((x[:, None, :] - centres[None, :, :]) ** 2).sum(2)
+def _nearest(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """The nearest centre of every row, the first of equal ones.  Rows and
+    centres come moved to a common origin; a row's own norm is the same for
+    every centre, so a product and the centres' norms decide."""
+    far = centres @ (-2.0 * x.T) + (centres * centres).sum(1)[:, None]
+    near, best = np.zeros(len(x), dtype=np.intp), far[0]
+    for j in range(1, len(centres)):  # whole rows of the product at a time
+        near[far[j] < best] = j
+        best = np.minimum(best, far[j])
+    return near
 
 
 def _totals(points: DataFrame, sets: list[np.ndarray], part: int = 4_096) -> dict[tuple[int, int], np.ndarray]:
     """{(set, cluster): [rows, sum of each column, sum of squared norms, cost]}
     of one scan that assigns every row to its nearest centre in every set."""
     d = len(points.columns)
+    origin = np.concatenate(sets).mean(0)
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = [np.zeros((len(c), d + 3)) for c in sets]
@@ -83,13 +92,12 @@ def _totals(points: DataFrame, sets: list[np.ndarray], part: int = 4_096) -> dic
             whole = _matrix(b)
             for i in range(0, len(whole), part):
                 x = whole[i:i + part]
-                norm = (x * x).sum(1)
+                one = np.column_stack((np.ones(len(x)), x, (x * x).sum(1), np.zeros(len(x))))
+                moved = x - origin
                 for t, c in zip(total, sets, strict=True):
-                    far = _distances(x, c)
-                    near = far.argmin(1)
-                    one = np.column_stack((np.ones(len(x)), x, norm, far[np.arange(len(x)), near]))
-                    for j in range(one.shape[1]):
-                        t[:, j] += np.bincount(near, weights=one[:, j], minlength=len(c))
+                    near = _nearest(moved, c - origin)
+                    one[:, -1] = ((x - c[near]) ** 2).sum(1)
+                    t += (near == np.arange(len(c))[:, None]).astype(np.float64) @ one
         for s, t in enumerate(total):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.full(len(t), s, np.int32)), pa.array(np.arange(len(t), dtype=np.int32)), *[pa.array(t[:, j]) for j in range(d + 3)]],
@@ -133,6 +141,7 @@ def silhouettes(points: DataFrame, sets: list[np.ndarray]) -> list[float]:
     counts 0; with fewer than two clusters the result is 0."""
     totals = _totals(points, sets)
     held = [np.array([totals[s, c] for c in range(len(x))]) for s, x in enumerate(sets)]
+    origin = np.concatenate(sets).mean(0)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, n = np.zeros(len(sets)), 0
@@ -146,7 +155,7 @@ def silhouettes(points: DataFrame, sets: list[np.ndarray]) -> list[float]:
                     size = t[:, 0]
                     if (size > 0).sum() < 2:
                         continue
-                    near = _distances(x, centres).argmin(1)
+                    near = _nearest(x - origin, centres - origin)
                     each = norm - 2 * x @ (t[:, 1:-2] / np.maximum(size, 1)[:, None]).T + (t[:, -2] / np.maximum(size, 1))[None, :]
                     row = np.arange(len(x))
                     own = each[row, near] * size[near] / np.maximum(size[near] - 1, 1)

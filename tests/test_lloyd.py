@@ -99,3 +99,14 @@ def test_sweep_prefers_the_true_number(cloud):
     assert sg.choose_k(scores).first()["best_k"] == 4
     inertia = [r.inertia for r in scores.orderBy("k").collect()]
     assert inertia == sorted(inertia, reverse=True)
+
+
+def test_nearest_by_products_is_the_plain_nearest():
+    rng = np.random.default_rng(3)
+    for shift in (0.0, 1e6):
+        x, c = rng.standard_normal((5_000, 3)) + shift, rng.standard_normal((7, 3)) + shift
+        plain = ((x[:, None, :] - c[None, :, :]) ** 2).sum(2).argmin(1)
+        origin = c.mean(0)
+        assert (lloyd._nearest(x - origin, c - origin) == plain).all()
+    same = np.zeros((4, 3))
+    assert lloyd._nearest(same, np.zeros((3, 3))).tolist() == [0, 0, 0, 0]  # the first of equal ones
