@@ -84,40 +84,27 @@ def _coalition_weights(m: int) -> dict[int, float]:
     return {s: math.factorial(s) * math.factorial(m - s - 1) / math.factorial(m) for s in range(m)}
 
 
-def shap_batch(x: np.ndarray, leaves, weights, n_features: int) -> np.ndarray:
-    """phi (rows x features) for a batch of feature rows."""
-    n = x.shape[0]
-    phi = np.zeros((n, n_features))
+def leaf_games(leaves, weights) -> list[tuple[int, list[tuple[int, list]], np.ndarray]]:
+    """Per leaf (tree, [(feature, its splits on the path)], table): a row's
+    Shapley values at a leaf only depend on which of the path's m features it
+    satisfies, so the 2^m cases are worked out once, for any number of rows.
+    Bit k of a case stands for the k-th feature."""
+    games = []
     for t, value, path in leaves:
-        w_t = weights[t]
         feats = sorted({p[0] for p in path})
         m = len(feats)
         if m == 0:
             continue
-        a = {}
-        r = {}
-        for j in feats:
-            ok = np.ones(n, dtype=bool)
-            ratio = 1.0
-            for f, kind, param, go_left, cr in path:
-                if f != j:
-                    continue
-                col = x[:, f]
-                if kind == "num":
-                    left = col <= param
-                else:
-                    left = np.isin(col, param)
-                ok &= left if go_left else ~left
-                ratio *= cr
-            a[j] = ok.astype(float)
-            r[j] = ratio
+        case = np.arange(1 << m)
+        a = {j: (case >> k & 1).astype(float) for k, j in enumerate(feats)}
+        r = {j: math.prod(cr for f, *_, cr in path if f == j) for j in feats}
         cw = _coalition_weights(m)
-        scale = w_t * value
-        for i in feats:
+        table = np.zeros((1 << m, m))
+        for k, i in enumerate(feats):
             # Coefficient s of prod_{j != i} (r_j + a_j t) is the sum over
             # coalitions S of size s of prod_{j in S} a_j prod_{j not in S} r_j,
             # so the weighted coalition sum costs O(m^2) instead of 2^(m-1).
-            coef = [np.ones(n)]
+            coef = [np.ones(1 << m)]
             for j in feats:
                 if j == i:
                     continue
@@ -126,11 +113,48 @@ def shap_batch(x: np.ndarray, leaves, weights, n_features: int) -> np.ndarray:
                     nxt.append(coef[s_] * r[j] + coef[s_ - 1] * a[j])
                 nxt.append(coef[-1] * a[j])
                 coef = nxt
-            acc = np.zeros(n)
-            for size, c in enumerate(coef):
-                acc += cw[size] * c
-            phi[:, i] += scale * (a[i] - r[i]) * acc
-    return phi
+            acc = sum(cw[size] * c for size, c in enumerate(coef))
+            table[:, k] = weights[t] * value * (a[i] - r[i]) * acc
+        games.append((t, [(j, [(kind, param, go_left) for f, kind, param, go_left, _ in path if f == j]) for j in feats], table))
+    return games
+
+
+class _Sides:
+    """Which rows of a batch go left at a split; a split of a tree is on the
+    paths of many leaves and is compared once."""
+
+    def __init__(self, x: np.ndarray):
+        self.x, self.tree, self.left = x, None, {}
+
+    def of(self, tree: int, feature: int, kind: str, param, go_left: bool) -> np.ndarray:
+        if tree != self.tree:
+            self.tree, self.left = tree, {}
+        key = feature, kind, tuple(param) if kind == "cat" else param
+        if key not in self.left:
+            col = self.x[:, feature]
+            self.left[key] = col <= param if kind == "num" else np.isin(col, param)
+        return self.left[key] if go_left else ~self.left[key]
+
+
+def shap_games(x: np.ndarray, games, n_features: int) -> np.ndarray:
+    """phi (rows x features) for a batch of feature rows."""
+    phi = np.zeros((n_features, x.shape[0]))
+    sides = _Sides(x)
+    for t, players, table in games:
+        case = np.zeros(x.shape[0], dtype=np.intp)
+        for k, (j, splits) in enumerate(players):
+            ok = sides.of(t, j, *splits[0])
+            for split in splits[1:]:
+                ok = ok & sides.of(t, j, *split)
+            case += ok.astype(np.intp) << k
+        for k, (j, _) in enumerate(players):
+            phi[j] += table[:, k][case]
+    return phi.T
+
+
+def shap_batch(x: np.ndarray, leaves, weights, n_features: int) -> np.ndarray:
+    """``shap_games`` from the leaf table."""
+    return shap_games(x, leaf_games(leaves, weights), n_features)
 
 
 def expected_margin(leaves, weights) -> float:
@@ -148,24 +172,24 @@ def shap_values(model, df: DataFrame, features: list[str], key: str = "CustomerI
     """Per-row Shapley values of the model margin: (key, phi_<feature>...)."""
     spark = df.sparkSession
     leaves, weights = leaf_table(model, spark)
-    # The leaf table is bounded by trees x 2^depth entries; broadcast it
+    games = leaf_games(leaves, weights)
+    # Bounded by trees x 2^depth leaves with 2^depth cases each; broadcast
     # (Connect sessions ship it inside the function closure instead).
     try:
-        bc = spark.sparkContext.broadcast((leaves, weights))
+        bc = spark.sparkContext.broadcast(games)
         get = lambda: bc.value
     except Exception:  # noqa: BLE001
-        payload = (leaves, weights)
-        get = lambda: payload
+        get = lambda: games
     nf = len(features)
     schema = f"{key} string, " + ", ".join(f"`phi_{c}` double" for c in features)
 
     def run(batches):
         import pandas as pd
 
-        lv, wt = get()
+        played = get()
         for pdf in batches:
             x = pdf[features].to_numpy(dtype=float)
-            phi = shap_batch(x, lv, wt, nf)
+            phi = shap_games(x, played, nf)
             out = pd.DataFrame(phi, columns=[f"phi_{c}" for c in features])
             out.insert(0, key, pdf[key].astype(str).to_numpy())
             yield out
@@ -190,12 +214,11 @@ def tree_outputs(x: np.ndarray, leaves, n_trees: int) -> np.ndarray:
     """Raw output of every tree for a batch of rows (rows x trees): each
     row reaches exactly one leaf per tree."""
     out = np.zeros((x.shape[0], n_trees))
+    sides = _Sides(x)
     for t, value, path in leaves:
         ok = np.ones(x.shape[0], dtype=bool)
         for f, kind, param, go_left, _ in path:
-            col = x[:, f]
-            left = col <= param if kind == "num" else np.isin(col, param)
-            ok &= left if go_left else ~left
+            ok &= sides.of(t, f, kind, param, go_left)
         out[ok, t] += value
     return out
 
