@@ -117,10 +117,9 @@ def fit_churn(train: DataFrame, features: list[str], label: str = "churn_label",
     ``early_stopping="auc"`` chooses the tree count on a validation split
     carved from the TRAINING rows (never the test rows): all trees are fitted
     on the other rows, the validation AUC of every ensemble prefix is computed
-    exactly in one distributed pass (``attribution.prefix_margins`` + grouped
-    AUC), and the size is chosen with ``patience`` rounds without improvement.
-    The delivered model is then fitted with that many trees on ALL training
-    rows.  The split takes ``validation_fraction`` of the labelled rows, at
+    exactly in one distributed pass (``attribution.prefix_aucs``), and the size
+    is chosen with ``patience`` rounds without improvement.  The delivered model
+    is then fitted with that many trees on ALL training rows.  The split takes ``validation_fraction`` of the labelled rows, at
     most ``max_validation_rows``, which bounds the rows x trees table of
     prefix margins.  ``None`` fits every tree on all training rows.
 
@@ -151,13 +150,11 @@ def fit_churn(train: DataFrame, features: list[str], label: str = "churn_label",
 
     if early_stopping is None:
         return fit(data, cfg.n_estimators)
-    from .attribution import prefix_margins
-    from .metrics import roc_auc
+    from .attribution import prefix_aucs
 
     full = fit(data.filter(F.col("__val") == "train"), cfg.n_estimators)
-    margins = prefix_margins(full, data.filter(F.col("__val") == "test"), list(features), label)
     # One row per ensemble size (bounded by the tree count).
-    aucs = [(r["k"], r["roc_auc"]) for r in roc_auc(margins, "label", "margin", by=["k"]).collect()]
+    aucs = [(r["k"], r["roc_auc"]) for r in prefix_aucs(full, data.filter(F.col("__val") == "test"), list(features), label).collect()]
     return fit(data, best_iteration(aucs, patience))
 
 

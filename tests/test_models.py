@@ -216,6 +216,24 @@ def test_prefix_margins_and_refit_prefix(spark, blobs):
     assert np.allclose(mine, theirs, atol=1e-9)  # prefix of 6 trees == refit with 4
 
 
+def test_prefix_aucs_are_exact_and_send_no_row_per_margin(spark, blobs, monkeypatch):
+    from basketry.config import ChurnConfig
+    from basketry.operators import churn as ch
+    from basketry.operators import metrics as mt
+
+    df = blobs.withColumn("label", (F.col("a") + 3 * F.col("c") > 5).cast("int")).repartition(3)
+    feats = ["a", "b", "c"]
+    model = ch.fit_churn(df, feats, "label", ChurnConfig(n_estimators=5, max_depth=2), early_stopping=None)
+    want = mt.roc_auc(at.prefix_margins(model, df, feats, "label"), "label", "margin", by=["k"])
+    got = at.prefix_aucs(model, df, feats, "label")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    assert at.batch_auc(np.array([1.0, 2.0]), np.array([1.0, 3.0])) == 0.375  # a tie counts one half
+    one_class = at.prefix_aucs(model, df.filter("label = 1"), feats, "label")
+    assert [r["roc_auc"] for r in one_class.collect()] == [None] * 5
+    monkeypatch.setattr(at, "prefix_margins", lambda *a: pytest.fail("a row for every margin"))
+    assert len(ch.fit_churn(df, feats, "label", ChurnConfig(n_estimators=3, max_depth=2)).stages[-1].trees) <= 3
+
+
 def test_kmeans_fit_independent_of_input_partitioning(blobs):
     a = sg.fit_kmeans(blobs.repartition(3), ["a", "b"], k=3, n_init=2, seed=9)
     b = sg.fit_kmeans(blobs.repartition(11), ["a", "b"], k=3, n_init=2, seed=9)
