@@ -75,3 +75,25 @@ def test_whole_rows_merge_without_sorting(spark):
     plan = new_rows(df, table)._jdf.queryExecution().executedPlan().toString()
     assert "SortAggregate" not in plan and plan.count("Exchange") == 1
     assert [merge_new(df, table), merge_new(df, table)] == [2, 0]
+
+
+def test_model_rows_and_scores_are_written_once(spark, monkeypatch):
+    from basketry.config import CHURN_FEATURE_COLUMNS_CONFIGURED, ChurnConfig
+    from basketry.operators import churn as ch
+    from basketry.plans import queries_models as qm
+
+    monkeypatch.setattr(qm, "_FITS", {})
+    fits, fit = [], ch.fit_churn
+    monkeypatch.setattr(ch, "fit_churn", lambda *a: fits.append(1) or fit(*a[:3], ChurnConfig(n_estimators=3, max_depth=2)))
+    splits, split = [], ch.stratified_split
+    monkeypatch.setattr(ch, "stratified_split", lambda df, label, size=0.2, seed=42, **k: (
+        splits.append(label) if seed == 42 else None) or split(df, label, size, seed, **k))
+    for query in (qm.j6_fit_churn, qm.j13_score_churn, qm.j17_run_record, qm.j18_model_meta):
+        assert query(spark, SF).count() > 0
+    assert len(fits) == 1 and splits == ["churn_label"]
+    tables = [qm.segment_split(spark, SF), qm.churn_test(spark, SF), *(
+        qm.churn_split(spark, SF, c)[0] for c in (qm.CHURN_FEATURE_COLUMNS, CHURN_FEATURE_COLUMNS_CONFIGURED))]
+    for table in tables:  # read from their files, not worked out again
+        plan = table._jdf.queryExecution().optimizedPlan().toString()
+        assert "Window" not in plan and "Join" not in plan and "UDF" not in plan
+    assert qm.churn_test(spark, SF).count() == tables[2].filter("split = 'test'").count()
