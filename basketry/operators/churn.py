@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -111,51 +112,45 @@ def fit_churn(train: DataFrame, features: list[str], label: str = "churn_label",
               validation_fraction: float = 0.1, early_stopping: str | None = "auc", patience: int = 20,
               max_validation_rows: int = 200_000):
     """Gradient-boosted trees with the configured depth, learning rate,
-    row subsampling and per-node feature fraction; class weight =
-    negatives/positives of the training rows.
+    row subsampling and per-node feature fraction (``boosting.fit``, as a
+    Spark model); class weight = negatives/positives of the training rows.
 
     ``early_stopping="auc"`` chooses the tree count on a validation split
     carved from the TRAINING rows (never the test rows): all trees are fitted
     on the other rows, the validation AUC of every ensemble prefix is computed
     exactly in one distributed pass (``attribution.prefix_aucs``), and the size
     is chosen with ``patience`` rounds without improvement.  The delivered model
-    is then fitted with that many trees on ALL training rows.  The split takes ``validation_fraction`` of the labelled rows, at
-    most ``max_validation_rows``, which bounds the rows x trees table of
-    prefix margins.  ``None`` fits every tree on all training rows.
-
-    The labelled rows are written out once, in key order, so that every fit
-    samples the same rows."""
-    from pyspark.ml import Pipeline
-    from pyspark.ml.classification import GBTClassifier
-    from pyspark.ml.feature import VectorAssembler
-
+    has that many trees fitted on ALL training rows; it grows in the same
+    passes, as its first trees do not depend on their number.  The split takes
+    ``validation_fraction`` of the labelled rows, at most
+    ``max_validation_rows``, which bounds the rows x trees table of prefix
+    margins.  ``None`` fits every tree on all training rows.
+
+    The labelled rows are written out once; the fit takes them in key order,
+    so that every fit samples the same rows."""
     from ..sources.io import materialise
+    from . import boosting
 
+    spark, features = train.sparkSession, list(features)
     cw = class_weight(train, label).first()
     n = cw["negatives"] + cw["positives"]
-    fraction = min(validation_fraction, max_validation_rows / max(n, 1))
-    data = with_weights(train, label, cw["pos_weight"] or 1.0)
-    if early_stopping is not None:
-        data = stratified_split(data, label, fraction, cfg.random_state + 1, out="__val")
-    data = data.withColumn(label, F.col(label).cast("double"))
-    data = materialise(data.sort(CUST) if CUST in data.columns else data, "churn_train")
-
-    def fit(rows: DataFrame, n_trees: int):
-        gbt = GBTClassifier(
-            labelCol=label, featuresCol="features", weightCol="weight", maxIter=n_trees, maxDepth=cfg.max_depth,
-            maxBins=cfg.max_bins, stepSize=cfg.learning_rate, subsamplingRate=cfg.subsample,
-            featureSubsetStrategy=str(cfg.colsample_bytree), seed=cfg.random_state,
-        )
-        return Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol="features"), gbt]).fit(rows)
-
+    weight = cw["pos_weight"] or 1.0
     if early_stopping is None:
-        return fit(data, cfg.n_estimators)
+        data = materialise(train.withColumn("fold", F.lit(-1)), "churn_train")
+        fitted = boosting.fit(data, features, label, cfg, [weight], n, counted=(0,))
+        fitted.blocks.unpersist()
+        return boosting.as_model(spark, fitted, features)
     from .attribution import prefix_aucs
 
-    full = fit(data.filter(F.col("__val") == "train"), cfg.n_estimators)
+    fraction = min(validation_fraction, max_validation_rows / max(n, 1))
+    split = stratified_split(train, label, fraction, cfg.random_state + 1, out="__val")
+    data = materialise(split.withColumn("fold", F.when(F.col("__val") == "test", 0).otherwise(-1)), "churn_train")
+    fitted = boosting.fit(data, features, label, cfg, [weight, weight], n - int(n * fraction), counted=(1,))
+    fitted.blocks.unpersist()
     # One row per ensemble size (bounded by the tree count).
-    aucs = [(r["k"], r["roc_auc"]) for r in prefix_aucs(full, data.filter(F.col("__val") == "test"), list(features), label).collect()]
-    return fit(data, best_iteration(aucs, patience))
+    chosen_on = boosting.as_model(spark, fitted, features, 0)
+    aucs = [(r["k"], r["roc_auc"]) for r in prefix_aucs(chosen_on, data.filter(F.col("fold") == 0), features, label).collect()]
+    return boosting.as_model(spark, fitted, features, 1, best_iteration(aucs, patience))
 
 
 # J13 / J14 ------------------------------------------------------------------
@@ -201,32 +196,26 @@ def risk_distribution(df: DataFrame, col: str = "ChurnRisk") -> DataFrame:
 
 # J7 -------------------------------------------------------------------------
 def cross_validate(df: DataFrame, features: list[str], label: str = "churn_label", k: int = 5,
-                   cfg: ChurnConfig = ChurnConfig(), parallelism: int = 5) -> DataFrame:
+                   cfg: ChurnConfig = ChurnConfig()) -> DataFrame:
     """Stratified k-fold ROC-AUC: (fold, roc_auc) rows plus mean and
     (population) std as extra columns.  Each fold fits ``cfg.n_estimators``
     trees without early stopping (pass the early-stopped size, as the
-    reference's CV model uses the chosen iteration count); ``parallelism``
-    folds are fitted at a time."""
-    from multiprocessing.pool import ThreadPool
-
-    from pyspark import inheritable_thread_target
-    from pyspark.ml.functions import vector_to_array
-
+    reference's CV model uses the chosen iteration count), with the class
+    weight of its own training rows; all folds grow in the same passes."""
     from ..sources.io import materialise
+    from . import boosting
     from .metrics import roc_auc
 
     folded = materialise(stratified_folds(df, label, k, cfg.random_state), "churn_folds")
-
-    @inheritable_thread_target(df.sparkSession)
-    def fold(f: int):
-        model = fit_churn(folded.filter(F.col("fold") != f), features, label, cfg, early_stopping=None)
-        scored = model.transform(folded.filter(F.col("fold") == f)).withColumn("p", vector_to_array("probability")[1])
-        return f, float(roc_auc(scored, label, "p").first()["roc_auc"])
-
-    with ThreadPool(parallelism) as pool:
-        rows = pool.map(fold, range(k), chunksize=1)
+    held = {r["fold"]: r for r in folded.groupBy("fold").agg(
+        F.count_if(F.col(label) == 0).alias("neg"), F.count_if(F.col(label) == 1).alias("pos")).collect()}  # one row a fold
+    rest = [tuple(sum(r[c] for g, r in held.items() if g != f) for c in ("neg", "pos")) for f in range(k)]
+    weights = [(neg / pos if pos else 0.0) or 1.0 for neg, pos in rest]
+    fitted = boosting.fit(folded, list(features), label, cfg, weights, min(sum(r) for r in rest))
     spark = df.sparkSession
-    out = spark.createDataFrame(rows, "fold int, roc_auc double")
+    aucs = {r["fold"]: r["roc_auc"] for r in roc_auc(fitted.held_out(spark, label), label, "margin", by=["fold"]).collect()}
+    fitted.blocks.unpersist()
+    out = spark.createDataFrame([(f, aucs.get(f)) for f in range(k)], "fold int, roc_auc double")
     stats = out.agg(F.avg("roc_auc").alias("mean_auc"), F.stddev_pop("roc_auc").alias("std_auc"))
     return out.crossJoin(stats)
 
