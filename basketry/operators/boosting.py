@@ -277,7 +277,8 @@ def fit(df: DataFrame, features: list[str], label: str, cfg: ChurnConfig, weight
     for m, p in enumerate(points):
         for j, e in enumerate(edges):
             bin_of[m, j, 1:len(e) + 1] = np.searchsorted(p[j], e, "right")
-    parts = max(default_parallelism(spark), -(-rows // PART))
+    # few rows are few tasks: a pass then costs little more than its start
+    parts = max(min(default_parallelism(spark), -(-rows // BLOCK)), -(-rows // PART), 1)
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(checkpoint_dir(spark))
@@ -346,22 +347,23 @@ def as_model(spark: SparkSession, fitted: Boosted, features: list[str], model: i
 
     jvm, gateway = spark._jvm, spark.sparkContext._gateway
     ml = jvm.org.apache.spark.ml
-    uid = ml.util.Identifiable.randomUID
+    uid, wrap, part = ml.util.Identifiable.randomUID, jvm.java.nio.ByteBuffer.wrap, jvm.java.util.Arrays.copyOfRange
+    # looked up once: every step of a class path asks the JVM
+    stats_of = jvm.org.apache.spark.mllib.tree.impurity.VarianceCalculator
+    leaf, inner, split_at = ml.tree.LeafNode, ml.tree.InternalNode, ml.tree.ContinuousSplit
 
     def root(tree: Tree):
-        stats = np.column_stack((tree.weight, tree.total, tree.square))
+        value, stats = tree.value, np.column_stack((tree.weight, tree.total, tree.square))
         held = gateway.new_array(jvm.double, stats.size)
-        jvm.java.nio.ByteBuffer.wrap(stats.astype(">f8").tobytes()).asDoubleBuffer().get(held)
-        impurity = np.maximum(tree.square / np.where(tree.weight > 0, tree.weight, 1.0) - tree.value ** 2, 0.0)
+        wrap(stats.astype(">f8").tobytes()).asDoubleBuffer().get(held)
+        impurity = np.maximum(tree.square / np.where(tree.weight > 0, tree.weight, 1.0) - value ** 2, 0.0)
 
         def node(i: int):
-            calculator = jvm.org.apache.spark.mllib.tree.impurity.VarianceCalculator(
-                jvm.java.util.Arrays.copyOfRange(held, 3 * i, 3 * i + 3), int(tree.rows[i]))
-            value, spread = float(tree.value[i]), float(impurity[i])
+            calculator = stats_of(part(held, 3 * i, 3 * i + 3), int(tree.rows[i]))
             if tree.leaf[i]:
-                return ml.tree.LeafNode(value, spread, calculator)
-            split = ml.tree.ContinuousSplit(int(tree.feature[i]), float(tree.threshold[i]))
-            return ml.tree.InternalNode(value, spread, float(tree.gain[i]), node(2 * i), node(2 * i + 1), split, calculator)
+                return leaf(float(value[i]), float(impurity[i]), calculator)
+            split = split_at(int(tree.feature[i]), float(tree.threshold[i]))
+            return inner(float(value[i]), float(impurity[i]), float(tree.gain[i]), node(2 * i), node(2 * i + 1), split, calculator)
 
         return node(1)
 
