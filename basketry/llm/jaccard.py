@@ -3,14 +3,17 @@
 A document's set holds the hashes of its distinct word shingles.  Two sets of
 Jaccard similarity t or more share at least one of their first
 n - ceil(t n) + 1 shingles in any common order.  The order used puts rare
-shingles first (by steps of their counts in hashed slots, over all documents), so most documents
+shingles first (by steps of their counts over all documents), so most documents
 share no such shingle with any other and only related ones become candidates.
 
-1. Rare-first order: counts of a quarter of the shingles, in slots of fixed
-   total size, made of compact blocks.
-2. One pass gives each document its set size, a fingerprint of its set, and
-   those of its first shingles that can have a partner.  Equal sets collapse
-   to one representative (the least doc_id), so copies never meet as pairs.
+1. One pass gives each document its set size and a fingerprint of its set.
+   Equal sets collapse to one representative (the least doc_id), so copies
+   never meet as pairs.
+2. Rare-first order: a quarter of the representatives' shingles (and as many
+   others as a small set's first ones need) go to buckets by hash, seven bytes
+   each, and are counted there exactly; buckets grow in number with the input,
+   and no table of counts is gathered.  What only one set holds ends there; the
+   rest goes back to its documents, which keep their first ones.
 3. Under a shared shingle, sets in order of size form a run while each size
    allows a link to the next; each hangs on its run's first.  Two sets whose
    sizes allow a link are always in one run, so connected runs enclose all
@@ -43,14 +46,18 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Workspace, bit_set, connected_components, group_starts, has_bit, slot_counts, sorted_groups, without
+from .common import Workspace, bit_set, connected_components, group_starts, has_bit, sorted_groups, without
 from .words import Words, batch_words, grams, mix64, slices
 
-SLOT_BITS = 27  # two tables of half as many slots; a shingle has the lesser count
-RARE = (2, 6)  # counts are kept in these steps, a bit each: 32 MB
+BUCKET = 1 << 18  # shingles counted together, on average
+BUCKET_BITS = 16  # at most so many bits of a shingle name its bucket
+CODE, QUARTER = 24, np.uint64(1 << 38)  # a shingle's upper 40 bits are its code; counted are those of the first quarter
+CHUNK, CHUNK_SHINGLES = (1 << 16) - 1, 1 << 20  # documents whose shingles are sent together, and the shingles
+LAST = 255  # the rank of shingles outside the quarter
 PLAN_BYTES = 32 << 20  # a tile plan of so many bytes is broadcast, a larger one shuffled
 BLOCK_SETS, BLOCK_SHINGLES = 4096, 1 << 18  # a block's volume, on average
 HOT_ROWS = 4096  # classes of 1/HOT_ROWS of all rows meet them by broadcast
@@ -78,26 +85,62 @@ def shingle_sets(w: Words, k: int) -> list[np.ndarray]:
     return out
 
 
-def _sampled(s: np.ndarray) -> np.ndarray:
-    return s < np.uint64(1 << 62)
-
-
-def _slots(s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    h, half = mix64(s), np.uint64(1 << (SLOT_BITS - 1))
-    return h >> np.uint64(65 - SLOT_BITS), (h & (half - np.uint64(1))) + half
+def _sampled(s: np.ndarray) -> int:
+    """How many of the sorted hashes are in the quarter that is counted."""
+    return int(np.searchsorted(s, QUARTER << np.uint64(CODE)))
+
+
+def _codes(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // 5, 8), dtype=np.uint8)
+    out[:, :5] = np.frombuffer(data, np.uint8).reshape(-1, 5)
+    return out.view(np.uint64)[:, 0]
+
+
+def pack_chunk(chunk: int, sets: list[np.ndarray], heads: list[tuple[int, int, int, int]], bits: int) -> pa.RecordBatch:
+    """A chunk's shingles by bucket, as codes and places of their documents,
+    and a row with the documents (id, fingerprint, size, counted shingles)."""
+    s = np.concatenate(sets)
+    of = np.repeat(np.arange(len(sets), dtype=np.uint16), [len(x) for x in sets])
+    bucket = (s & np.uint64((1 << bits) - 1)).astype(np.uint16)
+    order = np.argsort(bucket, kind="stable")
+    bucket, of, code = bucket[order], of[order], (s[order] >> np.uint64(CODE)).view(np.uint8).reshape(-1, 8)[:, :5]
+    cut = group_starts(bucket)
+    spans = list(zip(cut[:-1], cut[1:], strict=True))
+    return pa.RecordBatch.from_arrays(
+        [pa.array([*bucket[cut[:-1]].tolist(), chunk % (1 << bits)], pa.int32()), pa.array([chunk] * (len(spans) + 1), pa.int64()),
+         pa.array([*(code[a:b].tobytes() for a, b in spans), None], pa.binary()),
+         pa.array([*(of[a:b].tobytes() for a, b in spans), np.array(heads, np.int64).tobytes()], pa.binary())],
+        ["bucket", "chunk", "codes", "docs"])
+
+
+def shared_codes(codes: list[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Of each part of a bucket, the places whose code occurs again in the
+    bucket and the rank of each: the binary digits of its count."""
+    every = np.concatenate(codes)
+    order = np.argsort(every, kind="stable")
+    times = np.diff(group_starts(every[order]))
+    rank = np.empty(len(every), np.uint8)
+    rank[order] = np.repeat(np.where(times > 1, np.frexp(times)[1], 0), times)
+    out = []
+    for part in np.split(rank, np.cumsum([len(c) for c in codes])[:-1]):
+        at = np.flatnonzero(part)
+        out.append((at, part[at]))
+    return out
 
 
-def first_shingles(s: np.ndarray, counts: np.ndarray, sim: Similarity) -> np.ndarray:
-    """The set's first shingles in the common order (sampled ones by count,
-    then the rest, each by hash), without those that occur once only."""
-    if not len(s):
-        return s
-    rank = np.full(len(s), len(RARE) + 1, dtype=np.int64)
-    sampled = _sampled(s)
-    lower, upper = _slots(s[sampled])
-    rank[sampled] = sum((has_bit(step, lower) & has_bit(step, upper)).astype(np.int64) for step in counts)
-    order = np.lexsort((s, rank))[:sim.prefix(len(s))]
-    return s[order][rank[order] != 0]
+def first_shingles(heads: np.ndarray, of: np.ndarray, token: np.ndarray, rank: np.ndarray, sim: Similarity) -> tuple[np.ndarray, np.ndarray]:
+    """(document, token) of the shared ones among each document's first
+    shingles: counted ones by rank and token, those of one set only before all
+    others, and then the rest."""
+    counted = token < (int(QUARTER) << BUCKET_BITS)
+    rank = np.where(counted, np.minimum(rank, LAST - 1), LAST)
+    order = np.lexsort((token, rank, of))
+    of, token, counted = of[order], token[order], counted[order]
+    alone = heads[:, 3] - np.bincount(of[counted], minlength=len(heads))
+    cut = group_starts(of)
+    place = np.arange(len(of)) - np.repeat(cut[:-1], np.diff(cut))
+    keep = ~counted | (place < (sim.prefix(heads[:, 2]) - alone)[of])
+    return of[keep], token[keep]
 
 
 def fingerprint(s: np.ndarray) -> int:
@@ -160,6 +203,74 @@ def tile_links(nodes: np.ndarray, part: np.ndarray, copies: np.ndarray, within:
     return out, back
 
 
+def first_tokens(source: DataFrame, classes: DataFrame, kept: Broadcast, sim: Similarity) -> DataFrame:
+    """(node, fp, n, tokens) of the representatives ``classes`` (node, fp, n):
+    those of a set's first shingles that another set holds, too.  ``kept`` is
+    a bit set of them; a few copies it lets through come along."""
+    total = classes.agg(F.sum("n")).first()[0] or 0
+    bits = int(np.clip(np.ceil(np.log2(max(1, total / 4 / BUCKET))), 3, BUCKET_BITS))
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, chunks, sets, heads, held = TaskContext.get().partitionId(), 0, [], [], 0
+        for batch in batches:
+            some = batch.filter(pa.array(has_bit(kept.value, batch.column(2).to_numpy())))
+            for part in slices(some, "text"):
+                for doc, s in zip(part.column(0).to_pylist(), shingle_sets(batch_words(part.column(1), lower=True), sim.shingle), strict=True):
+                    if not len(s):
+                        continue
+                    n = _sampled(s)
+                    sets.append(s[:max(n, sim.prefix(len(s)))].copy())
+                    heads.append((doc, fingerprint(s), len(s), n))
+                    held += len(sets[-1])
+                    if held >= CHUNK_SHINGLES or len(sets) == CHUNK:
+                        yield pack_chunk(task << 32 | chunks, sets, heads, bits)
+                        chunks, sets, heads, held = chunks + 1, [], [], 0
+        if sets:
+            yield pack_chunk(task << 32 | chunks, sets, heads, bits)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in sorted_groups(batches, ["bucket"]):
+            cut = group_starts(table["bucket"].to_numpy())
+            for a, b in zip(cut[:-1], cut[1:], strict=True):
+                rows = table.slice(a, b - a).to_pylist()
+                yield pa.RecordBatch.from_pylist([{"chunk": r["chunk"], "docs": r["docs"]} for r in rows if r["codes"] is None], back)
+                rows, bucket = [r for r in rows if r["codes"] is not None], rows[0]["bucket"]
+                if not rows:
+                    continue
+                codes, out = [_codes(r["codes"]) for r in rows], []
+                for row, code, (at, rank) in zip(rows, codes, shared_codes(codes), strict=True):
+                    if len(at):
+                        token = code[at].astype(np.int64) << BUCKET_BITS | bucket
+                        out.append({"chunk": row["chunk"], "docs": np.frombuffer(row["docs"], np.uint16)[at].tobytes(),
+                                    "tokens": token.tobytes(), "ranks": rank.tobytes()})
+                yield pa.RecordBatch.from_pylist(out, back)
+                pa.default_memory_pool().release_unused()
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in sorted_groups(batches, ["chunk"]):
+            cut = group_starts(table["chunk"].to_numpy())
+            for a, b in zip(cut[:-1], cut[1:], strict=True):
+                rows = table.slice(a, b - a).to_pylist()
+                heads = np.concatenate([np.frombuffer(r["docs"], np.int64) for r in rows if r["tokens"] is None]).reshape(-1, 4)
+                rows = [r for r in rows if r["tokens"] is not None]
+                if not rows:
+                    continue
+                of, token, rank = (np.concatenate([np.frombuffer(r[c], t) for r in rows])
+                                   for c, t in (("docs", np.uint16), ("tokens", np.int64), ("ranks", np.uint8)))
+                of, token = first_shingles(heads, of.astype(np.int64), token, rank, sim)
+                cuts = group_starts(of)
+                some = heads[of[cuts[:-1]]]
+                yield pa.RecordBatch.from_arrays(
+                    [*(pa.array(some[:, c]) for c in range(3)), pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(token))],
+                    ["node", "fp", "n", "tokens"])
+
+    back = pa.schema([("chunk", pa.int64()), ("docs", pa.binary()), ("tokens", pa.binary()), ("ranks", pa.binary())])
+    slot = F.pmod(F.xxhash64("doc_id"), F.lit(1 << NODE_BITS))
+    packed = source.withColumn("slot", slot).mapInArrow(pack, "bucket int, chunk long, codes binary, docs binary")
+    counted = packed.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(count, "chunk long, docs binary, tokens binary, ranks binary")
+    return counted.repartition("chunk").sortWithinPartitions("chunk").mapInArrow(choose, "node long, fp long, n long, tokens array<long>")
+
+
 def similar_documents(docs: DataFrame, sim: Similarity | None = None) -> DataFrame:
     """(doc_id, n_shingles, component_id, n_links) for every row with a doc_id."""
     sim = sim or Similarity()
@@ -168,33 +279,21 @@ def similar_documents(docs: DataFrame, sim: Similarity | None = None) -> DataFra
     source = docs.select(F.col("doc_id").cast("long"), F.col("text")).filter("doc_id is not null")
     k, percent = sim.shingle, sim.percent
 
-    def counted(part: pa.RecordBatch) -> np.ndarray:
-        sets = shingle_sets(batch_words(part.column(1), lower=True), k)
-        every = np.concatenate([s[_sampled(s)] for s in sets])
-        return np.concatenate(_slots(every))
-
-    counts = spark.sparkContext.broadcast(slot_counts(source, counted, SLOT_BITS, RARE))
-
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
                 sets = shingle_sets(batch_words(part.column(1), lower=True), k)
-                firsts = [first_shingles(s, counts.value, sim) for s in sets]
-                offsets = np.concatenate(([0], np.cumsum([len(f) for f in firsts]))).astype(np.int32)
-                tokens = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(firsts).view(np.int64)))
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array([len(s) for s in sets], pa.int64()),
-                     pa.array([fingerprint(s) for s in sets], pa.int64()), tokens], ["doc", "n", "fp", "tokens"])
+                     pa.array([fingerprint(s) for s in sets], pa.int64())], ["doc", "n", "fp"])
 
-    members = ws.stage(source.mapInArrow(describe, "doc long, n long, fp long, tokens array<long>"), "members")
-    counts.destroy()
+    members = ws.stage(source.mapInArrow(describe, "doc long, n long, fp long"), "members")
     classes = members.filter("n > 0").groupBy("fp").agg(
         F.min("doc").alias("node"), F.min("n").alias("n"), F.count(F.lit(1)).alias("copies"))
     classes = ws.stage(classes, "classes")
-    tokens = (
-        members.filter("n > 0").select(F.col("doc").alias("node"), "fp", "n", "tokens").join(classes.select("node", "fp"), ["node", "fp"])
-        .select("node", "n", F.explode("tokens").alias("token"))
-    )
+    kept = spark.sparkContext.broadcast(bit_set(classes, F.pmod(F.xxhash64("node"), F.lit(1 << NODE_BITS)), NODE_BITS))
+    tokens = first_tokens(source, classes, kept, sim).join(classes.select("node", "fp"), ["node", "fp"]).select(
+        "node", "n", F.explode("tokens").alias("token"))
     by_size = Window.partitionBy("token").orderBy("n", "node")
     apart = F.coalesce(100 * F.lag("n").over(by_size) < percent * F.col("n"), F.lit(False)).cast("int")
     chain = (
@@ -203,6 +302,7 @@ def similar_documents(docs: DataFrame, sim: Similarity | None = None) -> DataFra
         .filter("a <> node").select("a", F.col("node").alias("b"))
     )
     groups = connected_components(ws, chain, "chains").withColumnRenamed("component", "group")
+    kept.destroy()
     wanted = spark.sparkContext.broadcast(bit_set(groups, F.pmod(F.xxhash64("node"), F.lit(1 << NODE_BITS)), NODE_BITS))
 
     def arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
