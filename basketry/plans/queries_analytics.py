@@ -535,8 +535,7 @@ _APART = " + ".join(f"(a.{c}_scaled - b.{c}_scaled) ** 2" for c in RFM_FEATURE_C
     ),
 )
 def h4_silhouette_euclidean(spark, sf):
-    """Mean Euclidean silhouette; clusters of up to 2,048 customers are
-    compared whole, larger ones by references with a standard error."""
+    """Mean Euclidean silhouette over all pairs of customers."""
     from ..operators.silhouette import euclidean_silhouette
 
     f = features(spark, sf)
